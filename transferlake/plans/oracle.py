@@ -194,3 +194,30 @@ GROUP BY u.name, c.currency_code""",
     "top_users": _with("totals") + "SELECT * FROM totals ORDER BY total_amount DESC, name LIMIT 3",
     "sorted_transfers": _with("v2") + f"SELECT {GOOD} FROM v2 ORDER BY sender_id",
 }
+
+_LOADS = """loads AS (
+  SELECT y AS load_id, count(*) AS n_rows,
+         CASE WHEN y = min(y) OVER () OR y = 1998 THEN 'replace' ELSE 'append' END AS operation
+  FROM (SELECT CAST(year("timestamp") AS BIGINT) AS y FROM v3) t GROUP BY y
+)"""
+
+
+def _state_as_of(year: int) -> str:
+    return _with("v3") .rstrip("\n") + ",\n" + _LOADS + f"""
+SELECT v3.* FROM v3
+WHERE year("timestamp") <= {year}
+  AND year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 'replace' AND load_id <= {year})"""
+
+
+ORACLE.update({
+    "load_replace": _with("v3") + "SELECT * FROM v3",
+    "load_append": _with("v3") + "SELECT * FROM v3",
+    "load_history": _with("v3").rstrip("\n") + ",\n" + _LOADS
+    + "\nSELECT load_id, operation, n_rows FROM loads ORDER BY load_id DESC LIMIT 5",
+    "table_as_of": _state_as_of(2000),
+    "table_rollback": _state_as_of(1997),
+    "stream_sliding_stats": _with("stats") + "SELECT * FROM stats",
+    "stats_upsert": _with("stats") + "SELECT * FROM stats",
+    "stream_dual_sink": _with("stats") + "SELECT * FROM stats",
+    "stream_transfer_alerts": _with("v4") + "SELECT tx_id, receiver_id, amount FROM v4 WHERE amount > 200",
+})

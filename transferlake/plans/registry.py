@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from transferlake.plans import batch
+from transferlake.plans import batch, streams, tables
 from transferlake.plans.oracle import ORACLE
 
 
 def all_queries() -> dict:
     q = dict(batch.QUERIES)
+    q.update(tables.QUERIES)
+    q.update(streams.QUERIES)
     return q
 
 
