@@ -10,10 +10,11 @@ from transferlake.functions import epoch_to_instant, normalise_id
 
 def receiver_dim(good: DataFrame) -> DataFrame:
     """One row per receiver: the currency of its earliest transfer by (timestamp, tx_id).
+    Good rows carry normalised ids already (the cleaning step strips all whitespace).
 
     ``min_by`` aggregates partially before the shuffle, so a receiver that owns a third of
     all transfers still spreads over every map task."""
-    return (good.groupBy(normalise_id("receiver_id").alias("receiver_id"))
+    return (good.groupBy("receiver_id")
                 .agg(F.min_by("currency", F.struct("timestamp", "tx_id")).alias("currency")))
 
 

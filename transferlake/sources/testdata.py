@@ -15,8 +15,18 @@ from pyspark.sql import functions as F
 from transferlake.functions import epoch_seconds_of_ntz
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when a scan yields fewer splits than the cluster's
+    parallelism (a small file with one row group is one task). A no-op on large inputs, which
+    already have many splits; column pruning and filters still reach the scan."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _cases(key, mapping: dict, default):
