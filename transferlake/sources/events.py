@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ def decode_events(records: DataFrame, schema: str = EVENT_DDL, value_col: str =
     out = records.select(data.alias("data"))
     if drop_undecodable:
         fields = [f.strip().split(" ")[0] for f in schema.split(",")]
-        out = out.where(F.coalesce(*[F.col("data").getField(f).isNotNull() for f in fields],
-                                   F.lit(False)))
+        present = [F.col("data").getField(f).isNotNull() for f in fields]
+        out = out.where(functools.reduce(lambda a, b: a | b, present))
     return out.select("data.*")
 
 
