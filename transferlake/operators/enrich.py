@@ -22,19 +22,32 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("event_time", epoch_to_instant("timestamp"))
 
 
-def enrich_events(events: DataFrame, dim: DataFrame, broadcast_dim: bool | None = None) -> DataFrame:
+def enrich_events(events: DataFrame, dim: DataFrame, broadcast_dim: bool | None = None,
+                  salt_buckets: int | None = None, salt_by: str = "tx_id") -> DataFrame:
     """Left join events to the receiver dimension; the event's own currency wins, else the
     dimension's. Unmatched receivers keep a NULL currency (a group of its own downstream).
 
     ``broadcast_dim``: True when the caller has checked the dimension's size (streams, where
     no adaptive re-planning happens); None leaves the choice to the optimizer and AQE, which
     broadcast only below the measured size threshold and otherwise sort-merge with skew
-    splitting on the event side."""
+    splitting on the event side.
+
+    ``salt_buckets``: for a dimension too large to broadcast where no AQE runs (streams), a
+    hot receiver is spread over ``salt_buckets`` join tasks: events get a deterministic salt
+    (hash of ``salt_by``, stable across retries) and every dimension row is repeated once per
+    salt value."""
     d = dim.select(F.col("receiver_id").alias("_dim_receiver"), F.col("currency").alias("_dim_currency"))
     if broadcast_dim:
         d = F.broadcast(d)
     ev = events.withColumn("receiver_id", normalise_id("receiver_id"))
-    joined = ev.join(d, ev["receiver_id"] == d["_dim_receiver"], "left")
+    if salt_buckets and not broadcast_dim:
+        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt_buckets)))
+        d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                       F.lit(salt_buckets - 1).cast("bigint"))))
+        cond = (ev["receiver_id"] == d["_dim_receiver"]) & (ev["_salt"] == d["_salt"])
+        joined = ev.join(d, cond, "left").drop(ev["_salt"]).drop(d["_salt"])
+    else:
+        joined = ev.join(d, ev["receiver_id"] == d["_dim_receiver"], "left")
     out = joined.withColumn("currency", F.coalesce(F.col("currency"), F.col("_dim_currency")))
     out = out.drop("_dim_receiver", "_dim_currency")
     if "event_time" not in out.columns:

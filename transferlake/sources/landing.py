@@ -9,24 +9,35 @@ from pyspark.sql import functions as F
 from transferlake.schemas import LANDING_DDL
 
 
+def _fields(ddl: str) -> list[tuple[str, str]]:
+    return [tuple(f.strip().split(" ", 1)) for f in ddl.split(",")]
+
+
 def read_landing(spark: SparkSession, path: str, schema: str = LANDING_DDL, *,
-                 by_header: bool = False, with_source: bool = False,
-                 ignore_missing: bool = True) -> DataFrame:
-    """Read every CSV under ``path`` (a folder or glob).
-
-    Columns bind by position (``by_header=False``, as a declared schema does) or by header
-    name. Permissive: a bad LONG or an empty field becomes NULL. ``with_source`` adds
-    ``source_file`` (and ``source_offset``, the byte offset of the file split holding the row,
-    which orders rows inside a file together with the row order of the scan).
+                 by_header: bool = False, validate_header: bool = False,
+                 with_source: bool = False, ignore_missing: bool = True) -> DataFrame:
+    """Read every CSV under ``path`` (a folder or glob) in one scan.
+
+    ``by_header=False``: columns bind by position to the declared schema (a bad LONG or an
+    empty field becomes NULL; permissive). ``validate_header`` makes Spark check each file's
+    header against the declared names instead of ignoring it. ``by_header=True``: columns
+    bind by header name and are cast with ``try_cast``; Spark takes the names from the first
+    file, so all files must share one header order. ``with_source`` adds the file of every row
+    (``source_file``) and the start of its split (``source_block``), which with the row order
+    of the scan gives the order of rows across files.
     """
-    reader = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("enforceSchema", not by_header)
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("ignoreMissingFiles", ignore_missing))
-    df = reader.csv(path)
+    if by_header:
+        df = reader.csv(path)
+        df = df.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in _fields(schema)],
+                       "_metadata")
+    else:
+        df = reader.schema(schema).option("enforceSchema", not validate_header).csv(path)
     if with_source:
-        df = df.select("*", F.col("_metadata.file_path").alias("source_file"),
-                       F.col("_metadata.file_size").alias("source_file_size"))
-    return df
+        df = df.withColumn("source_file", F.col("_metadata.file_path")) \
+               .withColumn("source_block", F.col("_metadata.file_block_start"))
+    return df.select(*[n for n, _ in _fields(schema)], *(["source_file", "source_block"] if with_source else []))
 
 
 def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:

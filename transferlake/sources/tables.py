@@ -168,9 +168,18 @@ def layout_by_status(df: DataFrame, max_records_per_file: int | None = None) ->
     return df.hint("rebalance", "status")
 
 
-def layout_sorted(df: DataFrame, num_files: int = 2) -> DataFrame:
-    """A fixed number of output files, each sorted by status."""
-    return df.repartition(num_files).sortWithinPartitions("status")
+def layout_sorted(df: DataFrame, num_files: int | None = None) -> DataFrame:
+    """Output files each sorted by status. ``num_files`` fixes the file count (the
+    reference writes 2); by default AQE sizes the files (rebalance to the advisory size), so
+    the write never narrows to a handful of tasks on large inputs."""
+    spread = df.repartition(num_files) if num_files else df.hint("rebalance")
+    return spread.sortWithinPartitions("status")
+
+
+def layout_few_files(df: DataFrame, max_files: int = 3) -> DataFrame:
+    """T12 (DLQ side): at most ``max_files`` files without a shuffle (``coalesce``). Only for
+    outputs known to be small, such as a dead-letter load."""
+    return df.coalesce(max_files)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None,
@@ -191,3 +200,39 @@ def write_serving(df: DataFrame, fmt: str = "jdbc", options: dict | None = None,
     ``path``."""
     w = df.write.format(fmt).mode(mode).options(**(options or {}))
     w.save(path) if path else w.save()
+
+
+GOOD_TABLE_DDL = ("tx_id STRING, sender_id STRING, receiver_id STRING, amount DOUBLE, "
+                  "currency STRING, status STRING, timestamp TIMESTAMP")
+DLQ_TABLE_DDL = (GOOD_TABLE_DDL + ", raw_amount STRING, raw_status STRING, raw_epoch BIGINT, "
+                 "reject_reasons ARRAY<STRING>, dlq_processed_at TIMESTAMP")
+
+
+def create_tables(spark: SparkSession, database: str, location: str) -> None:
+    """Catalog tables for the good rows (partitioned by status), the dead letters and
+    the windowed statistics (with the ``window`` struct). Idempotent."""
+    from transferlake.schemas import STATS_TABLE_DDL
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.transfers ({GOOD_TABLE_DDL}) "
+              "USING parquet PARTITIONED BY (status)")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.dead_letters ({DLQ_TABLE_DDL}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.windowed_stats ({STATS_TABLE_DDL}) USING parquet")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Explicit drop only (never part of a read path)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def register_view(spark: SparkSession, path: str, name: str, as_of: int | None = None) -> DataFrame:
+    """Expose a lake table's state to SQL (``spark.sql('SELECT ... FROM name')``)."""
+    df = read_table(spark, path, as_of)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def create_projection_view(spark: SparkSession, name: str, source: str) -> DataFrame:
+    """CREATE OR REPLACE view with 5 of the 7 columns."""
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS "
+              f"SELECT tx_id, amount, currency, status, timestamp FROM {source}")
+    return spark.table(name)

@@ -34,14 +34,17 @@ def dimension_snapshot(dim: DataFrame, path: str, max_rows: int = BROADCAST_MAX_
 def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool,
                          watermark: str = WATERMARK_DELAY, window: str = WINDOW_DURATION,
                          slide: str = WINDOW_SLIDE, money_scale: int | None = None,
-                         observe_name: str | None = None) -> DataFrame:
+                         observe_name: str | None = None, salt_buckets: int = 16) -> DataFrame:
     """Streaming aggregate with the table shape (window struct, status, total_sum, tx_count,
-    currency). Rows without event time never reach a window; ``observe_name`` counts them."""
+    currency). Rows without event time never reach a window; ``observe_name`` counts them.
+    A dimension over the broadcast bound is joined with ``salt_buckets`` salts (no AQE skew
+    handling runs in a stream)."""
     events = with_event_time(decode_events(records, EVENT_DDL))
     if observe_name:
         events = events.observe(observe_name, F.count(F.lit(1)).alias("rows"),
                                 F.count(F.when(F.col("event_time").isNull(), 1)).alias("no_event_time"))
-    enriched = enrich_events(events, dim, broadcast_dim=broadcast_dim)
+    enriched = enrich_events(events, dim, broadcast_dim=broadcast_dim,
+                             salt_buckets=None if broadcast_dim else salt_buckets)
     total = F.sum(money("amount", money_scale))
     if money_scale is not None:
         total = total.cast("double")
