@@ -19,6 +19,8 @@ FIELDS = [f.strip().split(" ")[0] for f in EVENT_DDL.split(",")]
 WEEKLY = [8, 15, 22]                  # chunks: days 1-7, 8-14, 15-21, 22-31
 EVERY_FOUR_DAYS = [5, 9, 13, 17, 21, 25, 29]
 STATS_KEYS = ["window", "status", "currency"]
+# Stateful shuffle partitions of the stats stream (the reference runs its stream with 4).
+STATE_PARTITIONS = 4
 SERVING_KEYS = ["window_start", "window_end", "status", "currency"]
 
 
@@ -34,7 +36,7 @@ def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: li
     def drain(_k):
         records = read_event_stream(spark, "files", path=src)
         agg = sliding_stats_stream(records, dim, small, money_scale=MONEY_SCALE)
-        run_available(agg, f"{base}/checkpoint", sink)
+        run_available(agg, f"{base}/checkpoint", sink, state_partitions=STATE_PARTITIONS)
 
     rp.replay(v.events, rp.chunk_of(day_bounds), len(day_bounds) + 1, FIELDS, src, drain)
     return base

@@ -55,14 +55,34 @@ def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool
 
 
 def run_available(agg: DataFrame, checkpoint: str, sink, output_mode: str = "update",
-                  query_name: str | None = None):
+                  query_name: str | None = None, state_partitions: int | None = None,
+                  idle_batches: bool | None = None):
     """Drain everything available, then stop (trigger availableNow); restart-safe through
-    the checkpoint."""
-    w = (agg.writeStream.foreachBatch(sink).outputMode(output_mode)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    if query_name:
-        w = w.queryName(query_name)
-    q = w.start()
+    the checkpoint.
+
+    ``state_partitions``: shuffle partitions of the stateful aggregate, fixed by the
+    checkpoint at its first run (later values are ignored by Spark). ``idle_batches``: run a
+    no-data batch after the data so the watermark evicts state and, in append mode, emits
+    the windows it closed; in update mode that batch emits nothing, so by default it is
+    skipped and eviction happens at the next data batch."""
+    spark = agg.sparkSession
+    if idle_batches is None:
+        idle_batches = output_mode != "update"
+    conf = {"spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower()}
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    saved = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        w = (agg.writeStream.foreachBatch(sink).outputMode(output_mode)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+        if query_name:
+            w = w.queryName(query_name)
+        q = w.start()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     q.awaitTermination()
     return q
 
