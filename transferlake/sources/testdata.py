@@ -15,14 +15,24 @@ from pyspark.sql import functions as F
 from transferlake.functions import epoch_seconds_of_ntz
 
 
+SPREAD_MAX_SPLITS = 8
+SPREAD_TARGET_BYTES = 16 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores when a scan yields fewer splits than the cluster's
-    parallelism (a small file with one row group is one task). A no-op on large inputs, which
-    already have many splits; column pruning and filters still reach the scan."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= slots:
-        return df.repartition(slots)
-    return df
+    """Spread a small scan over more tasks: a small file with one row group is read by one
+    task, which then does all the parsing alone. Only inputs of at most SPREAD_MAX_SPLITS
+    splits (so at most that many times ``maxPartitionBytes``) are touched, into about 16 MiB
+    pieces capped by the cluster's parallelism; larger inputs already have enough splits and
+    are never reshuffled. Column pruning and filters still reach the scan."""
+    spark = df.sparkSession
+    n = df.rdd.getNumPartitions()
+    slots = spark.sparkContext.defaultParallelism
+    if n > SPREAD_MAX_SPLITS or n * 2 > slots:
+        return df
+    split_bytes = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b") or 134217728)
+    target = min(slots, max(1, n * split_bytes // SPREAD_TARGET_BYTES))
+    return df.repartition(target) if target > n else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
