@@ -56,8 +56,10 @@ def epoch_to_instant(c) -> Column:
 
 
 def epoch_seconds_of_ntz(c) -> Column:
-    """Whole epoch seconds of a TIMESTAMP_NTZ read as UTC wall time."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), _c(c))
+    """Whole epoch seconds of a TIMESTAMP_NTZ read as UTC wall time. ``unix_timestamp`` of an
+    NTZ value uses no zone (``timestampdiff`` would cast through the session zone and be an
+    hour off around daylight-saving changes)."""
+    return F.unix_timestamp(_c(c))
 
 
 def instant_to_ntz(c) -> Column:
@@ -67,7 +69,8 @@ def instant_to_ntz(c) -> Column:
 
 def ntz_to_instant(c) -> Column:
     """TIMESTAMP_NTZ holding UTC wall time to TIMESTAMP, independent of the session zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c)))
+    frac_us = (F.date_part(F.lit("SECOND"), _c(c)) * 1_000_000).cast("bigint") % 1_000_000
+    return F.timestamp_micros(F.unix_timestamp(_c(c)) * 1_000_000 + frac_us)
 
 
 def money(c, scale: int | None) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlake.functions import (epoch_to_instant, normalise_id, normalise_status,
-                                    parse_amount)
+                                    ntz_to_instant, parse_amount)
 from transferlake.schemas import GOOD_COLUMNS, UNKNOWN_STATUS
 
 def _epoch() -> F.Column:
@@ -103,9 +103,10 @@ def dlq_transfers(raw: DataFrame, stamp: bool = True) -> DataFrame:
 
 
 def fill_missing_timestamp(clean: DataFrame, fill: str = "1970-01-01 00:00:00") -> DataFrame:
-    """Missing timestamp becomes a fixed instant (the reference fills with the epoch)."""
-    return clean.withColumn("timestamp", F.coalesce(F.col("timestamp"),
-                                                    F.to_timestamp(F.lit(fill))))
+    """Missing timestamp becomes a fixed instant, ``fill`` read as UTC (the reference
+    fills with the epoch)."""
+    fixed = ntz_to_instant(F.lit(fill).cast("timestamp_ntz"))
+    return clean.withColumn("timestamp", F.coalesce(F.col("timestamp"), fixed))
 
 
 def reject_summary(dlq: DataFrame) -> DataFrame:
