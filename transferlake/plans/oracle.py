@@ -221,3 +221,8 @@ ORACLE.update({
     "stream_dual_sink": _with("stats") + "SELECT * FROM stats",
     "stream_transfer_alerts": _with("v4") + "SELECT tx_id, receiver_id, amount FROM v4 WHERE amount > 200",
 })
+
+ORACLE.update({
+    "landing_load": _with("v3") + "SELECT * FROM v3",
+    "landing_dead_letters": ORACLE["dlq_transfers"],
+})

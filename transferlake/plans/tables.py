@@ -78,3 +78,31 @@ QUERIES = {
     "table_rollback": table_rollback,
     "table_files": table_files,
 }
+
+
+def _landing_job(spark: SparkSession, sf_dir: str, name: str) -> str:
+    from transferlake.plans.jobs import load_landing
+    from transferlake.sources import landing
+    base = shared_dir(spark, "jobs", name, unique=True)
+    landing.write_landing(Views(spark, sf_dir).raw, f"{base}/landing")
+    load_landing(spark, f"{base}/landing", f"{base}/table", f"{base}/dlq", 1, "replace")
+    return base
+
+
+def landing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job end to end: landing CSV in, good table out (read back)."""
+    base = _landing_job(spark, sf_dir, "landing_load")
+    return for_oracle(tb.read_table(spark, f"{base}/table"))
+
+
+def landing_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job's dead-letter output (read back, processing stamp left out)."""
+    base = _landing_job(spark, sf_dir, "landing_dlq")
+    dlq = spark.read.parquet(f"{base}/dlq").drop("load_id", "dlq_processed_at")
+    return for_oracle(dlq)
+
+
+QUERIES.update({
+    "landing_load": landing_load,
+    "landing_dead_letters": landing_dead_letters,
+})
