@@ -56,18 +56,17 @@ def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool
 
 def run_available(agg: DataFrame, checkpoint: str, sink, output_mode: str = "update",
                   query_name: str | None = None, state_partitions: int | None = None,
-                  idle_batches: bool | None = None):
+                  idle_batches: bool = True):
     """Drain everything available, then stop (trigger availableNow); restart-safe through
     the checkpoint.
 
     ``state_partitions``: shuffle partitions of the stateful aggregate, fixed by the
-    checkpoint at its first run (later values are ignored by Spark). ``idle_batches``: run a
-    no-data batch after the data so the watermark evicts state and, in append mode, emits
-    the windows it closed; in update mode that batch emits nothing, so by default it is
-    skipped and eviction happens at the next data batch."""
+    checkpoint at its first run (later values are ignored by Spark). ``idle_batches``: the
+    no-data batch after the data evicts state, emits the windows closed in append mode, and
+    records the advanced watermark in the checkpoint; without it the next availableNow run
+    starts one watermark behind and would admit rows that are already late. Keep it on
+    unless no run follows."""
     spark = agg.sparkSession
-    if idle_batches is None:
-        idle_batches = output_mode != "update"
     conf = {"spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower()}
     if state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)
