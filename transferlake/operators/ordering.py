@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from transferlake.session import ensure_checkpoint_dir
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, n: int | None, keys: list) -> DataFrame:
+    """Range-partition on ``keys``; without ``n`` AQE sizes the partitions (it only merges
+    neighbours, so partition order still follows key order)."""
+    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
 
 
 def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
@@ -25,7 +27,7 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
 
     number = rows in earlier range partitions + position inside the partition."""
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(_partitions(df, num_partitions), *order_by)
+    ranged = (_ranged(df, num_partitions, order_by)
                 .sortWithinPartitions(*order_by)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
@@ -47,7 +49,7 @@ def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out
     partition when that row belongs to the same group."""
     ensure_checkpoint_dir(df.sparkSession)
     keys = [group, *order_by]
-    ranged = (df.repartitionByRange(_partitions(df, num_partitions), *keys)
+    ranged = (_ranged(df, num_partitions, keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint())
     w = Window.partitionBy("_pid").orderBy(*keys)
