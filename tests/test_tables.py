@@ -23,6 +23,8 @@ def test_loads_as_of_rollback(spark, tmp_dir):
     n_1997 = good.where(_year() <= 1997).count()
     assert tb.read_table(spark, tmp_dir).count() == good.where(_year() >= 1998).count()
     assert tb.read_table(spark, tmp_dir, as_of=2).count() == n_1997
+    assert tb.read_table(spark, tmp_dir, as_of=0).count() == 0
+    assert tb.visible_loads(spark, tmp_dir, as_of=10) == [3]
     rid = tb.rollback(spark, tmp_dir, 2)
     assert tb.read_table(spark, tmp_dir).count() == n_1997
     hist = tb.load_history(spark, tmp_dir, 5).collect()

@@ -113,7 +113,13 @@ def visible_loads(spark: SparkSession, path: str, as_of: int | None = None) -> l
     recs = {r["load_id"]: r for r in load_history(spark, path, None).collect()}
     if not recs:
         return []
-    cur = max(recs) if as_of is None else as_of
+    if as_of is None:
+        cur = max(recs)
+    else:   # the latest load at or before ``as_of``
+        earlier = [k for k in recs if k <= as_of]
+        if not earlier:
+            return []
+        cur = max(earlier)
     out: list[int] = []
     while cur is not None:
         r = recs[cur]
