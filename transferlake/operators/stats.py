@@ -32,7 +32,14 @@ def sliding_stats(enriched: DataFrame, window: str = WINDOW_DURATION, slide: str
     window/slide copies before the partial aggregate. ``strategy="preagg"`` first aggregates
     per slide-sized bucket (one copy per event), then expands only the bucket aggregates;
     equal because the slide divides the window. Both aggregate partially map-side, so a hot
-    (status, currency) key never lands whole in one task."""
+    (status, currency) key never lands whole in one task.
+
+    Measured on the sf0.1 events (cached input, median of 5): with about one event per
+    (minute, status, currency) "window" is faster (0.67 s vs 0.89 s: pre-aggregation merges
+    nothing and adds a stage); at about 10 events per bucket and key they tie; at about 200
+    "preagg" is faster (0.25 s vs 0.29 s) and the gap grows with density, since "window"
+    updates window/slide hash entries per event. Production event rates are far denser than
+    that, so "preagg" is the default."""
     w_us, s_us = _micros(window), _micros(slide)
     if strategy == "window":
         g = (enriched.groupBy(F.window("event_time", window, slide).alias("w"), "status", "currency")
