@@ -58,3 +58,16 @@ def read_event_stream(spark: SparkSession, source: str = "files", *, path: str |
             opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
         return spark.readStream.format("kafka").options(**opts).load().select("value")
     raise ValueError(f"unknown source {source!r}")
+
+
+def write_events(published: DataFrame, fmt: str = "text", path: str | None = None,
+                 options: dict | None = None, mode: str = "append") -> None:
+    """Publish ``value`` payloads (S11). ``fmt='text'``: one JSON object per line under
+    ``path``. ``fmt='kafka'``: caller options (``kafka.bootstrap.servers``, ``topic``); no key
+    is sent, so the topic's partitioner spreads events (needs the Kafka connector jar)."""
+    out = published.select("value")
+    w = out.write.mode(mode).options(**(options or {}))
+    if fmt == "text":
+        w.text(path)
+    else:
+        w.format(fmt).save()
