@@ -120,3 +120,19 @@ def test_append_mode_and_rocksdb(spark, tmp_dir):
     # append mode emits only windows closed by the watermark: tx 1's ten windows, not tx 2's
     assert out.count() == 10
     assert out.agg(F.sum("tx_count")).first()[0] == 10
+
+
+def test_redelivered_events_counted_once(spark, tmp_dir):
+    base = local_path(tmp_dir)
+    src = os.path.join(base, "src")
+    t0 = 1704067200
+    _write(src, "a.json", [_ev(1, t0 + 30), _ev(2, t0 + 90)])
+    _write(src, "b.json", [_ev(1, t0 + 30)])          # redelivered
+    dim = spark.createDataFrame([("R1", "EUR")], "receiver_id string, currency string")
+    records = read_event_stream(spark, "files", path=src)
+    agg = sliding_stats_stream(records, dim, True, dedupe_key="tx_id")
+    run_available(agg, f"{base}/ckpt", stats_sink(f"{base}/stats"))
+    out = flatten_window(sinks.read_latest(spark, f"{base}/stats", ["window", "status", "currency"]))
+    by_start = {r.window_start.timestamp(): r.tx_count for r in out.collect()}
+    # the window starting 23:51 holds only tx 1 (twice delivered), the one at 00:00 tx 1 and 2
+    assert by_start[float(t0 - 540)] == 1 and by_start[float(t0)] == 2

@@ -34,11 +34,13 @@ def dimension_snapshot(dim: DataFrame, path: str, max_rows: int = BROADCAST_MAX_
 def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool,
                          watermark: str = WATERMARK_DELAY, window: str = WINDOW_DURATION,
                          slide: str = WINDOW_SLIDE, money_scale: int | None = None,
-                         observe_name: str | None = None, salt_buckets: int = 16) -> DataFrame:
+                         observe_name: str | None = None, salt_buckets: int = 16,
+                         dedupe_key: str | None = None) -> DataFrame:
     """Streaming aggregate with the table shape (window struct, status, total_sum, tx_count,
     currency). Rows without event time never reach a window; ``observe_name`` counts them.
     A dimension over the broadcast bound is joined with ``salt_buckets`` salts (no AQE skew
-    handling runs in a stream)."""
+    handling runs in a stream). ``dedupe_key`` drops redelivered events (same key within the
+    watermark delay) before they are counted, as at-least-once sources redeliver."""
     events = with_event_time(decode_events(records, EVENT_DDL))
     if observe_name:
         events = events.observe(observe_name, F.count(F.lit(1)).alias("rows"),
@@ -48,7 +50,10 @@ def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool
     total = F.sum(money("amount", money_scale))
     if money_scale is not None:
         total = total.cast("double")
-    return (enriched.withWatermark("event_time", watermark)
+    timed = enriched.withWatermark("event_time", watermark)
+    if dedupe_key:
+        timed = timed.dropDuplicatesWithinWatermark([dedupe_key])
+    return (timed
                     .groupBy(F.window("event_time", window, slide), "status", "currency")
                     .agg(total.alias("total_sum"), F.count("tx_id").alias("tx_count"))
                     .select("window", "status", "total_sum", "tx_count", "currency"))
