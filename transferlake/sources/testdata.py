@@ -26,8 +26,11 @@ def spread(df: DataFrame) -> DataFrame:
     pieces capped by the cluster's parallelism; larger inputs already have enough splits and
     are never reshuffled. Column pruning and filters still reach the scan."""
     spark = df.sparkSession
-    n = df.rdd.getNumPartitions()
-    slots = spark.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
+        return df
     if n > SPREAD_MAX_SPLITS or n * 2 > slots:
         return df
     split_bytes = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b") or 134217728)
