@@ -12,7 +12,7 @@ sys.path.insert(0, ".")
 
 
 def summarise(df) -> dict:
-    df.write.format("noop").mode("overwrite").save()          # run, so AQE settles the plan
+    df.collect()               # run this DataFrame's own execution, so AQE settles its plan
     qe = df._jdf.queryExecution()
     p = qe.executedPlan().toString()
     spread = len(re.findall(r"Exchange RoundRobinPartitioning", p))

@@ -59,17 +59,35 @@ def sorted_transfers(df: DataFrame, key: str = "sender_id", tiebreak: tuple[str,
     return df.orderBy(key, *tiebreak)
 
 
-def sender_avg_diff(good: DataFrame, money_scale: int | None = None) -> DataFrame:
+# A sender with more transfers than this is "hot": its average reaches its rows through a
+# broadcast instead of the shuffle join. There are at most rows / HOT_KEY_ROWS such senders.
+HOT_KEY_ROWS = 1_000_000
+
+
+def sender_avg_diff(good: DataFrame, money_scale: int | None = None,
+                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Each transfer with its sender's average amount and the difference.
 
-    Per-sender sums are a partial aggregate joined back on sender_id instead of a window over
-    the whole sender partition: a sender with a third of all rows is not gathered into one
-    window task; AQE splits that skewed join partition."""
+    Per-sender sums are a partial aggregate (a sender with a third of all rows is combined
+    map-side) joined back on sender_id, instead of a window that gathers each sender into one
+    task. AQE cannot split a skewed join partition whose other side is an aggregate, so hot
+    senders (more than ``hot_rows`` transfers; at most rows / hot_rows of them) are joined
+    through a broadcast of their averages, and only the remaining senders, none of them hot,
+    take the shuffle join."""
     per = (good.groupBy("sender_id")
-               .agg(_sum_money("amount", money_scale).alias("_s"), F.count("amount").alias("_n")))
-    avg = (_as_double(F.col("_s"), money_scale) / F.col("_n")).alias("user_avg_amount")
-    joined = good.select("sender_id", "tx_id", "timestamp", "amount").join(
-        per.select("sender_id", avg), "sender_id")
+               .agg(_sum_money("amount", money_scale).alias("_s"), F.count("amount").alias("_n"))
+               .select("sender_id", "_n",
+                       (_as_double(F.col("_s"), money_scale) / F.col("_n")).alias("user_avg_amount")))
+    hot = per.where(F.col("_n") > hot_rows).select(F.col("sender_id").alias("_hot_sender"),
+                                                  F.col("user_avg_amount").alias("_hot_avg"))
+    base = good.select("sender_id", "tx_id", "timestamp", "amount")
+    tagged = base.join(F.broadcast(hot), base["sender_id"] == hot["_hot_sender"], "left")
+    hot_rows_out = (tagged.where(F.col("_hot_sender").isNotNull())
+                          .select("sender_id", "tx_id", "timestamp", "amount",
+                                  F.col("_hot_avg").alias("user_avg_amount")))
+    cold = (tagged.where(F.col("_hot_sender").isNull()).select("sender_id", "tx_id", "timestamp", "amount")
+                  .join(per.where(F.col("_n") <= hot_rows).select("sender_id", "user_avg_amount"), "sender_id"))
+    joined = hot_rows_out.unionByName(cold.select(*hot_rows_out.columns))
     return joined.select("sender_id", "tx_id", "timestamp", "amount", "user_avg_amount",
                          (F.col("amount") - F.col("user_avg_amount")).alias("diff_from_avg"))
 

@@ -18,6 +18,17 @@ def receiver_dim(good: DataFrame) -> DataFrame:
                 .agg(F.min_by("currency", F.struct("timestamp", "tx_id")).alias("currency")))
 
 
+def snapshot_dimension(dim: DataFrame, path: str) -> DataFrame:
+    """Freeze the dimension as a Parquet table in the shared folder and read it back.
+
+    The join then sees a plain scan: Catalyst decides the broadcast from the table's real file
+    size, and beyond that size both join sides are ordinary shuffle stages, which AQE can split
+    when one receiver holds a large share of the events (it cannot split a join whose other
+    side is an aggregate). A fixed snapshot is also what a stream joins against."""
+    dim.write.mode("overwrite").parquet(path)
+    return dim.sparkSession.read.parquet(path)
+
+
 def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("event_time", epoch_to_instant("timestamp"))
 

@@ -52,9 +52,15 @@ class Views:
     def dim(self) -> DataFrame:          # V5
         return enrich.receiver_dim(self.good)
 
+    @cached_property
+    def dim_snapshot(self) -> DataFrame:
+        """V5 frozen as a table in the shared folder (written when first used)."""
+        from transferlake.session import shared_dir
+        return enrich.snapshot_dimension(self.dim, shared_dir(self.spark, "dims", unique=True))
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich.enrich_events(self.events, self.dim)
+        return enrich.enrich_events(self.events, self.dim_snapshot)
 
     @cached_property
     def users(self) -> DataFrame:        # V6

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlake.functions import money
-from transferlake.operators.enrich import enrich_events, with_event_time
+from transferlake.operators.enrich import enrich_events, snapshot_dimension, with_event_time
 from transferlake.operators.stats import flatten_window
 from transferlake.schemas import (EVENT_DDL, WATERMARK_DELAY, WINDOW_DURATION, WINDOW_SLIDE)
 from transferlake.sources.events import decode_events
@@ -26,8 +26,7 @@ STATE_STORE_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBSta
 def dimension_snapshot(dim: DataFrame, path: str, max_rows: int = BROADCAST_MAX_ROWS):
     """Freeze the static side for the stream (a fixed snapshot, written once to the shared
     folder) and decide from its row count whether it may be broadcast."""
-    dim.write.mode("overwrite").parquet(path)
-    snap = dim.sparkSession.read.parquet(path)
+    snap = snapshot_dimension(dim, path)
     return snap, snap.count() <= max_rows
 
 
