@@ -14,13 +14,13 @@ sys.path.insert(0, ".")
 def summarise(df) -> dict:
     df.collect()               # run this DataFrame's own execution, so AQE settles its plan
     qe = df._jdf.queryExecution()
-    p = qe.executedPlan().toString()
+    p = qe.executedPlan().toString().split("== Initial Plan ==")[0]
     spread = len(re.findall(r"Exchange RoundRobinPartitioning", p))
     keyed = len(re.findall(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition)", p))
     return {
         "shuffles": keyed,
         "spread": spread,
-        "broadcasts": p.count("BroadcastExchange") + p.count("BroadcastQueryStage"),
+        "broadcasts": p.count("BroadcastExchange"),
         "joins": ", ".join(sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)", p)))) or "-",
         "aggregates": ", ".join(sorted(set(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)", p)))) or "-",
         "window": "Window" in p,
