@@ -9,7 +9,7 @@ so a rerun of the same load overwrites its own dead letters."""
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlake.operators import cleaning
@@ -29,3 +29,24 @@ def load_landing(spark: SparkSession, landing_path: str, table_path: str, dlq_pa
     finally:
         tagged.unpersist()
     return {"load_id": load_id, "good_rows": n_good}
+
+
+def stream_stats_job(spark: SparkSession, *, dim_source: DataFrame, snapshot_path: str,
+                     lake_path: str, checkpoint: str, serving_path: str | None = None,
+                     source: str = "files", source_path: str | None = None,
+                     source_options: dict | None = None, max_per_trigger: int | None = None,
+                     state_partitions: int | None = None, money_scale: int | None = None,
+                     dedupe_key: str | None = None):
+    """The streaming job: events -> enrichment from a frozen receiver dimension -> sliding
+    stats -> lake log (+ serving sink), drained with availableNow on ``checkpoint``.
+    ``dim_source`` is the good-transfer table the dimension is built from."""
+    from transferlake.operators.enrich import receiver_dim
+    from transferlake.sources.events import read_event_stream
+    from transferlake.streaming.stats_stream import (dimension_snapshot, run_available,
+                                                     sliding_stats_stream, stats_sink)
+    dim, small = dimension_snapshot(receiver_dim(dim_source), snapshot_path)
+    records = read_event_stream(spark, source, path=source_path, options=source_options,
+                                max_per_trigger=max_per_trigger)
+    agg = sliding_stats_stream(records, dim, small, money_scale=money_scale, dedupe_key=dedupe_key)
+    return run_available(agg, checkpoint, stats_sink(lake_path, serving_path),
+                         state_partitions=state_partitions)
