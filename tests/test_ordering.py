@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from transferlake.operators.ordering import lag_in_group, running_number
+from transferlake.operators.ordering import lag_in_group, lag_over_ranges, running_number
 
 
 def skewed(spark, n=3000):
@@ -25,11 +25,13 @@ def test_running_number_dense_and_ordered(spark):
 
 def test_lag_matches_window_and_splits_hot_group(spark):
     df = skewed(spark)
-    out = lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev", num_partitions=6)
     w = Window.partitionBy("sender_id").orderBy("ts", "tx_id")
     ref = df.withColumn("prev", F.lag("amount").over(w))
-    diff = out.select("tx_id", "prev").exceptAll(ref.select("tx_id", "prev"))
-    assert diff.count() == 0 and out.count() == df.count()
+    for out in (lag_over_ranges(df, "sender_id", ["ts", "tx_id"], "amount", "prev", num_partitions=6),
+                lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev", num_partitions=6, hot_rows=100),
+                lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev")):
+        diff = out.select("tx_id", "prev").exceptAll(ref.select("tx_id", "prev"))
+        assert diff.count() == 0 and out.count() == df.count()
     # the hot sender is spread over several range partitions
     parts = (df.repartitionByRange(6, "sender_id", "ts", "tx_id").where("sender_id = 'hot'")
                .select(F.spark_partition_id().alias("p")).distinct().count())

@@ -1,10 +1,11 @@
 """Order-dependent operators that stay distributed.
 
-Both range-partition the rows on the full sort key, so a group holding a third of all rows is
-split across many partitions, and cut lineage with a reliable ``checkpoint()`` (written to the
-cluster's ``spark.checkpoint.dir``) so the partition ids the second pass relies on are fixed
-even if executors are lost and tasks rerun. The only data that crosses partitions is one row
-per partition (a size bound set by the partition count), broadcast to the second pass.
+The running number and the LAG of hot groups range-partition the rows on the full sort key, so
+a group holding a third of all rows is split across many partitions, and cut lineage with a
+reliable ``checkpoint()`` (written to the cluster's ``spark.checkpoint.dir``) so the partition
+ids the second pass relies on are fixed even if executors are lost and tasks rerun. The only
+data that crosses partitions is one row per partition (a size bound set by the partition
+count), broadcast to the second pass.
 """
 
 from __future__ import annotations
@@ -40,13 +41,35 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
     return numbered.select(seq.alias(out), *df.columns)
 
 
+# Groups with more rows than this are "hot" and never gathered into one window task.
+HOT_GROUP_ROWS = 1_000_000
+
+
 def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """LAG(value) OVER (PARTITION BY group ORDER BY order_by), skew-safe.
 
-    Rows are range-partitioned on (group, *order_by); the lag is taken inside each range
-    partition, and the first row of a partition takes the last row of the previous non-empty
-    partition when that row belongs to the same group."""
+    Rows per group are counted first (a partial aggregate). Groups of at most ``hot_rows``
+    rows take Spark's window (one shuffle; no task holds more than ``hot_rows`` rows of a
+    group). The hot groups, at most rows / hot_rows of them (so their list is bounded and
+    read on the driver), go through ``lag_over_ranges``, which splits a group across many
+    tasks."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    hot = [r[0] for r in counts.where(F.col("_n") > hot_rows).select(group).collect()]
+    w = Window.partitionBy(group).orderBy(*order_by)
+    if not hot:
+        return df.withColumn(out, F.lag(value).over(w))
+    is_hot = F.col(group).isin(hot)
+    cold = df.where(~is_hot | F.col(group).isNull()).withColumn(out, F.lag(value).over(w))
+    warm = lag_over_ranges(df.where(is_hot), group, order_by, value, out, num_partitions)
+    return cold.unionByName(warm)
+
+
+def lag_over_ranges(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
+                    num_partitions: int | None = None) -> DataFrame:
+    """LAG over range partitions: rows are range-partitioned on (group, *order_by); the lag
+    is taken inside each range partition, and the first row of a partition takes the last
+    row of the previous non-empty partition when that row belongs to the same group."""
     ensure_checkpoint_dir(df.sparkSession)
     keys = [group, *order_by]
     ranged = (_ranged(df, num_partitions, keys)
@@ -66,8 +89,9 @@ def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out
     return joined.select(*df.columns, lag_v.alias(out))
 
 
-def prev_amount_by_sender(good: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def prev_amount_by_sender(good: DataFrame, num_partitions: int | None = None,
+                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Previous amount of the same sender by (timestamp, tx_id)."""
     base = good.select("sender_id", "tx_id", "timestamp", "amount")
     return lag_in_group(base, "sender_id", ["timestamp", "tx_id"], "amount", "prev_tx_amount",
-                        num_partitions)
+                        num_partitions, hot_rows)
