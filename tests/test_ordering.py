@@ -29,7 +29,8 @@ def test_lag_matches_window_and_splits_hot_group(spark):
     ref = df.withColumn("prev", F.lag("amount").over(w))
     for out in (lag_over_ranges(df, "sender_id", ["ts", "tx_id"], "amount", "prev", num_partitions=6),
                 lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev", num_partitions=6, hot_rows=100),
-                lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev")):
+                lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev"),
+                lag_in_group(df, "sender_id", ["ts", "tx_id"], "amount", "prev", hot_rows=10)):
         diff = out.select("tx_id", "prev").exceptAll(ref.select("tx_id", "prev"))
         assert diff.count() == 0 and out.count() == df.count()
     # the hot sender is spread over several range partitions

@@ -43,6 +43,8 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
 
 # Groups with more rows than this are "hot" and never gathered into one window task.
 HOT_GROUP_ROWS = 1_000_000
+# Up to this many hot groups are tagged with a literal set; more go through a broadcast join.
+HOT_LIST_MAX = 10_000
 
 
 def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
@@ -55,13 +57,19 @@ def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out
     read on the driver), go through ``lag_over_ranges``, which splits a group across many
     tasks."""
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = [r[0] for r in counts.where(F.col("_n") > hot_rows).select(group).collect()]
+    hot_keys = counts.where(F.col("_n") > hot_rows).select(F.col(group).alias("_hot"))
+    hot = [r[0] for r in hot_keys.limit(HOT_LIST_MAX + 1).collect()]
     w = Window.partitionBy(group).orderBy(*order_by)
     if not hot:
         return df.withColumn(out, F.lag(value).over(w))
-    is_hot = F.col(group).isin(hot)
-    cold = df.where(~is_hot | F.col(group).isNull()).withColumn(out, F.lag(value).over(w))
-    warm = lag_over_ranges(df.where(is_hot), group, order_by, value, out, num_partitions)
+    if len(hot) <= HOT_LIST_MAX:
+        tagged = df.withColumn("_is_hot", F.coalesce(F.col(group).isin(hot), F.lit(False)))
+    else:   # many hot groups: tag through a broadcast join (still at most rows / hot_rows)
+        tagged = (df.join(F.broadcast(hot_keys), df[group] == F.col("_hot"), "left")
+                    .withColumn("_is_hot", F.col("_hot").isNotNull()).drop("_hot"))
+    cold = tagged.where(~F.col("_is_hot")).drop("_is_hot").withColumn(out, F.lag(value).over(w))
+    warm = lag_over_ranges(tagged.where(F.col("_is_hot")).drop("_is_hot"), group, order_by, value,
+                           out, num_partitions)
     return cold.unionByName(warm)
 
 
