@@ -96,3 +96,23 @@ def test_dedupe_keeps_first(spark):
 def test_fill_missing_timestamp(raw):
     filled = cleaning.fill_missing_timestamp(cleaning.clean_transfers(raw))
     assert filled.where("timestamp IS NULL").count() == 0
+
+
+def test_optional_upper_bound(raw, spark):
+    ms = spark.createDataFrame([("ms", "10", "success", OK_TS * 1000)], "tx_id string, amount string, status string, timestamp long")
+    rows = raw.unionByName(ms.selectExpr("tx_id", "' u 1 ' AS sender_id", "' r2 ' AS receiver_id", "amount",
+                                         "'USD' AS currency", "status", "timestamp"))
+    good_default, _ = cleaning.split_transfers(rows)
+    assert good_default.where("tx_id = 'ms'").count() == 1          # off by default
+    good, dlq = cleaning.split_transfers(rows, max_epoch=4_102_444_800)   # 2100-01-01
+    assert good.where("tx_id = 'ms'").count() == 0
+    assert dlq.where("tx_id = 'ms'").select("reject_reasons").first()[0] == ["timestamp_after_bound"]
+    assert good.count() + dlq.count() == rows.count()
+
+
+def test_publish_on_bad(spark):
+    from transferlake.operators.publish import event_fields
+    df = spark.createDataFrame([("x", "1,234.56", 1, "r", "USD", "s")],
+                               "status string, amount string, timestamp long, receiver_id string, currency string, sender_id string")
+    assert event_fields(df).first().amount == 0.0
+    assert event_fields(df, on_bad="null").first().amount is None

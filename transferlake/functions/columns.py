@@ -31,11 +31,13 @@ def parse_amount(c) -> Column:
     return F.replace(F.trim(_c(c)), F.lit(","), F.lit(".")).try_cast("double")
 
 
-def lenient_amount(c, default: float = 0.0) -> Column:
-    """Publisher rule: comma to point, strip blanks and quotes; bad or missing gives ``default``."""
+def lenient_amount(c, default: float | None = 0.0) -> Column:
+    """Publisher rule: comma to point, strip blanks and quotes; bad or missing gives ``default``
+    (None keeps NULL)."""
     s = F.replace(_c(c).cast("string"), F.lit(","), F.lit("."))
     s = F.regexp_replace(strip_ws(s), r'^"+|"+$', "")
-    return F.coalesce(s.try_cast("double"), F.lit(default))
+    parsed = s.try_cast("double")
+    return parsed if default is None else F.coalesce(parsed, F.lit(default))
 
 
 def lenient_long(c) -> Column:

@@ -38,8 +38,10 @@ def clean_transfers(raw: DataFrame) -> DataFrame:
     )
 
 
-def reject_reasons(df: DataFrame) -> F.Column:
-    """ARRAY<STRING> of the rules a cleaned row breaks (empty for a good row)."""
+def reject_reasons(df: DataFrame, max_epoch: int | None = None) -> F.Column:
+    """ARRAY<STRING> of the rules a cleaned row breaks (empty for a good row). ``max_epoch``
+    (off by default) also rejects timestamps after that epoch second, e.g. milliseconds sent
+    as seconds."""
     amount, status, ts = F.col("amount"), F.col("status"), F.col("timestamp")
     raw_missing = F.col("raw_amount").isNull() | (F.trim(F.col("raw_amount")) == "")
     rules = [
@@ -52,24 +54,30 @@ def reject_reasons(df: DataFrame) -> F.Column:
         ("timestamp_missing", ts.isNull()),
         ("timestamp_not_after_epoch", ts <= _epoch()),
     ]
+    if max_epoch is not None:
+        rules.append(("timestamp_after_bound", ts > F.timestamp_seconds(F.lit(max_epoch))))
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))
 
 
-def good_predicate() -> F.Column:
-    """D1 on cleaned columns: a positive finite amount, a known status, a time after the epoch.
-    (NaN and infinity fail ``< inf``; NULLs fail every comparison.)"""
+def good_predicate(max_epoch: int | None = None) -> F.Column:
+    """D1 on cleaned columns: a positive finite amount, a known status, a time after the epoch
+    (and not after ``max_epoch`` when given). NaN and infinity fail ``< inf``; NULLs fail
+    every comparison."""
     amount = F.col("amount")
-    return F.coalesce((amount > 0) & (amount < float("inf"))
-                      & F.col("status").isNotNull() & (F.col("status") != UNKNOWN_STATUS)
-                      & (F.col("timestamp") > _epoch()), F.lit(False))
+    ok = ((amount > 0) & (amount < float("inf"))
+          & F.col("status").isNotNull() & (F.col("status") != UNKNOWN_STATUS)
+          & (F.col("timestamp") > _epoch()))
+    if max_epoch is not None:
+        ok = ok & (F.col("timestamp") <= F.timestamp_seconds(F.lit(max_epoch)))
+    return F.coalesce(ok, F.lit(False))
 
 
-def tag_transfers(clean: DataFrame) -> DataFrame:
+def tag_transfers(clean: DataFrame, max_epoch: int | None = None) -> DataFrame:
     """Adds ``is_good``. Exactly the rows with no reject reason are good (tested), but the
     flag is the plain D1 predicate: when the optimizer pushes the route filter below the
     parsing projection it inlines the parse expressions once per reference, so the route test
     should reference them as few times as possible. Reasons are computed on DLQ rows only."""
-    return clean.withColumn("is_good", good_predicate())
+    return clean.withColumn("is_good", good_predicate(max_epoch))
 
 
 def good_rows(tagged: DataFrame) -> DataFrame:
@@ -77,21 +85,22 @@ def good_rows(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("is_good")).select(*GOOD_COLUMNS)
 
 
-def dlq_rows(tagged: DataFrame, stamp: bool = True) -> DataFrame:
-    """D2 as the exact complement of D1, typed, with raw values, reasons and a processing stamp."""
+def dlq_rows(tagged: DataFrame, stamp: bool = True, max_epoch: int | None = None) -> DataFrame:
+    """D2 as the exact complement of D1, typed, with raw values, reasons and a processing stamp.
+    ``max_epoch`` must be the bound ``tagged`` was tagged with."""
     bad = tagged.where(~F.col("is_good"))
     out = bad.select(*GOOD_COLUMNS, "raw_amount", "raw_status", "raw_epoch",
-                     reject_reasons(bad).alias("reject_reasons"))
+                     reject_reasons(bad, max_epoch).alias("reject_reasons"))
     if stamp:
         out = out.withColumn("dlq_processed_at", F.current_timestamp())
     return out
 
 
-def split_transfers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_transfers(raw: DataFrame, max_epoch: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Both outputs from one tagged frame (callers that write both should persist or
     checkpoint ``tag_transfers(clean_transfers(raw))`` once and pass it to good_rows/dlq_rows)."""
-    tagged = tag_transfers(clean_transfers(raw))
-    return good_rows(tagged), dlq_rows(tagged)
+    tagged = tag_transfers(clean_transfers(raw), max_epoch)
+    return good_rows(tagged), dlq_rows(tagged, max_epoch=max_epoch)
 
 
 def good_transfers(raw: DataFrame) -> DataFrame:

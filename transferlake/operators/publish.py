@@ -11,13 +11,18 @@ from transferlake.sources.events import payload
 from transferlake.schemas import PUBLISHED_FIELDS
 
 
-def event_fields(raw: DataFrame) -> DataFrame:
+def event_fields(raw: DataFrame, on_bad: str = "zero") -> DataFrame:
     """Publisher's per-row rules as column expressions: amount comma->point, blanks and quotes
     stripped, bad -> 0.0; timestamp parsed like int() (bad/blank -> NULL); receiver stripped;
-    status passed through as is. All columns are published (currency and sender included)."""
+    status passed through as is. All columns are published (currency and sender included).
+    ``on_bad``: 'zero' publishes a bad amount as 0.0 (the publisher's rule), 'null' as null
+    (the cleaning job's rule)."""
+    if on_bad not in ("zero", "null"):
+        raise ValueError(on_bad)
+    amount = lenient_amount("amount", 0.0 if on_bad == "zero" else None)
     return raw.select(
         F.col("status"),
-        lenient_amount("amount").alias("amount"),
+        amount.alias("amount"),
         lenient_long("timestamp").alias("timestamp"),
         strip_ws("receiver_id").alias("receiver_id"),
         F.col("currency"),
@@ -27,13 +32,13 @@ def event_fields(raw: DataFrame) -> DataFrame:
 
 
 def publish_events(raw: DataFrame, order_by: list, cap: int | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, on_bad: str = "zero") -> DataFrame:
     """Numbered events: ``tx_id`` is the running number 1..N in ``order_by`` order, ``value``
     the JSON payload (nulls kept). ``cap`` keeps events 1..cap (a filter on the number, not a
     global limit)."""
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keyed = raw.select("*", *[c.alias(f"_order{i}") for i, c in enumerate(order_cols)])
-    fields = event_fields(keyed)
+    fields = event_fields(keyed, on_bad)
     numbered = running_number(fields, [f"_order{i}" for i in range(len(order_cols))], "tx_id",
                               num_partitions)
     if cap is not None:

@@ -36,6 +36,7 @@ REJECT_REASONS = [
     "status_unknown",
     "timestamp_missing",
     "timestamp_not_after_epoch",
+    "timestamp_after_bound",        # only with an explicit upper bound (off by default)
 ]
 
 STATS_KEY = ["window_start", "window_end", "status", "currency"]
