@@ -44,6 +44,19 @@ def _dynamic(writer):
     return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
+def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int) -> None:
+    """Write partitioned by (load_id, status) with dynamic overwrite; AQE rebalances rows so
+    each file is about ``target_file_bytes`` (a hot status is split, small ones merged)."""
+    spark = df.sparkSession
+    out = df.hint("rebalance", *PARTITION_COLUMNS)
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
+    try:
+        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+
+
 def _record_loads(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     recs = spark.createDataFrame(rows, LOAD_SCHEMA)
     _dynamic(recs.coalesce(1).write).partitionBy("load_id").parquet(_loads(path))
@@ -61,27 +74,21 @@ def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append"
     obs = Observation(f"load_{load_id}")
     out = (df.select(*GOOD_COLUMNS).withColumn("load_id", F.lit(load_id).cast("bigint"))
              .observe(obs, F.count(F.lit(1)).alias("n")))
-    out = out.hint("rebalance", *PARTITION_COLUMNS)
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
-    try:
-        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(_data(path))
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    _rebalanced_write(out, _data(path), target_file_bytes)
     n = int(obs.get["n"])
     _record_loads(spark, path, [(load_id, operation, dt.datetime.now(dt.timezone.utc), n, None)])
     return n
 
 
-def write_loads(df: DataFrame, path: str, load_col, operation_of) -> None:
+def write_loads(df: DataFrame, path: str, load_col, operation_of,
+                target_file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Backfill many loads in one job: ``load_col`` gives each row its load id and
     ``operation_of(load_id, first_load_id) -> str`` its operation. Load records come from the written
     table's per-partition counts (Parquet footers), not from a second pass over the input."""
     spark = df.sparkSession
     out = df.select(*GOOD_COLUMNS).withColumn("load_id", F.col(load_col).cast("bigint")
                                               if isinstance(load_col, str) else load_col.cast("bigint"))
-    out = out.hint("rebalance", *PARTITION_COLUMNS)
-    _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(_data(path))
+    _rebalanced_write(out, _data(path), target_file_bytes)
     counts = spark.read.parquet(_data(path)).groupBy("load_id").count().collect()  # one row per load
     now = dt.datetime.now(dt.timezone.utc)
     first = min(int(r["load_id"]) for r in counts)
@@ -160,13 +167,7 @@ def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None
     df = spark.read.parquet(_data(path))
     if loads is not None:
         df = df.where(F.col("load_id").isin(loads))
-    out = df.select(*GOOD_COLUMNS, "load_id").hint("rebalance", *PARTITION_COLUMNS)
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
-    try:
-        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(_data(path))
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    _rebalanced_write(df.select(*GOOD_COLUMNS, "load_id"), _data(path), target_file_bytes)
 
 
 def layout_by_status(df: DataFrame, max_records_per_file: int | None = None) -> DataFrame:
