@@ -30,6 +30,13 @@ def test_csv_positional_and_by_header(spark, tmp_dir):
     import pytest
     with pytest.raises(Exception):
         landing.read_landing(spark, swapped, validate_header=True).collect()
+    # files with different column orders in one folder: each binds by its own header
+    mixed = f"{tmp_dir}/mixed"
+    landing.write_landing(raw.where("tx_id < '5'").select("status", "tx_id", "sender_id", "receiver_id", "amount", "currency", "timestamp"), mixed)
+    landing.write_landing(raw.where("tx_id >= '5'").select("timestamp", "currency", "amount", "receiver_id", "sender_id", "tx_id", "status"), mixed, mode="append")
+    assert len(spark.read.csv(mixed).inputFiles()) >= 2
+    both = landing.read_landing(spark, mixed, by_header=True)
+    assert both.select(*raw.columns).exceptAll(raw).count() == 0 and both.count() == raw.count()
     # blanks survive the round trip (the writer trims them unless told not to)
     assert by_pos.where("status = '  '").count() == raw.where("status = '  '").count() > 0
 

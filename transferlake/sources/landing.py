@@ -29,9 +29,7 @@ def read_landing(spark: SparkSession, path: str, schema: str = LANDING_DDL, *,
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("ignoreMissingFiles", ignore_missing))
     if by_header:
-        df = reader.csv(path)
-        df = df.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in _fields(schema)],
-                       "_metadata")
+        df = _bind_by_header(spark, path, schema, ignore_missing)
     else:
         df = reader.schema(schema).option("enforceSchema", not validate_header).csv(path)
     if with_source:
@@ -40,6 +38,49 @@ def read_landing(spark: SparkSession, path: str, schema: str = LANDING_DDL, *,
     return df.select(*[n for n, _ in _fields(schema)], *(["source_file", "source_block"] if with_source else []))
 
 
+# Header tables of up to this many files are broadcast (one small row per file).
+HEADER_BROADCAST_MAX_FILES = 1_000_000
+
+
+def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing: bool) -> DataFrame:
+    """Bind columns by every file's own header (Spark's reader would take the names of the
+    first file and read all others by position).
+
+    All lines are read as strings with their file; a file's header is the first line of its
+    first split (smallest row id there, row ids growing in file order inside a split). Each
+    declared name is looked up in that header, giving its position per file; data rows then
+    pick their value from that position."""
+    fields = _fields(schema)
+    width = len(fields)
+    raw_cols = [f"_c{i}" for i in range(width)]
+    raw = (spark.read.schema(", ".join(f"{c} STRING" for c in raw_cols))
+           .option("header", False).option("mode", "PERMISSIVE")
+           .option("ignoreMissingFiles", ignore_missing).csv(path))
+    lines = raw.select(*raw_cols, "_metadata",
+                       F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"))
+    heads = (lines.where(F.col("_block") == 0).groupBy("_file")
+                  .agg(F.min_by(F.struct(*raw_cols), F.col("_row")).alias("_h"),
+                       F.min("_row").alias("_hrow")))
+    positions = heads.select(
+        F.col("_file").alias("_hfile"), "_hrow",
+        *[F.coalesce(*[F.when(F.trim(F.col(f"_h.{c}")) == name, F.lit(i)) for i, c in enumerate(raw_cols)])
+            .alias(f"_pos_{name}") for name, _ in fields])
+    if len(raw.inputFiles()) <= HEADER_BROADCAST_MAX_FILES:
+        positions = F.broadcast(positions)
+    joined = lines.join(positions, lines["_file"] == positions["_hfile"])
+    data = joined.where(F.col("_row") != F.col("_hrow"))
+    out = []
+    for name, typ in fields:
+        pos = F.col(f"_pos_{name}")
+        value = None
+        for i, c in enumerate(raw_cols):
+            value = F.when(pos == i, F.col(c)) if value is None else value.when(pos == i, F.col(c))
+        out.append(value.try_cast(typ).alias(name))
+    return data.select(*out, "_metadata")
+
+
 def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write rows as header CSV without touching blanks (the writer trims them by default)."""
     (df.write.mode(mode).option("header", True)
