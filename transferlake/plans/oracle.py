@@ -226,3 +226,7 @@ ORACLE.update({
     "landing_load": _with("v3") + "SELECT * FROM v3",
     "landing_dead_letters": ORACLE["dlq_transfers"],
 })
+
+ORACLE["table_partitions"] = _with("v3") + """
+SELECT CAST(year("timestamp") AS BIGINT) AS load_id, status, count(*) AS record_count
+FROM v3 GROUP BY 1, 2"""

@@ -159,6 +159,13 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("record_count")))
 
 
+def partition_summary(spark: SparkSession, path: str) -> DataFrame:
+    """T7 per partition: number of data files and rows in each (load_id, status)."""
+    files = table_files(spark, path)
+    return (files.groupBy(F.col("partition.load_id").alias("load_id"), F.col("partition.status").alias("status"))
+                 .agg(F.count(F.lit(1)).alias("n_files"), F.sum("record_count").alias("record_count")))
+
+
 def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None,
                   target_file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Rewrite the given loads' partitions (all when None) into files of about the
