@@ -151,3 +151,17 @@ def test_dual_sink_external_serving_branch(spark, tmp_dir):
     served = spark.read.json(f"{base}/serving")
     assert served.count() == spark.read.parquet(f"{base}/lake").count() > 0
     assert {"window_start", "window_end", "status", "currency", "total_sum", "tx_count"} <= set(served.columns)
+
+
+def test_rate_limit_one_file_per_batch(spark, tmp_dir):
+    base = local_path(tmp_dir)
+    src = os.path.join(base, "src")
+    t0 = 1704067200
+    for i in range(3):
+        _write(src, f"{i}.json", [_ev(i, t0 + 60 * i)])
+        time.sleep(0.05)
+    dim = spark.createDataFrame([("R1", "EUR")], "receiver_id string, currency string")
+    records = read_event_stream(spark, "files", path=src, max_per_trigger=1)
+    q = run_available(sliding_stats_stream(records, dim, True), f"{base}/ckpt", stats_sink(f"{base}/stats"))
+    data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(data_batches) == 3 and all(p["numInputRows"] == 1 for p in data_batches)
