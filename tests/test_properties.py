@@ -57,3 +57,13 @@ def test_sliding_strategies_equal_brute_force(spark, rows):
             F.unix_timestamp(F.col("window_start")).alias("a"), F.unix_timestamp(F.col("window_end")).alias("b"),
             "status", "currency", F.round(F.col("total_sum") * 100).cast("long").alias("cents"), "tx_count").collect()
         assert {(r.a, r.b, r.status, r.currency): (r.cents, r.tx_count) for r in got} == expected, strategy
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(0, 20), min_size=1, max_size=80), st.integers(1, 6))
+def test_running_number_is_a_dense_order(spark, keys, parts):
+    from transferlake.operators.ordering import running_number
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
+    rows = sorted(running_number(df, ["k"], "seq", num_partitions=parts).collect(), key=lambda r: r.seq)
+    assert [r.seq for r in rows] == list(range(1, len(keys) + 1))
+    assert [r.k for r in rows] == sorted(keys)
