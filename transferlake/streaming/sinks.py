@@ -39,10 +39,13 @@ def compact(spark: SparkSession, path: str, keys: list[str], out_path: str) -> D
 class DualSink:
     """foreachBatch function writing each batch to a lake log and a serving sink.
 
-    The batch is persisted once so both writes reuse one computation of the stateful plan;
-    an empty batch (a final no-data batch is delivered) writes nothing. ``serving_format``
-    'parquet' writes a batch-partitioned log like the lake side; 'jdbc' appends with caller
-    options (the serving store then needs its own key-based dedupe)."""
+    The lake write executes the batch once (running the stateful plan, which every batch must
+    do) and counts its rows with an observation; an empty batch (a final no-data batch is
+    delivered) writes nothing there and is then skipped for the serving side, so the guard
+    costs no extra job. With a serving sink the batch is persisted, so both writes share one
+    computation. ``serving_format`` 'parquet' writes a batch-partitioned log like the lake
+    side; other formats (e.g. 'jdbc') append with caller options (the serving store then
+    needs its own key-based dedupe)."""
 
     def __init__(self, lake_path: str, serving_path: str | None = None,
                  serving_format: str = "parquet", serving_options: dict | None = None,
@@ -51,13 +54,18 @@ class DualSink:
         self.serving_format, self.serving_options = serving_format, serving_options or {}
         self.flatten = flatten
 
+    @property
+    def has_serving(self) -> bool:
+        return self.serving_path is not None or self.serving_format != "parquet"
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df = batch_df.persist()
+        from pyspark.sql import Observation
+        if self.has_serving:
+            batch_df = batch_df.persist()
         try:
-            if batch_df.isEmpty():
-                return
-            write_batch(batch_df, self.lake_path, batch_id)
-            if self.serving_path is None and self.serving_format == "parquet":
+            obs = Observation(f"batch_rows_{batch_id}")
+            write_batch(batch_df.observe(obs, F.count(F.lit(1)).alias("n")), self.lake_path, batch_id)
+            if not self.has_serving or int(obs.get["n"]) == 0:
                 return
             served = self.flatten(batch_df) if self.flatten else batch_df
             if self.serving_format == "parquet":
@@ -66,4 +74,5 @@ class DualSink:
                 (served.write.format(self.serving_format).mode("append")
                        .options(**self.serving_options).save())
         finally:
-            batch_df.unpersist()
+            if self.has_serving:
+                batch_df.unpersist()
