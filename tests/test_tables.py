@@ -44,6 +44,12 @@ def test_rerun_load_is_idempotent(spark, tmp_dir):
     tb.write_load(good, tmp_dir, 1, "replace")
     assert tb.read_table(spark, tmp_dir).count() == good.count()
     assert tb.load_history(spark, tmp_dir, None).count() == 1
+    # a rerun with different content replaces the whole load, statuses it lacks included
+    tb.write_load(good.where("status = 'failed'"), tmp_dir, 1, "replace")
+    state = tb.read_table(spark, tmp_dir)
+    assert state.count() == good.where("status = 'failed'").count()
+    assert {r.status for r in state.select("status").distinct().collect()} == {"failed"}
+    assert tb.partition_summary(spark, tmp_dir).count() == 1
 
 
 def test_files_sum_to_table_and_compaction(spark, tmp_dir):
@@ -51,12 +57,13 @@ def test_files_sum_to_table_and_compaction(spark, tmp_dir):
     # many small files, as a stream of small appends leaves behind
     import datetime as dt
     for i in range(3):
-        (good.withColumn("load_id", F.lit(i + 1).cast("bigint")).repartition(12)
-             .write.mode("append").partitionBy("load_id", "status").parquet(f"{tmp_dir}/data"))
-        tb._record_loads(spark, tmp_dir, [(i + 1, "append" if i else "replace", dt.datetime.now(), None, None)])
+        (good.withColumn("load_id", F.lit(i + 1).cast("bigint")).withColumn("attempt", F.lit("a0"))
+             .repartition(12).write.mode("append").partitionBy("load_id", "attempt", "status")
+             .parquet(f"{tmp_dir}/data"))
+        tb._record_loads(spark, tmp_dir, [(i + 1, "append" if i else "replace", dt.datetime.now(), None, None, "a0")])
     files = tb.table_files(spark, tmp_dir)
     total = tb.read_table(spark, tmp_dir).count()
-    assert files.agg(F.sum("record_count")).first()[0] == spark.read.parquet(f"{tmp_dir}/data").count()
+    assert files.agg(F.sum("record_count")).first()[0] == total
     assert total == 3 * good.count()
     before = files.count()
     tb.compact_files(spark, tmp_dir, loads=[1, 2, 3])

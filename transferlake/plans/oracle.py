@@ -227,6 +227,8 @@ ORACLE.update({
     "landing_dead_letters": ORACLE["dlq_transfers"],
 })
 
-ORACLE["table_partitions"] = _with("v3") + """
+ORACLE["table_partitions"] = _with("v3").rstrip("\n") + ",\n" + _LOADS + """
 SELECT CAST(year("timestamp") AS BIGINT) AS load_id, status, count(*) AS record_count
-FROM v3 GROUP BY 1, 2"""
+FROM v3
+WHERE year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 'replace')
+GROUP BY 1, 2"""

@@ -71,8 +71,9 @@ def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T7 checked part: rows per table partition, summed from the per-file record counts
-    (file names and counts are left out: they depend on the writer's task layout)."""
+    """T7 checked part: rows per partition of the current table state, summed from the
+    per-file record counts (file names and counts are left out: they depend on the writer's
+    task layout)."""
     path = _yearly_loads(spark, sf_dir, "partitions")
     return tb.partition_summary(spark, path).select("load_id", "status", "record_count")
 

@@ -1,18 +1,23 @@
 """Lake tables on plain Parquet.
 
 A table is a folder with
-  data/    rows partitioned by (load_id, status); every write is one *load*
-  _loads/  one small record per load: load_id, operation, committed_at, n_rows, target
-Loads are written with dynamic partition overwrite, so rerunning a load after a failure
-replaces exactly that load's partitions (idempotent). ``replace`` hides every earlier load,
+  data/    rows partitioned by (load_id, attempt, status); every write of a load goes to a
+           fresh ``attempt`` folder
+  _loads/  one small record per load: load_id, operation, committed_at, n_rows, target,
+           attempt; written after the data, it is the commit point of the load
+A load is visible only through its record, and only its recorded attempt is read: a load
+that failed half-way is invisible, and a rerun (or a compaction) writes a new attempt and then
+swaps the record, so stale files are never read. ``replace`` hides every earlier load,
 ``append`` adds to the visible set, ``rollback`` points back to the state as of an earlier
-load without copying data. Which loads are visible is worked out from the load records (one
-row per load) and applied as a partition filter, so reads prune to the visible partitions.
+load without copying data. Which (load, attempt) pairs are visible is worked out from the
+load records (one row per load) and applied as a partition filter, so reads prune to them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +31,10 @@ LOAD_SCHEMA = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("target", T.LongType()),
+    T.StructField("attempt", T.StringType()),
 ])
 
-PARTITION_COLUMNS = ["load_id", "status"]
+PARTITION_COLUMNS = ["load_id", "attempt", "status"]
 TARGET_FILE_BYTES = 134_217_728
 
 
@@ -44,11 +50,16 @@ def _dynamic(writer):
     return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
+def _new_attempt() -> str:
+    return uuid.uuid4().hex[:12]
+
+
 def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int) -> None:
-    """Write partitioned by (load_id, status) with dynamic overwrite; AQE rebalances rows so
-    each file is about ``target_file_bytes`` (a hot status is split, small ones merged)."""
+    """Write partitioned by (load_id, attempt, status) into fresh attempt folders; AQE
+    rebalances rows so each file is about ``target_file_bytes`` (a hot status is split, small
+    ones merged). A retried job rewrites the same attempt folders (dynamic overwrite)."""
     spark = df.sparkSession
-    out = df.hint("rebalance", *PARTITION_COLUMNS)
+    out = df.hint("rebalance", "load_id", "status")
     prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
     try:
@@ -71,12 +82,14 @@ def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append"
     if operation not in ("replace", "append"):
         raise ValueError(operation)
     spark = df.sparkSession
-    obs = Observation(f"load_{load_id}")
+    attempt = _new_attempt()
+    obs = Observation(f"load_{load_id}_{attempt}")
     out = (df.select(*GOOD_COLUMNS).withColumn("load_id", F.lit(load_id).cast("bigint"))
+             .withColumn("attempt", F.lit(attempt))
              .observe(obs, F.count(F.lit(1)).alias("n")))
     _rebalanced_write(out, _data(path), target_file_bytes)
     n = int(obs.get["n"])
-    _record_loads(spark, path, [(load_id, operation, dt.datetime.now(dt.timezone.utc), n, None)])
+    _record_loads(spark, path, [(load_id, operation, dt.datetime.now(dt.timezone.utc), n, None, attempt)])
     return n
 
 
@@ -86,14 +99,18 @@ def write_loads(df: DataFrame, path: str, load_col, operation_of,
     ``operation_of(load_id, first_load_id) -> str`` its operation. Load records come from the written
     table's per-partition counts (Parquet footers), not from a second pass over the input."""
     spark = df.sparkSession
-    out = df.select(*GOOD_COLUMNS).withColumn("load_id", F.col(load_col).cast("bigint")
-                                              if isinstance(load_col, str) else load_col.cast("bigint"))
+    attempt = _new_attempt()
+    load = F.col(load_col) if isinstance(load_col, str) else load_col
+    out = (df.select(*GOOD_COLUMNS).withColumn("load_id", load.cast("bigint"))
+             .withColumn("attempt", F.lit(attempt)))
     _rebalanced_write(out, _data(path), target_file_bytes)
-    counts = spark.read.parquet(_data(path)).groupBy("load_id").count().collect()  # one row per load
+    # one row per load of this attempt, from the written files (partition-pruned, footers only)
+    counts = (spark.read.parquet(_data(path)).where(F.col("attempt") == attempt)
+                   .groupBy("load_id").count().collect())
     now = dt.datetime.now(dt.timezone.utc)
     first = min(int(r["load_id"]) for r in counts)
     _record_loads(spark, path, [(int(r["load_id"]), operation_of(int(r["load_id"]), first), now,
-                                 int(r["count"]), None)
+                                 int(r["count"]), None, attempt)
                                 for r in sorted(counts, key=lambda r: r["load_id"])])
 
 
@@ -105,7 +122,7 @@ def rollback(spark: SparkSession, path: str, to_load: int) -> int:
     if to_load not in known:
         raise ValueError(f"no load {to_load}")
     new_id = max(known) + 1
-    _record_loads(spark, path, [(new_id, "rollback", dt.datetime.now(dt.timezone.utc), 0, to_load)])
+    _record_loads(spark, path, [(new_id, "rollback", dt.datetime.now(dt.timezone.utc), 0, to_load, None)])
     return new_id
 
 
@@ -141,17 +158,34 @@ def visible_loads(spark: SparkSession, path: str, as_of: int | None = None) -> l
     return sorted(out)
 
 
+def _attempts(spark: SparkSession, path: str, loads: list[int]) -> list[tuple[int, str]]:
+    recs = {r["load_id"]: r["attempt"] for r in load_history(spark, path, None).collect()}
+    return [(k, recs[k]) for k in loads]
+
+
+def _current_files(spark: SparkSession, path: str, loads: list[int]) -> DataFrame:
+    """Rows of the recorded attempt of each given load (a partition filter)."""
+    pairs = _attempts(spark, path, loads)
+    df = spark.read.parquet(_data(path))
+    if not pairs:
+        return df.where(F.lit(False))
+    cond = functools.reduce(lambda a, b: a | b,
+                            [(F.col("load_id") == k) & (F.col("attempt") == a) for k, a in pairs])
+    return df.where(cond)
+
+
 def read_table(spark: SparkSession, path: str, as_of: int | None = None,
                with_load: bool = False) -> DataFrame:
-    """Table state (T9 as-of when ``as_of`` is given); the load filter prunes partitions."""
-    loads = visible_loads(spark, path, as_of)
-    df = spark.read.parquet(_data(path)).where(F.col("load_id").isin(loads))
+    """Table state (T9 as-of when ``as_of`` is given); the (load, attempt) filter prunes
+    partitions."""
+    df = _current_files(spark, path, visible_loads(spark, path, as_of))
     return df.select(*GOOD_COLUMNS, *(["load_id"] if with_load else []))
 
 
-def table_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per data file: file_path, record_count, file_size_in_bytes, partition."""
-    df = spark.read.parquet(_data(path))
+def table_files(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """Data files of the table state (current, or as of a load): file_path,
+    record_count, file_size_in_bytes, partition."""
+    df = _current_files(spark, path, visible_loads(spark, path, as_of))
     return (df.select(F.col("_metadata.file_path").alias("file_path"),
                       F.col("_metadata.file_size").alias("file_size_in_bytes"),
                       F.struct("load_id", "status").alias("partition"))
@@ -159,22 +193,28 @@ def table_files(spark: SparkSession, path: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("record_count")))
 
 
-def partition_summary(spark: SparkSession, path: str) -> DataFrame:
-    """T7 per partition: number of data files and rows in each (load_id, status)."""
-    files = table_files(spark, path)
+def partition_summary(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """T7 per partition: number of data files and rows in each (load_id, status) of the state."""
+    files = table_files(spark, path, as_of)
     return (files.groupBy(F.col("partition.load_id").alias("load_id"), F.col("partition.status").alias("status"))
                  .agg(F.count(F.lit(1)).alias("n_files"), F.sum("record_count").alias("record_count")))
 
 
 def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None,
                   target_file_bytes: int = TARGET_FILE_BYTES) -> None:
-    """Rewrite the given loads' partitions (all when None) into files of about the
-    target size; rows are unchanged. Dynamic partition overwrite touches only those
-    partitions; the rebalance hint with the advisory size sets how many files each gets."""
-    df = spark.read.parquet(_data(path))
-    if loads is not None:
-        df = df.where(F.col("load_id").isin(loads))
-    _rebalanced_write(df.select(*GOOD_COLUMNS, "load_id"), _data(path), target_file_bytes)
+    """Rewrite the given loads (all data loads when None) into files of about the target
+    size; rows are unchanged. The rows go to a new attempt, then each load record is swapped
+    to it (the old files are no longer read); the rebalance hint with the advisory size sets
+    how many files each partition gets."""
+    recs = {r["load_id"]: r for r in load_history(spark, path, None).collect()}
+    loads = [k for k in (loads if loads is not None else recs) if recs[k]["attempt"] is not None]
+    if not loads:
+        return
+    attempt = _new_attempt()
+    df = _current_files(spark, path, loads).withColumn("attempt", F.lit(attempt))
+    _rebalanced_write(df.select(*GOOD_COLUMNS, "load_id", "attempt"), _data(path), target_file_bytes)
+    _record_loads(spark, path, [(k, recs[k]["operation"], recs[k]["committed_at"], recs[k]["n_rows"],
+                                 recs[k]["target"], attempt) for k in sorted(loads)])
 
 
 def layout_by_status(df: DataFrame, max_records_per_file: int | None = None) -> DataFrame:
