@@ -95,3 +95,19 @@ def test_layouts(spark, tmp_dir):
     p2 = f"{tmp_dir}/bystatus"
     tb.layout_by_status(good).write.partitionBy("status").parquet(p2)
     assert spark.read.parquet(p2).count() == good.count()
+
+
+def test_serving_layout_files_are_sorted_and_disjoint(spark, tmp_dir):
+    from transferlake.operators import stats
+    v = Views(spark, SF01)
+    flat = stats.sliding_stats(v.enriched, money_scale=2)
+    tb.write_serving(stats.serving_layout(flat, num_partitions=4), "parquet", path=f"{tmp_dir}/serving")
+    out = spark.read.parquet(f"{tmp_dir}/serving").withColumn("f", F.input_file_name())
+    ranges = []
+    for f in [r.f for r in out.select("f").distinct().collect()]:
+        rows = [(r.window_start, r.status) for r in spark.read.parquet(f).select("window_start", "status").collect()]
+        assert rows == sorted(rows)
+        ranges.append((rows[0], rows[-1]))
+    ranges.sort()
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert out.count() == flat.count()
