@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from transferlake.functions import (epoch_to_instant, normalise_id, normalise_status,
                                     ntz_to_instant, parse_amount)
-from transferlake.schemas import GOOD_COLUMNS, UNKNOWN_STATUS
+from transferlake.schemas import GOOD_COLUMNS, ORIGINAL_EFFECTIVE_SENTINELS, UNKNOWN_STATUS
 
 def _epoch() -> F.Column:
     return F.timestamp_seconds(F.lit(0))
@@ -131,7 +131,7 @@ def reference_routes(clean: DataFrame) -> DataFrame:
     status; it fills a missing timestamp with the epoch, and its filters do not partition the
     input, so some rows reach neither table ('lost')."""
     ref_status = F.trim(F.col("raw_status"))
-    ref_status = F.when(ref_status.isin("", "N/A", "NULL"), F.lit(UNKNOWN_STATUS)).otherwise(ref_status)
+    ref_status = F.when(ref_status.isin(*ORIGINAL_EFFECTIVE_SENTINELS), F.lit(UNKNOWN_STATUS)).otherwise(ref_status)
     ts = F.coalesce(F.col("timestamp"), _epoch())
     amount = F.col("amount")
     ref_good = ((amount > 0) & ref_status.isNotNull() & (ref_status != UNKNOWN_STATUS) & (ts > _epoch()))

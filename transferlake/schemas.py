@@ -4,6 +4,8 @@ Fixed values (must equal the behaviour being rebuilt; kept together, in natural
   landing CSV columns (positional): tx_id, sender_id, receiver_id, amount, currency, status, timestamp
   topic payload: tx_id INT, status STRING, amount DOUBLE, timestamp LONG, receiver_id STRING, currency STRING
   status values replaced by 'Unknown' after trimming: '', 'N/A', 'NULL', 'null'
+  status values the original job effectively replaces (its list runs after trimming, so its
+  padded spellings never match): '', 'N/A', 'NULL'
   sliding window 10 minutes, slide 1 minute, watermark 15 minutes
   large-transfer alert threshold 50000
 """
@@ -20,6 +22,7 @@ GOOD_COLUMNS = ["tx_id", "sender_id", "receiver_id", "amount", "currency", "stat
 
 UNKNOWN_STATUS = "Unknown"
 STATUS_SENTINELS = ["", "N/A", "NULL", "null"]
+ORIGINAL_EFFECTIVE_SENTINELS = ["", "N/A", "NULL"]
 
 WINDOW_DURATION = "10 minutes"
 WINDOW_SLIDE = "1 minute"
