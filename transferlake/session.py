@@ -39,17 +39,25 @@ def build_session(master: str = "local[8]", app: str = "transferlake",
     return spark
 
 
+_SCRATCH_KEY = "spark.transferlake.scratchDir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a private one only when the cluster names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="transferlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only when the session names none (tests, a bare local session) a private folder is made,
+    registered as the SparkContext's checkpoint dir (``spark.checkpoint.dir`` itself cannot be
+    changed at runtime) and remembered under a library key for later calls."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH_KEY, None)
     try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
+        sc_dir = spark.sparkContext.getCheckpointDir()
     except Exception:  # noqa: BLE001  (Spark Connect: the server reads spark.checkpoint.dir)
-        pass
+        return path or ""
+    if not path:
+        path = sc_dir or tempfile.mkdtemp(prefix="transferlake-ckpt-")
+        spark.conf.set(_SCRATCH_KEY, path)
+    if sc_dir is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
