@@ -232,3 +232,11 @@ SELECT CAST(year("timestamp") AS BIGINT) AS load_id, status, count(*) AS record_
 FROM v3
 WHERE year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 'replace')
 GROUP BY 1, 2"""
+
+ORACLE.update({
+    "compact_files": _with("v3").rstrip("\n") + ",\n" + _LOADS + """
+SELECT v3.* FROM v3
+WHERE year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 'replace')""",
+    "layout_by_status": _with("v3") + "SELECT * FROM v3",
+    "layout_sorted": _with("v3") + "SELECT * FROM v3",
+})

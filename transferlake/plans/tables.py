@@ -115,3 +115,40 @@ QUERIES.update({
     "landing_load": landing_load,
     "landing_dead_letters": landing_dead_letters,
 })
+
+
+def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compact every load of the yearly table; the current state must be unchanged."""
+    path = _yearly_loads(spark, sf_dir, "compact")
+    tb.compact_files(spark, path)
+    return for_oracle(tb.read_table(spark, path))
+
+
+def layout_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: V3 written with the hash-by-status layout (partitioned by status), read back."""
+    path = shared_dir(spark, "tables", "bystatus", unique=True)
+    tb.layout_by_status(Views(spark, sf_dir).good).write.partitionBy("status").parquet(path)
+    return for_oracle(spark.read.parquet(path).select(*Views(spark, sf_dir).good.columns))
+
+
+def layout_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 written as files each sorted by status, read back."""
+    path = shared_dir(spark, "tables", "sorted", unique=True)
+    tb.layout_sorted(Views(spark, sf_dir).good).write.parquet(path)
+    return for_oracle(spark.read.parquet(path))
+
+
+def files_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per landing file, from one glob read (rows-only: file names vary)."""
+    from transferlake.sources import landing
+    path = shared_dir(spark, "landing", "by_source", unique=True)
+    landing.write_landing(Views(spark, sf_dir).raw, path)
+    return landing.files_by_source(landing.read_landing(spark, path, with_source=True))
+
+
+QUERIES.update({
+    "compact_files": compact_files,
+    "layout_by_status": layout_by_status,
+    "layout_sorted": layout_sorted,
+    "files_by_source": files_by_source,
+})
