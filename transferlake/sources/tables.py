@@ -35,6 +35,8 @@ LOAD_SCHEMA = T.StructType([
 ])
 
 PARTITION_COLUMNS = ["load_id", "attempt", "status"]
+# Target data-file size of the transfer table (the reference's table property): compaction
+# uses it explicitly; regular loads follow the session's AQE advisory size.
 TARGET_FILE_BYTES = 134_217_728
 
 
@@ -54,12 +56,19 @@ def _new_attempt() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int) -> None:
+def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int | None) -> None:
     """Write partitioned by (load_id, attempt, status) into fresh attempt folders; AQE
-    rebalances rows so each file is about ``target_file_bytes`` (a hot status is split, small
-    ones merged). A retried job rewrites the same attempt folders (dynamic overwrite)."""
+    rebalances rows into pieces of its advisory partition size (a hot status is split, small
+    ones merged), so files follow the session's ``advisoryPartitionSizeInBytes`` (set it to
+    the table's target file size, e.g. 128 MiB). An explicit ``target_file_bytes`` sets that
+    size for this write only (the session setting is restored afterwards; other jobs running
+    on the same session meanwhile would see it). A retried job rewrites the same attempt
+    folders (dynamic overwrite)."""
     spark = df.sparkSession
     out = df.hint("rebalance", "load_id", "status")
+    if target_file_bytes is None:
+        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(path)
+        return
     prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
     try:
@@ -74,7 +83,7 @@ def _record_loads(spark: SparkSession, path: str, rows: list[tuple]) -> None:
 
 
 def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append",
-               target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+               target_file_bytes: int | None = None) -> int:
     """Write one load. ``operation``: 'replace' (S6: create-or-replace) or 'append' (S7).
 
     Rows are rebalanced by partition (AQE splits a hot status into file-sized pieces and
@@ -94,7 +103,7 @@ def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append"
 
 
 def write_loads(df: DataFrame, path: str, load_col, operation_of,
-                target_file_bytes: int = TARGET_FILE_BYTES) -> None:
+                target_file_bytes: int | None = None) -> None:
     """Backfill many loads in one job: ``load_col`` gives each row its load id and
     ``operation_of(load_id, first_load_id) -> str`` its operation. Load records come from the written
     table's per-partition counts (Parquet footers), not from a second pass over the input."""
@@ -201,7 +210,7 @@ def partition_summary(spark: SparkSession, path: str, as_of: int | None = None)
 
 
 def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None,
-                  target_file_bytes: int = TARGET_FILE_BYTES) -> None:
+                  target_file_bytes: int | None = TARGET_FILE_BYTES) -> None:
     """Rewrite the given loads (all data loads when None) into files of about the target
     size; rows are unchanged. The rows go to a new attempt, then each load record is swapped
     to it (the old files are no longer read); the rebalance hint with the advisory size sets
