@@ -53,7 +53,27 @@ def _dynamic(writer):
 
 
 def _new_attempt() -> str:
-    return uuid.uuid4().hex[:12]
+    # a letter first: folder values that look numeric would be read back as numbers
+    return "a" + uuid.uuid4().hex[:12]
+
+
+# Types of the data folder, partition columns included: read with this schema, partition
+# values keep their declared types whatever their folder names look like.
+DATA_SCHEMA = T.StructType([
+    T.StructField("tx_id", T.StringType()),
+    T.StructField("sender_id", T.StringType()),
+    T.StructField("receiver_id", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("currency", T.StringType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("load_id", T.LongType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("status", T.StringType()),
+])
+
+
+def _read_data(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DATA_SCHEMA).parquet(_data(path))
 
 
 def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int | None) -> None:
@@ -114,7 +134,7 @@ def write_loads(df: DataFrame, path: str, load_col, operation_of,
              .withColumn("attempt", F.lit(attempt)))
     _rebalanced_write(out, _data(path), target_file_bytes)
     # one row per load of this attempt, from the written files (partition-pruned, footers only)
-    counts = (spark.read.parquet(_data(path)).where(F.col("attempt") == attempt)
+    counts = (_read_data(spark, path).where(F.col("attempt") == attempt)
                    .groupBy("load_id").count().collect())
     now = dt.datetime.now(dt.timezone.utc)
     first = min(int(r["load_id"]) for r in counts)
@@ -175,7 +195,7 @@ def _attempts(spark: SparkSession, path: str, loads: list[int]) -> list[tuple[in
 def _current_files(spark: SparkSession, path: str, loads: list[int]) -> DataFrame:
     """Rows of the recorded attempt of each given load (a partition filter)."""
     pairs = _attempts(spark, path, loads)
-    df = spark.read.parquet(_data(path))
+    df = _read_data(spark, path)
     if not pairs:
         return df.where(F.lit(False))
     cond = functools.reduce(lambda a, b: a | b,
@@ -226,7 +246,7 @@ def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None
                                  recs[k]["target"], attempt) for k in sorted(loads)])
 
 
-def layout_by_status(df: DataFrame, max_records_per_file: int | None = None) -> DataFrame:
+def layout_by_status(df: DataFrame) -> DataFrame:
     """T4: hash distribution by status as a rebalance (AQE splits a hot status)."""
     return df.hint("rebalance", "status")
 
