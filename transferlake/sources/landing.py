@@ -49,7 +49,8 @@ def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing:
     All lines are read as strings with their file; a file's header is the first line of its
     first split (smallest row id there, row ids growing in file order inside a split). Each
     declared name is looked up in that header, giving its position per file; data rows then
-    pick their value from that position."""
+    pick their value from that position. Finding the headers is a second read of the files
+    (the split filter is applied after the scan)."""
     fields = _fields(schema)
     width = len(fields)
     raw_cols = [f"_c{i}" for i in range(width)]
