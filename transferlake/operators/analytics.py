@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlake.functions import money
-from transferlake.schemas import LARGE_TRANSFER_THRESHOLD, UNKNOWN_STATUS
+from transferlake.schemas import HOT_KEY_ROWS, LARGE_TRANSFER_THRESHOLD, UNKNOWN_STATUS
 
 
 def _sum_money(c, money_scale):
@@ -59,11 +59,6 @@ def sorted_transfers(df: DataFrame, key: str = "sender_id", tiebreak: tuple[str,
     return df.orderBy(key, *tiebreak)
 
 
-# A sender with more transfers than this is "hot": its average reaches its rows through a
-# broadcast instead of the shuffle join. There are at most rows / HOT_KEY_ROWS such senders.
-HOT_KEY_ROWS = 1_000_000
-
-
 def sender_avg_diff(good: DataFrame, money_scale: int | None = None,
                     hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Each transfer with its sender's average amount and the difference.

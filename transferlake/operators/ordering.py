@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from transferlake.schemas import HOT_KEY_ROWS
 from transferlake.session import ensure_checkpoint_dir
 
 
@@ -41,8 +42,7 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
     return numbered.select(seq.alias(out), *df.columns)
 
 
-# Groups with more rows than this are "hot" and never gathered into one window task.
-HOT_GROUP_ROWS = 1_000_000
+HOT_GROUP_ROWS = HOT_KEY_ROWS
 # Up to this many hot groups are tagged with a literal set; more go through a broadcast join.
 HOT_LIST_MAX = 10_000
 

@@ -44,5 +44,9 @@ REJECT_REASONS = [
 
 STATS_KEY = ["window_start", "window_end", "status", "currency"]
 
+# A key (sender) with more rows than this is "hot": it is never gathered into one task
+# (broadcast or range-partitioned paths). There are at most rows / HOT_KEY_ROWS such keys.
+HOT_KEY_ROWS = 1_000_000
+
 STATS_TABLE_DDL = ("window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, status STRING, "
                    "total_sum DOUBLE, tx_count BIGINT, currency STRING")
