@@ -165,3 +165,22 @@ def test_rate_limit_one_file_per_batch(spark, tmp_dir):
     q = run_available(sliding_stats_stream(records, dim, True), f"{base}/ckpt", stats_sink(f"{base}/stats"))
     data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(data_batches) == 3 and all(p["numInputRows"] == 1 for p in data_batches)
+
+
+def test_alerts_parse_amount_leniently(spark, tmp_dir):
+    from transferlake.streaming.stats_stream import stream_alerts
+    base = local_path(tmp_dir)
+    src = os.path.join(base, "src")
+    os.makedirs(src, exist_ok=True)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write('{"tx_id": 1, "amount": 60000.5, "receiver_id": "R1"}\n')
+        fh.write('{"tx_id": 2, "amount": "70000,25", "receiver_id": "R2"}\n')
+        fh.write('{"tx_id": 3, "amount": "abc", "receiver_id": "R3"}\n')
+        fh.write('{"tx_id": 4, "receiver_id": "R4"}\n')
+        fh.write('not json\n')
+        fh.write('{"tx_id": 5, "amount": 10, "receiver_id": "R5"}\n')
+    alerts = stream_alerts(read_event_stream(spark, "files", path=src), 50000.0)
+    run_available(alerts, f"{base}/ckpt", lambda df, bid: sinks.write_batch(df, f"{base}/out", bid),
+                  output_mode="append")
+    got = {r.tx_id: r.amount for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {1: 60000.5, 2: 70000.25}

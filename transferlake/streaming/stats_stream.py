@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlake.functions import money
+from transferlake.functions import lenient_amount, money
 from transferlake.operators.enrich import enrich_events, snapshot_dimension, with_event_time
 from transferlake.operators.stats import flatten_window
 from transferlake.schemas import (EVENT_DDL, WATERMARK_DELAY, WINDOW_DURATION, WINDOW_SLIDE)
@@ -94,9 +94,16 @@ def stats_sink(lake_path: str, serving_path: str | None = None) -> DualSink:
     return DualSink(lake_path, serving_path, flatten=flatten_window)
 
 
+ALERT_DDL = EVENT_DDL.replace("amount DOUBLE", "amount STRING")
+
+
 def stream_alerts(records: DataFrame, threshold: float) -> DataFrame:
-    """D6 on a stream: decoded events above the threshold (stateless, append)."""
-    ev = decode_events(records, EVENT_DDL)
+    """D6 on a stream: events whose amount exceeds the threshold (stateless, append).
+
+    The amount is read as text and parsed leniently (decimal comma, blanks, quotes), as the
+    alert consumer does: a JSON number or a string such as "60000,5" both count; a missing
+    or unparsable amount raises no alert; undecodable messages are skipped."""
+    ev = decode_events(records, ALERT_DDL).withColumn("amount", lenient_amount("amount", None))
     return ev.where(F.col("amount") > threshold).select("tx_id", "receiver_id", "amount")
 
 
