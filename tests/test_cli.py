@@ -15,6 +15,9 @@ def test_cli_jobs(spark, tmp_dir):
     out = cli.main(["load-landing", "--landing", f"{tmp_dir}/landing", "--table", f"{tmp_dir}/t",
                     "--dlq", f"{tmp_dir}/dlq", "--load-id", "1", "--replace"], spark)
     assert out["good_rows"] == v.good.count()
+    pub = cli.main(["publish", "--landing", f"{tmp_dir}/landing", "--out", f"{tmp_dir}/topic", "--cap", "100"], spark)
+    assert pub["published"] == 100
+    assert spark.read.text(f"{tmp_dir}/topic").count() == 100
     fields = ["tx_id", "status", "amount", "timestamp", "receiver_id", "currency"]
     rp.write_chunk(v.events, rp.chunk_of([]), 0, fields, f"{tmp_dir}/events")
     res = cli.main(["stream-stats", "--events", f"{tmp_dir}/events", "--table", f"{tmp_dir}/t",

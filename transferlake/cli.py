@@ -2,6 +2,7 @@
 
   python -m transferlake.cli load-landing --landing PATH --table PATH --dlq PATH --load-id N [--replace]
   python -m transferlake.cli stream-stats --events PATH --table PATH --out PATH --checkpoint PATH [--serving PATH]
+  python -m transferlake.cli publish --landing PATH --out PATH [--cap N]
   python -m transferlake.cli history --table PATH [-n 5]
   python -m transferlake.cli rollback --table PATH --to N
   python -m transferlake.cli compact --table PATH [--loads N ...]
@@ -33,6 +34,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--serving")
     s.add_argument("--max-files", type=int)
     s.add_argument("--state-partitions", type=int)
+    pb = sub.add_parser("publish")
+    pb.add_argument("--landing", required=True)
+    pb.add_argument("--out", required=True, help="folder for JSON event files")
+    pb.add_argument("--cap", type=int)
     h = sub.add_parser("history")
     h.add_argument("--table", required=True)
     h.add_argument("-n", type=int, default=5)
@@ -60,6 +65,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                   checkpoint=args.checkpoint, source_path=args.events,
                                   max_per_trigger=args.max_files, state_partitions=args.state_partitions)
         out = {"batches": len(q.recentProgress)}
+    elif args.cmd == "publish":
+        out = {"published": jobs.publish_landing(spark, args.landing, out_path=args.out, cap=args.cap)}
     elif args.cmd == "history":
         out = {"loads": [r.asDict() for r in tb.load_history(spark, args.table, args.n).collect()]}
     elif args.cmd == "rollback":

@@ -50,3 +50,21 @@ def stream_stats_job(spark: SparkSession, *, dim_source: DataFrame, snapshot_pat
     agg = sliding_stats_stream(records, dim, small, money_scale=money_scale, dedupe_key=dedupe_key)
     return run_available(agg, checkpoint, stats_sink(lake_path, serving_path),
                          state_partitions=state_partitions)
+
+
+def publish_landing(spark: SparkSession, landing_path: str, *, fmt: str = "text",
+                    out_path: str | None = None, options: dict | None = None,
+                    cap: int | None = None, on_bad: str = "zero") -> int:
+    """The publisher: landing CSV files (columns bound by each file's header) numbered 1..N
+    in (file name, position in file) order, optionally capped, written as JSON events to text
+    files or a topic. Returns the number of events published."""
+    from pyspark.sql import Observation
+    from transferlake.operators.publish import publish_events
+    from transferlake.sources.events import write_events
+    rows = landing.read_landing(spark, landing_path, by_header=True, with_source=True)
+    rows = rows.withColumn("_pos", F.monotonically_increasing_id())
+    order = [F.col("source_file"), F.col("source_block"), F.col("_pos")]
+    events = publish_events(rows, order, cap=cap, on_bad=on_bad)
+    obs = Observation("published")
+    write_events(events.observe(obs, F.count(F.lit(1)).alias("n")), fmt, path=out_path, options=options)
+    return int(obs.get["n"])
