@@ -53,6 +53,8 @@ def test_publish_order_follows_files_and_cap(spark, tmp_dir):
     assert [r.tx_id for r in rows] == list(range(1, raw.count() + 1))
     capped = publish_events(df, order, cap=100, num_partitions=3)
     assert capped.count() == 100 and capped.agg(F.max("tx_id")).first()[0] == 100
+    # the top-k path for a cap equals the first rows of the full numbering
+    assert sorted(map(tuple, capped.collect())) == [(r.tx_id, r.value) for r in rows[:100]]
     assert raw.where("timestamp IS NULL").count() > 0
     nulls = [r.value for r in rows if '"timestamp":null' in r.value]
     assert len(nulls) == raw.where("timestamp IS NULL").count()
