@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from transferlake.functions import (epoch_to_instant, normalise_id, normalise_status,
                                     ntz_to_instant, parse_amount)
-from transferlake.schemas import GOOD_COLUMNS, ORIGINAL_EFFECTIVE_SENTINELS, UNKNOWN_STATUS
+from transferlake.schemas import (GOOD_COLUMNS, ORIGINAL_EFFECTIVE_SENTINELS, REJECT_REASONS,
+                                  UNKNOWN_STATUS)
 
 def _epoch() -> F.Column:
     return F.timestamp_seconds(F.lit(0))
@@ -44,19 +45,20 @@ def reject_reasons(df: DataFrame, max_epoch: int | None = None) -> F.Column:
     as seconds."""
     amount, status, ts = F.col("amount"), F.col("status"), F.col("timestamp")
     raw_missing = F.col("raw_amount").isNull() | (F.trim(F.col("raw_amount")) == "")
-    rules = [
-        ("amount_missing", raw_missing),
-        ("amount_unparsable", ~raw_missing & amount.isNull()),
-        ("amount_not_finite", F.isnan(amount) | (F.abs(amount) == float("inf"))),
-        ("amount_not_positive", amount <= 0),
-        ("status_missing", status.isNull()),
-        ("status_unknown", status == UNKNOWN_STATUS),
-        ("timestamp_missing", ts.isNull()),
-        ("timestamp_not_after_epoch", ts <= _epoch()),
-    ]
+    rules = {
+        "amount_missing": raw_missing,
+        "amount_unparsable": ~raw_missing & amount.isNull(),
+        "amount_not_finite": F.isnan(amount) | (F.abs(amount) == float("inf")),
+        "amount_not_positive": amount <= 0,
+        "status_missing": status.isNull(),
+        "status_unknown": status == UNKNOWN_STATUS,
+        "timestamp_missing": ts.isNull(),
+        "timestamp_not_after_epoch": ts <= _epoch(),
+    }
     if max_epoch is not None:
-        rules.append(("timestamp_after_bound", ts > F.timestamp_seconds(F.lit(max_epoch))))
-    return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules]))
+        rules["timestamp_after_bound"] = ts > F.timestamp_seconds(F.lit(max_epoch))
+    ordered = [(name, rules[name]) for name in REJECT_REASONS if name in rules]
+    return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in ordered]))
 
 
 def good_predicate(max_epoch: int | None = None) -> F.Column:
