@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transferlake.plans.views import MONEY_SCALE, Views, for_oracle
 from transferlake.operators.stats import flatten_window
-from transferlake.schemas import EVENT_DDL
+from transferlake.schemas import EVENT_DDL, STATS_KEY
 from transferlake.session import shared_dir
 from transferlake.sources.events import read_event_stream
 from transferlake.streaming import replay as rp
@@ -21,7 +21,7 @@ EVERY_FOUR_DAYS = [5, 9, 13, 17, 21, 25, 29]
 STATS_KEYS = ["window", "status", "currency"]
 # Stateful shuffle partitions of the stats stream (the reference runs its stream with 4).
 STATE_PARTITIONS = 4
-SERVING_KEYS = ["window_start", "window_end", "status", "currency"]
+SERVING_KEYS = STATS_KEY
 
 
 def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: list[int],
