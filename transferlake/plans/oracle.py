@@ -240,3 +240,7 @@ WHERE year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 're
     "layout_by_status": _with("v3") + "SELECT * FROM v3",
     "layout_sorted": _with("v3") + "SELECT * FROM v3",
 })
+
+ORACLE["stream_sliding_stats_append"] = _with("stats") + """
+SELECT * FROM stats
+WHERE window_end <= (SELECT max(event_time) FROM enr) - INTERVAL 15 MINUTE"""

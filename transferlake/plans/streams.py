@@ -25,7 +25,7 @@ SERVING_KEYS = STATS_KEY
 
 
 def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: list[int],
-                     serving: bool = False) -> str:
+                     serving: bool = False, output_mode: str = "update") -> str:
     """Replay V4 and run the stats stream after every chunk; returns the output folder."""
     v = Views(spark, sf_dir)
     base = shared_dir(spark, "stream", name, unique=True)
@@ -36,7 +36,8 @@ def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: li
     def drain(_k):
         records = read_event_stream(spark, "files", path=src)
         agg = sliding_stats_stream(records, dim, small, money_scale=MONEY_SCALE)
-        run_available(agg, f"{base}/checkpoint", sink, state_partitions=STATE_PARTITIONS)
+        run_available(agg, f"{base}/checkpoint", sink, output_mode=output_mode,
+                      state_partitions=STATE_PARTITIONS)
 
     rp.replay(v.events, rp.chunk_of(day_bounds), len(day_bounds) + 1, FIELDS, src, drain)
     return base
@@ -60,6 +61,13 @@ def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_oracle(sinks.read_latest(spark, f"{base}/serving", SERVING_KEYS))
 
 
+def stream_sliding_stats_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 append mode: each window is emitted once, when the watermark closes it; windows still
+    open at the end of the replay are held back."""
+    base = run_stats_replay(spark, sf_dir, "append", WEEKLY, output_mode="append")
+    return for_oracle(flatten_window(spark.read.parquet(f"{base}/stats").drop("batch_id")))
+
+
 STREAM_ALERT_THRESHOLD = 200.0
 
 
@@ -82,5 +90,6 @@ QUERIES = {
     "stream_sliding_stats": stream_sliding_stats,
     "stats_upsert": stats_upsert,
     "stream_dual_sink": stream_dual_sink,
+    "stream_sliding_stats_append": stream_sliding_stats_append,
     "stream_transfer_alerts": stream_transfer_alerts,
 }
