@@ -244,3 +244,15 @@ WHERE year("timestamp") >= (SELECT max(load_id) FROM loads WHERE operation = 're
 ORACLE["stream_sliding_stats_append"] = _with("stats") + """
 SELECT * FROM stats
 WHERE window_end <= (SELECT max(event_time) FROM enr) - INTERVAL 15 MINUTE"""
+
+ORACLE["stream_late_drop"] = _with("enr") + """, on_time AS (
+  SELECT * FROM enr WHERE day(event_time) NOT BETWEEN 8 AND 14
+)
+SELECT date_trunc('minute', event_time) - to_minutes(i) AS window_start,
+       date_trunc('minute', event_time) - to_minutes(i) + INTERVAL 10 MINUTE AS window_end,
+       status, currency,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sum,
+       count(tx_id) AS tx_count
+FROM on_time, range(10) t(i)
+WHERE event_time IS NOT NULL
+GROUP BY 1, 2, 3, 4"""

@@ -32,8 +32,10 @@ def write_chunk(events: DataFrame, chunk_expr, k: int, fields: list[str], src_pa
     event_payloads(part, fields).write.mode("overwrite").text(f"{src_path.rstrip('/')}/chunk={k:03d}")
 
 
-def replay(events: DataFrame, chunk_expr, n_chunks: int, fields: list[str], src_path: str, after_chunk) -> None:
-    """Write chunk k, then call ``after_chunk(k)`` (run the stream), for k = 0..n-1."""
-    for k in range(n_chunks):
+def replay(events: DataFrame, chunk_expr, n_chunks: int, fields: list[str], src_path: str, after_chunk,
+           order: list[int] | None = None) -> None:
+    """Write chunk k, then call ``after_chunk(k)`` (run the stream), for k in ``order``
+    (0..n-1 by default; another order makes chunks arrive late)."""
+    for k in (order if order is not None else range(n_chunks)):
         write_chunk(events, chunk_expr, k, fields, src_path)
         after_chunk(k)
