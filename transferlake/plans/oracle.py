@@ -256,3 +256,5 @@ SELECT date_trunc('minute', event_time) - to_minutes(i) AS window_start,
 FROM on_time, range(10) t(i)
 WHERE event_time IS NOT NULL
 GROUP BY 1, 2, 3, 4"""
+
+ORACLE["stream_redelivery_dedupe"] = _with("stats") + "SELECT * FROM stats"

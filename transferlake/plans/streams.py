@@ -26,7 +26,8 @@ SERVING_KEYS = STATS_KEY
 
 def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: list[int],
                      serving: bool = False, output_mode: str = "update",
-                     order: list[int] | None = None) -> str:
+                     order: list[int] | None = None, redeliver: set[int] | None = None,
+                     dedupe_key: str | None = None) -> str:
     """Replay V4 and run the stats stream after every chunk; returns the output folder."""
     v = Views(spark, sf_dir)
     base = shared_dir(spark, "stream", name, unique=True)
@@ -36,11 +37,11 @@ def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: li
 
     def drain(_k):
         records = read_event_stream(spark, "files", path=src)
-        agg = sliding_stats_stream(records, dim, small, money_scale=MONEY_SCALE)
+        agg = sliding_stats_stream(records, dim, small, money_scale=MONEY_SCALE, dedupe_key=dedupe_key)
         run_available(agg, f"{base}/checkpoint", sink, output_mode=output_mode,
                       state_partitions=STATE_PARTITIONS)
 
-    rp.replay(v.events, rp.chunk_of(day_bounds), len(day_bounds) + 1, FIELDS, src, drain, order)
+    rp.replay(v.events, rp.chunk_of(day_bounds), len(day_bounds) + 1, FIELDS, src, drain, order, redeliver)
     return base
 
 
@@ -76,6 +77,13 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
 
 
+def stream_redelivery_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 (stream): the second week is delivered twice in one arrival; duplicates of a tx_id
+    within the watermark delay are dropped, so the result equals the batch result."""
+    base = run_stats_replay(spark, sf_dir, "redeliver", WEEKLY, redeliver={1}, dedupe_key="tx_id")
+    return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
+
+
 STREAM_ALERT_THRESHOLD = 200.0
 
 
@@ -100,5 +108,6 @@ QUERIES = {
     "stream_dual_sink": stream_dual_sink,
     "stream_sliding_stats_append": stream_sliding_stats_append,
     "stream_late_drop": stream_late_drop,
+    "stream_redelivery_dedupe": stream_redelivery_dedupe,
     "stream_transfer_alerts": stream_transfer_alerts,
 }

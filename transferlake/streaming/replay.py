@@ -27,15 +27,21 @@ def chunk_of(day_bounds: list[int], ts_col: str = "timestamp"):
     return expr
 
 
-def write_chunk(events: DataFrame, chunk_expr, k: int, fields: list[str], src_path: str) -> None:
+def write_chunk(events: DataFrame, chunk_expr, k: int, fields: list[str], src_path: str,
+                copy: int = 0) -> None:
+    """Write chunk k's payloads; ``copy`` > 0 writes another delivery of the same events."""
     part = events.where(chunk_expr == k)
-    event_payloads(part, fields).write.mode("overwrite").text(f"{src_path.rstrip('/')}/chunk={k:03d}")
+    folder = f"chunk={k:03d}" + (f"-copy{copy}" if copy else "")
+    event_payloads(part, fields).write.mode("overwrite").text(f"{src_path.rstrip('/')}/{folder}")
 
 
 def replay(events: DataFrame, chunk_expr, n_chunks: int, fields: list[str], src_path: str, after_chunk,
-           order: list[int] | None = None) -> None:
+           order: list[int] | None = None, redeliver: set[int] | None = None) -> None:
     """Write chunk k, then call ``after_chunk(k)`` (run the stream), for k in ``order``
-    (0..n-1 by default; another order makes chunks arrive late)."""
+    (0..n-1 by default; another order makes chunks arrive late). Chunks in ``redeliver`` are
+    delivered twice in the same arrival (at-least-once sources do that)."""
     for k in (order if order is not None else range(n_chunks)):
         write_chunk(events, chunk_expr, k, fields, src_path)
+        if redeliver and k in redeliver:
+            write_chunk(events, chunk_expr, k, fields, src_path, copy=1)
         after_chunk(k)
