@@ -116,3 +116,13 @@ def test_publish_on_bad(spark):
                                "status string, amount string, timestamp long, receiver_id string, currency string, sender_id string")
     assert event_fields(df).first().amount == 0.0
     assert event_fields(df, on_bad="null").first().amount is None
+
+
+def test_reference_routes_on_fixture(raw):
+    gap = {r.tx_id: (r.reference_route, r.our_route)
+           for r in cleaning.reference_routes(cleaning.clean_transfers(raw)).collect()}
+    assert gap["lcnull"] == ("good", "dlq")      # ' null' survives the original sentinel list
+    assert gap["zero"] == ("lost", "dlq")        # amount 0 matches neither original filter
+    assert gap["nullts"] == ("lost", "dlq")      # filled with the epoch, then neither filter
+    assert gap["epoch"] == ("lost", "dlq")
+    assert "neg" not in gap and "ok" not in gap  # same route in both
