@@ -184,3 +184,11 @@ def test_alerts_parse_amount_leniently(spark, tmp_dir):
                   output_mode="append")
     got = {r.tx_id: r.amount for r in spark.read.parquet(f"{base}/out").collect()}
     assert got == {1: 60000.5, 2: 70000.25}
+
+
+def test_kafka_option_mapping():
+    from transferlake.sources.events import kafka_options
+    opts = kafka_options({"kafka.bootstrap.servers": "broker:9092", "subscribe": "transfers"}, 4000)
+    assert opts == {"startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "4000",
+                    "kafka.bootstrap.servers": "broker:9092", "subscribe": "transfers"}
+    assert kafka_options({"startingOffsets": "latest"})["startingOffsets"] == "latest"

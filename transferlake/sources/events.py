@@ -36,6 +36,16 @@ def decode_events(records: DataFrame, schema: str = EVENT_DDL, value_col: str =
     return out.select("data.*")
 
 
+def kafka_options(options: dict, max_per_trigger: int | None = None) -> dict:
+    """Kafka source options (I8, I12): start from the earliest offsets, tolerate lost offsets,
+    and cap each micro-batch at ``max_per_trigger`` offsets; caller options win."""
+    opts = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+    if max_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    opts.update(options)
+    return opts
+
+
 def read_event_stream(spark: SparkSession, source: str = "files", *, path: str | None = None,
                       options: dict | None = None, max_per_trigger: int | None = None) -> DataFrame:
     """Streaming ``value`` records.
@@ -52,11 +62,8 @@ def read_event_stream(spark: SparkSession, source: str = "files", *, path: str |
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
         return reader.options(**opts).load(path)
     if source == "kafka":
-        opts.setdefault("startingOffsets", "earliest")
-        opts.setdefault("failOnDataLoss", "false")
-        if max_per_trigger:
-            opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
-        return spark.readStream.format("kafka").options(**opts).load().select("value")
+        return (spark.readStream.format("kafka").options(**kafka_options(opts, max_per_trigger))
+                     .load().select("value"))
     raise ValueError(f"unknown source {source!r}")
 
 
