@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from transferlake.llm.fingerprints import op5_fingerprints
+from transferlake.llm.mixing import op4_mixing
 from transferlake.llm.quality import op8_quality
+from transferlake.llm.secrets import op9_secrets
+from transferlake.llm.sharding import op7_sharding
 from transferlake.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_mixing": op4_mixing,
+    "op5_fingerprints": op5_fingerprints,
+    "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE: dict[str, str] = {}
