@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from transferlake.llm.fingerprints import op5_fingerprints
+from transferlake.llm.language import op6_language
 from transferlake.llm.mixing import op4_mixing
 from transferlake.llm.quality import op8_quality
 from transferlake.llm.secrets import op9_secrets
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_mixing": op4_mixing,
     "op5_fingerprints": op5_fingerprints,
+    "op6_language": op6_language,
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
