@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from transferlake.llm.decontamination import OP2_SQL, op2_decontamination
 from transferlake.llm.fingerprints import op5_fingerprints
 from transferlake.llm.language import op6_language
 from transferlake.llm.mixing import op4_mixing
@@ -9,9 +10,12 @@ from transferlake.llm.quality import op8_quality
 from transferlake.llm.secrets import op9_secrets
 from transferlake.llm.sharding import op7_sharding
 from transferlake.llm.toxicity import op1_toxicity
+from transferlake.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
+    "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_fingerprints": op5_fingerprints,
     "op6_language": op6_language,
@@ -20,4 +24,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+    "op3_warc": OP3_SQL,
+}
