@@ -59,23 +59,24 @@ def _features(batches_in):
 
 
 def _fit(batches_in):
-    rows = [(y, np.asarray(b, dtype=np.int64)) for pdf in batches_in for y, b in zip(pdf["y"], pdf["buckets"])]
+    size = 1 << BITS
+    rows, on, off = [], np.zeros(size), np.zeros(size)
+    for pdf in batches_in:
+        for y, found in zip(pdf["y"], pdf["buckets"]):
+            found = np.asarray(found, dtype=np.int32)
+            (on if y else off)[found] += 1
+            rows.append((y, found))
     rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))     # the same model in whatever order rows come
     y = np.array([r[0] for r in rows], dtype=np.float64)
-    size = 1 << BITS
     if len(set(y)) < 2:
         yield pd.DataFrame({"weights": [np.zeros(size, np.float32).tobytes()], "bias": [0.0]})
         return
-    sizes = np.array([len(r[1]) for r in rows])
-    index, owner = np.concatenate([r[1] for r in rows]), np.repeat(np.arange(len(rows)), sizes)
-    on = np.bincount(index, y[owner], size)
-    off = np.bincount(index, 1 - y[owner], size)
     ratio = np.log((on + 1) / (on.sum() + size)) - np.log((off + 1) / (off.sum() + size))
     p1, p0 = (on + 1) / (y.sum() + 2), (off + 1) / ((1 - y).sum() + 2)
     spread = np.sqrt((1 - p1) / (on + 1) + (1 - p0) / (off + 1))
     ratio[np.abs(np.log(p1 / p0)) < MIN_SIGMA * spread] = 0        # may differ by chance alone
-    use = ratio[index] != 0
-    index, owner = index[use], owner[use]
+    telling = [found[ratio[found] != 0] for _, found in rows]
+    index, owner = np.concatenate(telling).astype(np.int64), np.repeat(np.arange(len(rows)), [len(t) for t in telling])
     value = ratio[index]
 
     def loss(v):
