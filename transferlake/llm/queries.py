@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from transferlake.llm.decontamination import OP2_SQL, op2_decontamination
 from transferlake.llm.fingerprints import op5_fingerprints
+from transferlake.llm.jaccard import OP10_SQL, op10_jaccard_join
 from transferlake.llm.language import op6_language
 from transferlake.llm.mixing import op4_mixing
 from transferlake.llm.quality import op8_quality
@@ -22,9 +23,11 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op3_warc": OP3_SQL,
+    "op10_jaccard_join": OP10_SQL,
 }
