@@ -161,7 +161,8 @@ def train(stats: DataFrame, labels: DataFrame) -> Model:
             for i, a, b in zip(pdf["i"], pdf["a"], pdf["b"]):
                 old = total.get(i)
                 total[i] = [a, b] if old is None else [old[0] + a, old[1] + b]
-        yield pd.DataFrame({"i": list(total), "a": [v[0] for v in total.values()], "b": [v[1] for v in total.values()]})
+        if total:
+            yield pd.DataFrame({"i": list(total), "a": [v[0] for v in total.values()], "b": [v[1] for v in total.values()]})
 
     shape = "i int, a array<double>, b double"
     # A partition sends one row per line of the matrix; lines are added up by their number.
