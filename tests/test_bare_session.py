@@ -29,3 +29,13 @@ def test_contract_on_bare_session():
     assert out.returncode == 0, out.stderr[-3000:]
     got = dict(line.split() for line in out.stdout.splitlines() if line.split()[0] in ("entry", "lag", "publish"))
     assert int(got["entry"]) > 0 and int(got["lag"]) > 0 and int(got["publish"]) > 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+    from transferlake.session import scratch_for
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_for(master)
+    for master in ("local", "local[4]", "local[*]", "local[2,3]"):
+        assert os.path.isdir(scratch_for(master))

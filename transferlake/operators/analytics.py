@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlake.functions import money
-from transferlake.schemas import HOT_KEY_ROWS, LARGE_TRANSFER_THRESHOLD, UNKNOWN_STATUS
+from transferlake.schemas import LARGE_TRANSFER_THRESHOLD, UNKNOWN_STATUS
+from transferlake.session import stored
 
 
 def _sum_money(c, money_scale):
@@ -59,37 +60,27 @@ def sorted_transfers(df: DataFrame, key: str = "sender_id", tiebreak: tuple[str,
     return df.orderBy(key, *tiebreak)
 
 
-def sender_avg_diff(good: DataFrame, money_scale: int | None = None,
-                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Each transfer with its sender's average amount and the difference.
+def sender_avg_diff(good: DataFrame, money_scale: int | None = None) -> DataFrame:
+    """Each transfer with its sender's average amount and the difference. Transfers
+    without a sender are one group, as in a window over sender_id.
 
     Per-sender sums are a partial aggregate (a sender with a third of all rows is combined
-    map-side) joined back on sender_id, instead of a window that gathers each sender into one
-    task. AQE cannot split a skewed join partition whose other side is an aggregate, so hot
-    senders (more than ``hot_rows`` transfers; at most rows / hot_rows of them) are joined
-    through a broadcast of their averages, and only the remaining senders, none of them hot,
-    take the shuffle join."""
-    per = (good.groupBy("sender_id")
-               .agg(_sum_money("amount", money_scale).alias("_s"), F.count("amount").alias("_n"))
-               .select("sender_id", "_n",
-                       (_as_double(F.col("_s"), money_scale) / F.col("_n")).alias("user_avg_amount")))
-    hot = per.where(F.col("_n") > hot_rows).select(F.col("sender_id").alias("_hot_sender"),
-                                                  F.col("user_avg_amount").alias("_hot_avg"))
+    map-side), frozen as a table in the shared folder and joined back null-safely. Catalyst
+    broadcasts that table if it is small; else it is an ordinary shuffle join, which AQE splits
+    where one sender holds many rows (it can't split a join whose other side is an aggregate,
+    nor a window)."""
+    per = (good.groupBy(F.col("sender_id").alias("_sender"))
+               .agg((_as_double(_sum_money("amount", money_scale), money_scale) / F.nullif(F.count("amount"), F.lit(0))).alias("user_avg_amount")))
+    per = stored(per, "sender-averages")
     base = good.select("sender_id", "tx_id", "timestamp", "amount")
-    tagged = base.join(F.broadcast(hot), base["sender_id"] == hot["_hot_sender"], "left")
-    hot_rows_out = (tagged.where(F.col("_hot_sender").isNotNull())
-                          .select("sender_id", "tx_id", "timestamp", "amount",
-                                  F.col("_hot_avg").alias("user_avg_amount")))
-    cold = (tagged.where(F.col("_hot_sender").isNull()).select("sender_id", "tx_id", "timestamp", "amount")
-                  .join(per.where(F.col("_n") <= hot_rows).select("sender_id", "user_avg_amount"), "sender_id"))
-    joined = hot_rows_out.unionByName(cold.select(*hot_rows_out.columns))
+    joined = base.join(per, F.col("sender_id").eqNullSafe(F.col("_sender")), "left")
     return joined.select("sender_id", "tx_id", "timestamp", "amount", "user_avg_amount",
                          (F.col("amount") - F.col("user_avg_amount")).alias("diff_from_avg"))
 
 
-def _per_user(transfers: DataFrame, money_scale, status: str | None = None) -> DataFrame:
+def _per_user(transfers: DataFrame, money_scale, status: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     t = transfers if status is None else transfers.where(F.col("status") == status)
-    return t.groupBy("user_id").agg(_sum_money("amount", money_scale).alias("_s"))
+    return t.groupBy("user_id", *also).agg(_sum_money("amount", money_scale).alias("_s"))
 
 
 def user_totals(users: DataFrame, transfers: DataFrame, money_scale: int | None = None,
@@ -116,9 +107,10 @@ def user_totals_having(users: DataFrame, transfers: DataFrame, min_total: float
 
 def user_currency_totals(users: DataFrame, transfers: DataFrame, currencies: DataFrame,
                          money_scale: int | None = None) -> DataFrame:
-    """SUM(amount) by (name, currency_code) over users x transfers x currencies."""
-    j = (users.select("user_id", "name", "currency_id")
-              .join(_per_user(transfers, money_scale), "user_id")
+    """SUM(amount) by (name, currency_code) over users x transfers x currencies; the
+    currency is the transfer's, so a user has a row for each currency."""
+    j = (users.select("user_id", "name")
+              .join(_per_user(transfers, money_scale, also=("currency_id",)), "user_id")
               .join(currencies.select("currency_id", "currency_code"), "currency_id"))
     return (j.groupBy("name", "currency_code")
              .agg(_as_double(F.sum("_s"), money_scale).alias("total_amount")))

@@ -1,26 +1,18 @@
 """Order-dependent operators that stay distributed.
 
-The running number and the LAG of hot groups range-partition the rows on the full sort key, so
-a group holding a third of all rows is split across many partitions, and cut lineage with a
-reliable ``checkpoint()`` (written to the cluster's ``spark.checkpoint.dir``) so the partition
-ids the second pass relies on are fixed even if executors are lost and tasks rerun. The only
-data that crosses partitions is one row per partition (a size bound set by the partition
-count), broadcast to the second pass.
+The running number range-partitions the rows on the full sort key and freezes them as a table
+in the shared folder, so the second pass sees the partitions the first one made even if
+executors are lost. LAG cuts every group into ranges of its first order column by fixed cut
+points, so a group holding a third of all rows is split and a retried task deals rows as before.
+What crosses ranges is one row per (group, range) or per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transferlake.schemas import HOT_KEY_ROWS
-from transferlake.session import ensure_checkpoint_dir
-
-
-def _ranged(df: DataFrame, n: int | None, keys: list) -> DataFrame:
-    """Range-partition on ``keys``; without ``n`` AQE sizes the partitions (it only merges
-    neighbours, so partition order still follows key order)."""
-    return df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
+from transferlake.session import stored
 
 
 def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
@@ -28,78 +20,50 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
     """Dense 1..N numbering in ``order_by`` order without a single-task global window.
 
     number = rows in earlier range partitions + position inside the partition."""
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (_ranged(df, num_partitions, order_by)
-                .sortWithinPartitions(*order_by)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint())
+    ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
+    ranged = stored(ranged.sortWithinPartitions(*order_by)
+                          .withColumn("_pid", F.spark_partition_id())
+                          .withColumn("_mid", F.monotonically_increasing_id()), "numbered")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # One row per partition: bounded by the partition count.
     numbered = ranged.join(F.broadcast(offsets), "_pid")
     seq = (F.col("_off") + (F.col("_mid") - F.col("_m0")) + F.lit(1)).cast("bigint")
     return numbered.select(seq.alias(out), *df.columns)
 
 
-HOT_GROUP_ROWS = HOT_KEY_ROWS
-# Up to this many hot groups are tagged with a literal set; more go through a broadcast join.
-HOT_LIST_MAX = 10_000
+def _ranges_of(df: DataFrame, column: Column, ranges: int) -> Column:
+    """Range number of a numeric or time column, by cut points of near-equal counts."""
+    number = column.cast("double")
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(df.select(number.alias("_n")).approxQuantile("_n", probs, 0.5 / ranges))) if probs else []
+    if not cuts:
+        return F.lit(0)
+    return F.when(number.isNull(), 0).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= number)))
 
 
 def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
-                 num_partitions: int | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """LAG(value) OVER (PARTITION BY group ORDER BY order_by), skew-safe.
-
-    Rows per group are counted first (a partial aggregate). Groups of at most ``hot_rows``
-    rows take Spark's window (one shuffle; no task holds more than ``hot_rows`` rows of a
-    group). The hot groups, at most rows / hot_rows of them (so their list is bounded and
-    read on the driver), go through ``lag_over_ranges``, which splits a group across many
-    tasks."""
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = counts.where(F.col("_n") > hot_rows).select(F.col(group).alias("_hot"))
-    hot = [r[0] for r in hot_keys.limit(HOT_LIST_MAX + 1).collect()]
-    w = Window.partitionBy(group).orderBy(*order_by)
-    if not hot:
-        return df.withColumn(out, F.lag(value).over(w))
-    if len(hot) <= HOT_LIST_MAX:
-        tagged = df.withColumn("_is_hot", F.coalesce(F.col(group).isin(hot), F.lit(False)))
-    else:   # many hot groups: tag through a broadcast join (still at most rows / hot_rows)
-        tagged = (df.join(F.broadcast(hot_keys), df[group] == F.col("_hot"), "left")
-                    .withColumn("_is_hot", F.col("_hot").isNotNull()).drop("_hot"))
-    cold = tagged.where(~F.col("_is_hot")).drop("_is_hot").withColumn(out, F.lag(value).over(w))
-    warm = lag_over_ranges(tagged.where(F.col("_is_hot")).drop("_is_hot"), group, order_by, value,
-                           out, num_partitions)
-    return cold.unionByName(warm)
-
-
-def lag_over_ranges(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
-                    num_partitions: int | None = None) -> DataFrame:
-    """LAG over range partitions: rows are range-partitioned on (group, *order_by); the lag
-    is taken inside each range partition, and the first row of a partition takes the last
-    row of the previous non-empty partition when that row belongs to the same group."""
-    ensure_checkpoint_dir(df.sparkSession)
-    keys = [group, *order_by]
-    ranged = (_ranged(df, num_partitions, keys)
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint())
-    w = Window.partitionBy("_pid").orderBy(*keys)
-    local = (ranged.withColumn("_lag_g", F.lag(group).over(w))
-                   .withColumn("_lag_v", F.lag(value).over(w))
-                   .withColumn("_first", F.row_number().over(w) == 1))
-    tails = ranged.groupBy("_pid").agg(
-        F.max_by(F.struct(F.col(group).alias("g"), F.col(value).alias("v")), F.struct(*keys)).alias("_tail"))
-    prev = tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_prev"))
-    joined = local.join(F.broadcast(prev), "_pid", "left")
-    lag_v = (F.when(F.col("_first"),
-                    F.when(F.col("_prev.g") == F.col(group), F.col("_prev.v")))
-              .when(F.col("_lag_g") == F.col(group), F.col("_lag_v")))
-    return joined.select(*df.columns, lag_v.alias(out))
-
-
-def prev_amount_by_sender(good: DataFrame, num_partitions: int | None = None,
-                          hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
+    """LAG(value) OVER (PARTITION BY group ORDER BY order_by); NULL is a group like any other.
+
+    ``order_by[0]`` must be a number or a time. Rows are dealt by (group, range of that
+    column) and lagged there; the first row of a range takes the last value of the group's
+    range before it."""
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = [F.col(group).isNull().alias("_none"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_g"),
+           _ranges_of(df, F.col(order_by[0]), ranges).alias("_r")]
+    rows = df.select("*", *key)
+    inside = Window.partitionBy("_none", "_g", "_r").orderBy(*order_by)
+    local = rows.withColumn("_lag", F.lag(value).over(inside)).withColumn("_at", F.row_number().over(inside))
+    tails = rows.groupBy("_none", "_g", "_r").agg(
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order_by)).alias("_tail"))
+    previous = tails.select("_none", "_g", "_r", F.lag("_tail").over(Window.partitionBy("_none", "_g").orderBy("_r")).alias("_prev"))
+    joined = local.join(previous, ["_none", "_g", "_r"])
+    return joined.select(*df.columns, F.when(F.col("_at") == 1, F.col("_prev.v")).otherwise(F.col("_lag")).alias(out))
+
+
+def prev_amount_by_sender(good: DataFrame, ranges: int | None = None) -> DataFrame:
     """Previous amount of the same sender by (timestamp, tx_id)."""
     base = good.select("sender_id", "tx_id", "timestamp", "amount")
-    return lag_in_group(base, "sender_id", ["timestamp", "tx_id"], "amount", "prev_tx_amount",
-                        num_partitions, hot_rows)
+    return lag_in_group(base, "sender_id", ["timestamp", "tx_id"], "amount", "prev_tx_amount", ranges)

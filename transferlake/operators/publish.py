@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlake.functions import lenient_amount, lenient_long, strip_ws
@@ -11,10 +11,6 @@ from transferlake.sources.events import payload
 from transferlake.schemas import PUBLISHED_FIELDS
 
 
-# Caps up to this size are served by a top-k instead of numbering every row.
-TOPK_CAP_MAX = 1_000_000
-
-
 def event_fields(raw: DataFrame, on_bad: str = "zero") -> DataFrame:
     """Publisher's per-row rules as column expressions: amount comma->point, blanks and quotes
     stripped, bad -> 0.0; timestamp parsed like int() (bad/blank -> NULL); receiver stripped;
@@ -44,14 +40,7 @@ def publish_events(raw: DataFrame, order_by: list, cap: int | None = None,
     keyed = raw.select("*", *[c.alias(f"_order{i}") for i, c in enumerate(order_cols)])
     fields = event_fields(keyed, on_bad)
     keys = [f"_order{i}" for i in range(len(order_cols))]
-    if cap is not None and cap <= TOPK_CAP_MAX:
-        # the first ``cap`` rows by a top-k (each task keeps its first cap rows, the merge
-        # sees at most cap per task), numbered in one task of at most cap rows
-        first = fields.orderBy(*keys).limit(cap)
-        numbered = first.select(F.row_number().over(Window.orderBy(*keys)).cast("bigint").alias("tx_id"),
-                                *fields.columns)
-    else:
-        numbered = running_number(fields, keys, "tx_id", num_partitions)
-        if cap is not None:
-            numbered = numbered.where(F.col("tx_id") <= cap)
+    numbered = running_number(fields, keys, "tx_id", num_partitions)
+    if cap is not None:
+        numbered = numbered.where(F.col("tx_id") <= cap)
     return numbered.select("tx_id", payload(PUBLISHED_FIELDS).alias("value"))

@@ -7,10 +7,11 @@ benchmark. Shared scratch space is always taken from the cluster's ``spark.check
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,21 +41,33 @@ def build_session(master: str = "local[8]", app: str = "transferlake",
 
 
 _SCRATCH_KEY = "spark.transferlake.scratchDir"
+NO_SHARED_DIR = "set spark.checkpoint.dir to a folder that the driver and all executors share"
+
+
+def scratch_for(master: str) -> str:
+    """A private scratch folder for a local master; an error for any other."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(NO_SHARED_DIR)
+    return tempfile.mkdtemp(prefix="transferlake-ckpt-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, a bare local session) a private folder is made,
-    registered as the SparkContext's checkpoint dir (``spark.checkpoint.dir`` itself cannot be
-    changed at runtime) and remembered under a library key for later calls."""
+    Only when the session names none and its master is local (tests, a bare local session) a
+    private folder is made, registered as the SparkContext's checkpoint dir
+    (``spark.checkpoint.dir`` itself cannot be changed at runtime) and remembered under a
+    library key for later calls. On any other master a missing setting is an error: a folder of
+    the driver's machine would leave every executor with files of its own."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH_KEY, None)
     try:
         sc_dir = spark.sparkContext.getCheckpointDir()
     except Exception:  # noqa: BLE001  (Spark Connect: the server reads spark.checkpoint.dir)
-        return path or ""
+        if not path:
+            raise RuntimeError(NO_SHARED_DIR) from None
+        return path
     if not path:
-        path = sc_dir or tempfile.mkdtemp(prefix="transferlake-ckpt-")
+        path = sc_dir or scratch_for(spark.sparkContext.master)
         spark.conf.set(_SCRATCH_KEY, path)
     if sc_dir is None:
         spark.sparkContext.setCheckpointDir(path)
@@ -70,6 +83,14 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, "transferlake", *sub])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: later uses see the
+    same rows, whatever executors are lost."""
+    path = shared_dir(df.sparkSession, "stored", name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str | None:
     """Plain filesystem path for a ``file:`` or bare path, else None (remote store)."""
     if path.startswith("file:"):
