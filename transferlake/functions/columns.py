@@ -76,7 +76,9 @@ def ntz_to_instant(c) -> Column:
 
 
 def money(c, scale: int | None) -> Column:
-    """Value used for summing money: DOUBLE as is, or exact DECIMAL(18, scale) when a scale is given."""
+    """Value used for summing money: DOUBLE as is, or exact DECIMAL(28, scale) when a scale is
+    given (amounts with more decimals are rounded to it). The cleaning step rejects amounts the
+    type can't hold; from other inputs such an amount counts as NULL, so one can't stop a sum."""
     if scale is None:
         return _c(c)
-    return _c(c).cast(f"decimal(18,{scale})")
+    return _c(c).try_cast(f"decimal(28,{scale})")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from transferlake.functions import (epoch_to_instant, normalise_id, normalise_status,
                                     ntz_to_instant, parse_amount)
-from transferlake.schemas import (GOOD_COLUMNS, ORIGINAL_EFFECTIVE_SENTINELS, REJECT_REASONS,
+from transferlake.schemas import (AMOUNT_BOUND, GOOD_COLUMNS, ORIGINAL_EFFECTIVE_SENTINELS, REJECT_REASONS,
                                   UNKNOWN_STATUS)
 
 def _epoch() -> F.Column:
@@ -50,6 +50,7 @@ def reject_reasons(df: DataFrame, max_epoch: int | None = None) -> F.Column:
         "amount_unparsable": ~raw_missing & amount.isNull(),
         "amount_not_finite": F.isnan(amount) | (F.abs(amount) == float("inf")),
         "amount_not_positive": amount <= 0,
+        "amount_above_bound": (amount >= AMOUNT_BOUND) & (amount < float("inf")),
         "status_missing": status.isNull(),
         "status_unknown": status == UNKNOWN_STATUS,
         "timestamp_missing": ts.isNull(),
@@ -63,10 +64,10 @@ def reject_reasons(df: DataFrame, max_epoch: int | None = None) -> F.Column:
 
 def good_predicate(max_epoch: int | None = None) -> F.Column:
     """D1 on cleaned columns: a positive finite amount, a known status, a time after the epoch
-    (and not after ``max_epoch`` when given). NaN and infinity fail ``< inf``; NULLs fail
+    (and not after ``max_epoch`` when given). NaN and infinity fail ``< AMOUNT_BOUND``; NULLs fail
     every comparison."""
     amount = F.col("amount")
-    ok = ((amount > 0) & (amount < float("inf"))
+    ok = ((amount > 0) & (amount < AMOUNT_BOUND)
           & F.col("status").isNotNull() & (F.col("status") != UNKNOWN_STATUS)
           & (F.col("timestamp") > _epoch()))
     if max_epoch is not None:

@@ -2,7 +2,8 @@
 
 Fixed values (must equal the behaviour being rebuilt; kept together, in natural order):
   landing CSV columns (positional): tx_id, sender_id, receiver_id, amount, currency, status, timestamp
-  topic payload: tx_id INT, status STRING, amount DOUBLE, timestamp LONG, receiver_id STRING, currency STRING
+  topic payload: tx_id, status STRING, amount DOUBLE, timestamp LONG, receiver_id STRING, currency STRING
+  (tx_id was INT; it is BIGINT here, since the publisher's running number has no upper end)
   status values replaced by 'Unknown' after trimming: '', 'N/A', 'NULL', 'null'
   status values the original job effectively replaces (its list runs after trimming, so its
   padded spellings never match): '', 'N/A', 'NULL'
@@ -13,13 +14,16 @@ Fixed values (must equal the behaviour being rebuilt; kept together, in natural
 LANDING_DDL = ("tx_id STRING, sender_id STRING, receiver_id STRING, amount STRING, "
                "currency STRING, status STRING, timestamp LONG")
 
-EVENT_DDL = ("tx_id INT, status STRING, amount DOUBLE, timestamp LONG, "
+EVENT_DDL = ("tx_id BIGINT, status STRING, amount DOUBLE, timestamp LONG, "
              "receiver_id STRING, currency STRING")
 
 PUBLISHED_FIELDS = ["tx_id", "status", "amount", "timestamp", "receiver_id", "currency", "sender_id"]
 
 GOOD_COLUMNS = ["tx_id", "sender_id", "receiver_id", "amount", "currency", "status", "timestamp"]
 
+# Amounts are summed as DECIMAL(28, scale); anything from this bound on is rejected.
+AMOUNT_BOUND = 1e24
+
 UNKNOWN_STATUS = "Unknown"
 STATUS_SENTINELS = ["", "N/A", "NULL", "null"]
 ORIGINAL_EFFECTIVE_SENTINELS = ["", "N/A", "NULL"]
@@ -35,6 +39,7 @@ REJECT_REASONS = [
     "amount_unparsable",
     "amount_not_finite",
     "amount_not_positive",
+    "amount_above_bound",
     "status_missing",
     "status_unknown",
     "timestamp_missing",
@@ -44,9 +49,5 @@ REJECT_REASONS = [
 
 STATS_KEY = ["window_start", "window_end", "status", "currency"]
 
-# A key (sender) with more rows than this is "hot": it is never gathered into one task
-# (broadcast or range-partitioned paths). There are at most rows / HOT_KEY_ROWS such keys.
-HOT_KEY_ROWS = 1_000_000
-
 STATS_TABLE_DDL = ("window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, status STRING, "
                    "total_sum DOUBLE, tx_count BIGINT, currency STRING")
