@@ -21,25 +21,31 @@ def read_landing(spark: SparkSession, path: str, schema: str = LANDING_DDL, *,
     ``by_header=False``: columns bind by position to the declared schema (a bad LONG or an
     empty field becomes NULL; permissive). ``validate_header`` makes Spark check each file's
     header against the declared names instead of ignoring it. ``by_header=True``: columns
-    bind by header name and are cast with ``try_cast``; Spark takes the names from the first
-    file, so all files must share one header order. ``with_source`` adds the file of every row
-    (``source_file``) and the start of its split (``source_block``), which with the row order
-    of the scan gives the order of rows across files.
+    bind by each file's own header, whatever its width and order, and are cast with
+    ``try_cast``. ``with_source`` adds the file of every row (``source_file``), the start of its
+    split (``source_block``) and its number in the scan (``source_row``, rising inside a split);
+    the three give the order of rows across files.
     """
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("ignoreMissingFiles", ignore_missing))
+    source = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("source_block"),
+              F.monotonically_increasing_id().alias("source_row")]
     if by_header:
         df = _bind_by_header(spark, path, schema, ignore_missing)
     else:
         df = reader.schema(schema).option("enforceSchema", not validate_header).csv(path)
-    if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path")) \
-               .withColumn("source_block", F.col("_metadata.file_block_start"))
-    return df.select(*[n for n, _ in _fields(schema)], *(["source_file", "source_block"] if with_source else []))
+        df = df.select(*[n for n, _ in _fields(schema)], *(source if with_source else []))
+    return df.select(*[n for n, _ in _fields(schema)], *(["source_file", "source_block", "source_row"] if with_source else []))
 
 
-# Header tables of up to this many files are broadcast (one small row per file).
-HEADER_BROADCAST_MAX_FILES = 1_000_000
+def _widest_header(spark: SparkSession, path: str, ignore_missing: bool) -> int:
+    """Fields in the widest file's header (a quoted comma counts as one more, which only adds a
+    column that nothing is bound to)."""
+    lines = (spark.read.option("ignoreMissingFiles", ignore_missing).text(path)
+             .select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_row")).where("_block = 0"))
+    heads = lines.groupBy("_file").agg(F.min_by("value", "_row").alias("_h"))
+    return heads.agg(F.max(F.size(F.split("_h", ",")))).first()[0] or 1
 
 
 def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing: bool) -> DataFrame:
@@ -49,15 +55,16 @@ def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing:
     All lines are read as strings with their file; a file's header is the first line of its
     first split (smallest row id there, row ids growing in file order inside a split). Each
     declared name is looked up in that header, giving its position per file; data rows then
-    pick their value from that position. Finding the headers is a second read of the files
-    (the split filter is applied after the scan)."""
+    pick their value from that position. All columns of the widest file are read. Finding the
+    width and the headers are reads of the files of their own (the split filter is applied after
+    the scan)."""
     fields = _fields(schema)
-    width = len(fields)
+    width = _widest_header(spark, path, ignore_missing)
     raw_cols = [f"_c{i}" for i in range(width)]
     raw = (spark.read.schema(", ".join(f"{c} STRING" for c in raw_cols))
            .option("header", False).option("mode", "PERMISSIVE")
            .option("ignoreMissingFiles", ignore_missing).csv(path))
-    lines = raw.select(*raw_cols, "_metadata",
+    lines = raw.select(*raw_cols,
                        F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"),
                        F.monotonically_increasing_id().alias("_row"))
@@ -68,8 +75,6 @@ def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing:
         F.col("_file").alias("_hfile"), "_hrow",
         *[F.coalesce(*[F.when(F.trim(F.col(f"_h.{c}")) == name, F.lit(i)) for i, c in enumerate(raw_cols)])
             .alias(f"_pos_{name}") for name, _ in fields])
-    if len(raw.inputFiles()) <= HEADER_BROADCAST_MAX_FILES:
-        positions = F.broadcast(positions)
     joined = lines.join(positions, lines["_file"] == positions["_hfile"])
     data = joined.where(F.col("_row") != F.col("_hrow"))
     out = []
@@ -79,7 +84,7 @@ def _bind_by_header(spark: SparkSession, path: str, schema: str, ignore_missing:
         for i, c in enumerate(raw_cols):
             value = F.when(pos == i, F.col(c)) if value is None else value.when(pos == i, F.col(c))
         out.append(value.try_cast(typ).alias(name))
-    return data.select(*out, "_metadata")
+    return data.select(*out, F.col("_file").alias("source_file"), F.col("_block").alias("source_block"), F.col("_row").alias("source_row"))
 
 
 def write_landing(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -15,31 +15,8 @@ from pyspark.sql import functions as F
 from transferlake.functions import epoch_seconds_of_ntz
 
 
-SPREAD_MAX_SPLITS = 8
-SPREAD_TARGET_BYTES = 16 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan over more tasks: a small file with one row group is read by one
-    task, which then does all the parsing alone. Only inputs of at most SPREAD_MAX_SPLITS
-    splits (so at most that many times ``maxPartitionBytes``) are touched, into about 16 MiB
-    pieces capped by the cluster's parallelism; larger inputs already have enough splits and
-    are never reshuffled. Column pruning and filters still reach the scan."""
-    spark = df.sparkSession
-    try:
-        n = df.rdd.getNumPartitions()
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Spark Connect session)
-        return df
-    if n > SPREAD_MAX_SPLITS or n * 2 > slots:
-        return df
-    split_bytes = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b") or 134217728)
-    target = min(slots, max(1, n * split_bytes // SPREAD_TARGET_BYTES))
-    return df.repartition(target) if target > n else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _cases(key, mapping: dict, default):
@@ -89,7 +66,7 @@ def tx_events(events: DataFrame) -> DataFrame:
     """V4: decoded topic events (topic payload columns) made from ``events``."""
     k = F.from_json(F.col("props"), "k INT").getField("k")
     return events.select(
-        F.col("event_id").cast("int").alias("tx_id"),
+        F.col("event_id").cast("bigint").alias("tx_id"),
         F.col("event_type").alias("status"),
         F.col("value").alias("amount"),
         epoch_seconds_of_ntz(F.col("ts")).alias("timestamp"),
@@ -99,15 +76,28 @@ def tx_events(events: DataFrame) -> DataFrame:
 
 
 def users(customer: DataFrame) -> DataFrame:
-    """V6 users(user_id, name, currency_id); currency of the user's country."""
-    return customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"),
-                           F.col("c_nationkey").alias("currency_id"))
+    """V6 users(user_id, name)."""
+    return customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
 
 
 def user_transfers(orders: DataFrame) -> DataFrame:
-    """V6 transfers(user_id, amount, status); 'success' is order status 'F'."""
+    """V6 transfers(user_id, amount, status, currency_id); 'success' is order status 'F', and a
+    transfer's currency is one of the 25 countries' by its order key, so users have several."""
     return orders.select(F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("amount"),
-                         F.col("o_orderstatus").alias("status"))
+                         F.col("o_orderstatus").alias("status"),
+                         F.pmod(F.col("o_orderkey"), F.lit(25)).cast("int").alias("currency_id"))
+
+
+def second_month(events: DataFrame) -> DataFrame:
+    """V4 and a copy of it 31 days later, with ids beyond the range of INT."""
+    later = events.withColumn("tx_id", F.col("tx_id") + F.lit(10_000_000_000)) \
+                  .withColumn("timestamp", F.col("timestamp") + F.lit(31 * 86_400))
+    return events.unionByName(later)
+
+
+def without_some_senders(good: DataFrame) -> DataFrame:
+    """V3 with a third of the senders unknown."""
+    return good.withColumn("sender_id", F.when(F.pmod(F.col("tx_id").cast("bigint"), F.lit(3)) != 0, F.col("sender_id")))
 
 
 def currencies(nation: DataFrame, region: DataFrame) -> DataFrame:
