@@ -1,25 +1,20 @@
 """Lake tables on plain Parquet.
 
 A table is a folder with
-  data/    rows partitioned by (load_id, attempt, status); every write of a load goes to a
-           fresh ``attempt`` folder
-  _loads/  one small record per load: load_id, operation, committed_at, n_rows, target,
-           attempt; written after the data, it is the commit point of the load
-A load is visible only through its record, and only its recorded attempt is read: a load
-that failed half-way is invisible, and a rerun (or a compaction) writes a new attempt and then
-swaps the record, so stale files are never read. ``replace`` hides every earlier load,
-``append`` adds to the visible set, ``rollback`` points back to the state as of an earlier
-load without copying data. Which (load, attempt) pairs are visible is worked out from the
-load records (one row per load) and applied as a partition filter, so reads prune to them.
+  data/load_id=N/   the rows of load N, partitioned by status
+  _loads/           one small record per load: load_id, operation, committed_at, n_rows, target
+A load's record is written after its data, and rows without a record are not read. ``replace``
+and ``rollback`` loads hide every earlier load, ``append`` adds to what is visible: the state as
+of a load is the rows from the last replace or rollback up to it. A rollback copies the state it
+goes back to into a load of its own. A rerun of a load replaces its rows; until it has ended the
+load is incomplete, as with any Parquet folder that is overwritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import functools
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,34 +26,9 @@ LOAD_SCHEMA = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("target", T.LongType()),
-    T.StructField("attempt", T.StringType()),
 ])
 
-PARTITION_COLUMNS = ["load_id", "attempt", "status"]
-# Target data-file size of the transfer table (the reference's table property): compaction
-# uses it explicitly; regular loads follow the session's AQE advisory size.
-TARGET_FILE_BYTES = 134_217_728
-
-
-def _data(path: str) -> str:
-    return f"{path.rstrip('/')}/data"
-
-
-def _loads(path: str) -> str:
-    return f"{path.rstrip('/')}/_loads"
-
-
-def _dynamic(writer):
-    return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-
-
-def _new_attempt() -> str:
-    # a letter first: folder values that look numeric would be read back as numbers
-    return "a" + uuid.uuid4().hex[:12]
-
-
-# Types of the data folder, partition columns included: read with this schema, partition
-# values keep their declared types whatever their folder names look like.
+# Types of the data folder: partition values keep them whatever their folder names look like.
 DATA_SCHEMA = T.StructType([
     T.StructField("tx_id", T.StringType()),
     T.StructField("sender_id", T.StringType()),
@@ -67,159 +37,112 @@ DATA_SCHEMA = T.StructType([
     T.StructField("currency", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
     T.StructField("load_id", T.LongType()),
-    T.StructField("attempt", T.StringType()),
     T.StructField("status", T.StringType()),
 ])
 
 
-def _read_data(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DATA_SCHEMA).parquet(_data(path))
+def _data(path: str) -> str:
+    return f"{path.rstrip('/')}/data"
 
 
-def _rebalanced_write(df: DataFrame, path: str, target_file_bytes: int | None) -> None:
-    """Write partitioned by (load_id, attempt, status) into fresh attempt folders; AQE
-    rebalances rows into pieces of its advisory partition size (a hot status is split, small
-    ones merged), so files follow the session's ``advisoryPartitionSizeInBytes`` (set it to
-    the table's target file size, e.g. 128 MiB). An explicit ``target_file_bytes`` sets that
-    size for this write only (the session setting is restored afterwards; other jobs running
-    on the same session meanwhile would see it). A retried job rewrites the same attempt
-    folders (dynamic overwrite)."""
-    spark = df.sparkSession
-    out = df.hint("rebalance", "load_id", "status")
-    if target_file_bytes is None:
-        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(path)
-        return
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
-    try:
-        _dynamic(out.write).partitionBy(*PARTITION_COLUMNS).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+def _loads(path: str) -> str:
+    return f"{path.rstrip('/')}/_loads"
+
+
+def _read_data(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DATA_SCHEMA).parquet(_data(path))
 
 
 def _record_loads(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    recs = spark.createDataFrame(rows, LOAD_SCHEMA)
-    _dynamic(recs.coalesce(1).write).partitionBy("load_id").parquet(_loads(path))
+    spark.createDataFrame(rows, LOAD_SCHEMA).coalesce(1).write.mode("append").parquet(_loads(path))
 
 
-def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append",
-               target_file_bytes: int | None = None) -> int:
-    """Write one load. ``operation``: 'replace' (S6: create-or-replace) or 'append' (S7).
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
 
-    Rows are rebalanced by partition (AQE splits a hot status into file-sized pieces and
-    merges small ones), and the row count is observed during the write (no second scan)."""
-    if operation not in ("replace", "append"):
+
+def write_load(df: DataFrame, path: str, load_id: int, operation: str = "append", target: int | None = None) -> int:
+    """Write one load, perhaps of no rows. ``operation``: 'replace' (S6: create-or-replace),
+    'append' (S7) or 'rollback' (T9). Rows are rebalanced by status (AQE splits a hot status
+    into pieces of the session's advisory size and merges small ones) and counted from the
+    written files. Returns the count."""
+    if operation not in ("replace", "append", "rollback"):
         raise ValueError(operation)
-    spark = df.sparkSession
-    attempt = _new_attempt()
-    obs = Observation(f"load_{load_id}_{attempt}")
-    out = (df.select(*GOOD_COLUMNS).withColumn("load_id", F.lit(load_id).cast("bigint"))
-             .withColumn("attempt", F.lit(attempt))
-             .observe(obs, F.count(F.lit(1)).alias("n")))
-    _rebalanced_write(out, _data(path), target_file_bytes)
-    n = int(obs.get["n"])
-    _record_loads(spark, path, [(load_id, operation, dt.datetime.now(dt.timezone.utc), n, None, attempt)])
+    spark, folder = df.sparkSession, f"{_data(path)}/load_id={load_id}"
+    df.select(*GOOD_COLUMNS).hint("rebalance", "status").write.mode("overwrite").partitionBy("status").parquet(folder)
+    n = spark.read.schema(DATA_SCHEMA).parquet(folder).count()
+    _record_loads(spark, path, [(load_id, operation, _now(), n, target)])
     return n
 
 
-def write_loads(df: DataFrame, path: str, load_col, operation_of,
-                target_file_bytes: int | None = None) -> None:
+def write_loads(df: DataFrame, path: str, load_col, operation_of) -> None:
     """Backfill many loads in one job: ``load_col`` gives each row its load id and
-    ``operation_of(load_id, first_load_id) -> str`` its operation. Load records come from the written
-    table's per-partition counts (Parquet footers), not from a second pass over the input."""
+    ``operation_of(load_id, first_load_id) -> str`` its operation. Row counts come from the
+    written files, not from a second pass over the input."""
     spark = df.sparkSession
-    attempt = _new_attempt()
     load = F.col(load_col) if isinstance(load_col, str) else load_col
-    out = (df.select(*GOOD_COLUMNS).withColumn("load_id", load.cast("bigint"))
-             .withColumn("attempt", F.lit(attempt)))
-    _rebalanced_write(out, _data(path), target_file_bytes)
-    # one row per load of this attempt, from the written files (partition-pruned, footers only)
-    counts = (_read_data(spark, path).where(F.col("attempt") == attempt)
-                   .groupBy("load_id").count().collect())
-    now = dt.datetime.now(dt.timezone.utc)
-    first = min(int(r["load_id"]) for r in counts)
-    _record_loads(spark, path, [(int(r["load_id"]), operation_of(int(r["load_id"]), first), now,
-                                 int(r["count"]), None, attempt)
-                                for r in sorted(counts, key=lambda r: r["load_id"])])
+    out = df.select(*GOOD_COLUMNS).withColumn("load_id", load.cast("bigint"))
+    (out.hint("rebalance", "load_id", "status").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_id", "status").parquet(_data(path)))
+    counts = {int(r["load_id"]): int(r["count"]) for r in _read_data(spark, path).groupBy("load_id").count().collect()}
+    now = _now()
+    if counts:
+        _record_loads(spark, path, [(k, operation_of(k, min(counts)), now, n, None) for k, n in sorted(counts.items())])
 
 
 def rollback(spark: SparkSession, path: str, to_load: int) -> int:
-    """Make the state as of ``to_load`` current again. Metadata only: a new load record
-    (operation 'rollback', target = to_load); no data is copied or deleted."""
-    hist = load_history(spark, path, None).collect()
-    known = {r["load_id"] for r in hist}
-    if to_load not in known:
+    """Make the state as of ``to_load`` current again, as a new load (operation 'rollback',
+    target = to_load) that hides what came after."""
+    known = loads(spark, path).agg(F.max("load_id").alias("last"), F.max(F.col("load_id") == to_load).alias("known")).first()
+    if not known["known"]:
         raise ValueError(f"no load {to_load}")
-    new_id = max(known) + 1
-    _record_loads(spark, path, [(new_id, "rollback", dt.datetime.now(dt.timezone.utc), 0, to_load, None)])
+    new_id = known["last"] + 1
+    write_load(read_table(spark, path, to_load), path, new_id, "rollback", to_load)
     return new_id
 
 
+def loads(spark: SparkSession, path: str) -> DataFrame:
+    """The last record of every load."""
+    rest = [f.name for f in LOAD_SCHEMA if f.name != "load_id"]
+    records = spark.read.schema(LOAD_SCHEMA).parquet(_loads(path))
+    return records.groupBy("load_id").agg(F.max_by(F.struct(*rest), "committed_at").alias("_r")).select("load_id", "_r.*")
+
+
 def load_history(spark: SparkSession, path: str, n: int | None = 5) -> DataFrame:
-    """Newest loads first (by load id, which increases with every commit)."""
-    h = spark.read.schema(LOAD_SCHEMA).parquet(_loads(path)).orderBy(F.desc("load_id"))
+    """Newest loads first, by commit time (loads of one commit by id)."""
+    h = loads(spark, path).orderBy(F.desc("committed_at"), F.desc("load_id"))
     return h.limit(n) if n else h
 
 
-def visible_loads(spark: SparkSession, path: str, as_of: int | None = None) -> list[int]:
-    """Load ids whose rows make up the table state as of a load (latest when None)."""
-    recs = {r["load_id"]: r for r in load_history(spark, path, None).collect()}
-    if not recs:
-        return []
-    if as_of is None:
-        cur = max(recs)
-    else:   # the latest load at or before ``as_of``
-        earlier = [k for k in recs if k <= as_of]
-        if not earlier:
-            return []
-        cur = max(earlier)
-    out: list[int] = []
-    while cur is not None:
-        r = recs[cur]
-        if r["operation"] == "rollback":
-            cur = r["target"]
-            continue
-        out.append(cur)
-        if r["operation"] == "replace":
-            break
-        earlier = [k for k in recs if k < cur]
-        cur = max(earlier) if earlier else None
-    return sorted(out)
-
-
-def _attempts(spark: SparkSession, path: str, loads: list[int]) -> list[tuple[int, str]]:
-    recs = {r["load_id"]: r["attempt"] for r in load_history(spark, path, None).collect()}
-    return [(k, recs[k]) for k in loads]
-
-
-def _current_files(spark: SparkSession, path: str, loads: list[int]) -> DataFrame:
-    """Rows of the recorded attempt of each given load (a partition filter)."""
-    pairs = _attempts(spark, path, loads)
-    df = _read_data(spark, path)
-    if not pairs:
-        return df.where(F.lit(False))
-    cond = functools.reduce(lambda a, b: a | b,
-                            [(F.col("load_id") == k) & (F.col("attempt") == a) for k, a in pairs])
-    return df.where(cond)
+def visible_loads(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """load_id of the loads that make up the table state as of a load (latest when None)."""
+    h = loads(spark, path)
+    if as_of is not None:
+        h = h.where(F.col("load_id") <= as_of)
+    start = h.where("operation <> 'append'").agg(F.max("load_id").alias("_start"))
+    return h.join(F.broadcast(start), F.col("load_id") >= F.coalesce("_start", "load_id")).select("load_id")
+
+
+def _state(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """Rows of the visible loads: a semi join on the partition column, pruned at run time."""
+    return _read_data(spark, path).join(visible_loads(spark, path, as_of), "load_id", "left_semi")
 
 
 def read_table(spark: SparkSession, path: str, as_of: int | None = None,
                with_load: bool = False) -> DataFrame:
-    """Table state (T9 as-of when ``as_of`` is given); the (load, attempt) filter prunes
-    partitions."""
-    df = _current_files(spark, path, visible_loads(spark, path, as_of))
-    return df.select(*GOOD_COLUMNS, *(["load_id"] if with_load else []))
+    """Table state (T9 as-of when ``as_of`` is given)."""
+    return _state(spark, path, as_of).select(*GOOD_COLUMNS, *(["load_id"] if with_load else []))
 
 
 def table_files(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
     """Data files of the table state (current, or as of a load): file_path,
     record_count, file_size_in_bytes, partition."""
-    df = _current_files(spark, path, visible_loads(spark, path, as_of))
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size_in_bytes"),
-                      F.struct("load_id", "status").alias("partition"))
-              .groupBy("file_path", "file_size_in_bytes", "partition")
-              .agg(F.count(F.lit(1)).alias("record_count")))
+    files = _read_data(spark, path).select(
+        "load_id", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size_in_bytes"),
+        F.struct("load_id", "status").alias("partition"))
+    return (files.join(visible_loads(spark, path, as_of), "load_id", "left_semi")
+                 .groupBy("file_path", "file_size_in_bytes", "partition")
+                 .agg(F.count(F.lit(1)).alias("record_count")))
 
 
 def partition_summary(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
@@ -229,21 +152,16 @@ def partition_summary(spark: SparkSession, path: str, as_of: int | None = None)
                  .agg(F.count(F.lit(1)).alias("n_files"), F.sum("record_count").alias("record_count")))
 
 
-def compact_files(spark: SparkSession, path: str, loads: list[int] | None = None,
-                  target_file_bytes: int | None = TARGET_FILE_BYTES) -> None:
-    """Rewrite the given loads (all data loads when None) into files of about the target
-    size; rows are unchanged. The rows go to a new attempt, then each load record is swapped
-    to it (the old files are no longer read); the rebalance hint with the advisory size sets
-    how many files each partition gets."""
-    recs = {r["load_id"]: r for r in load_history(spark, path, None).collect()}
-    loads = [k for k in (loads if loads is not None else recs) if recs[k]["attempt"] is not None]
-    if not loads:
-        return
-    attempt = _new_attempt()
-    df = _current_files(spark, path, loads).withColumn("attempt", F.lit(attempt))
-    _rebalanced_write(df.select(*GOOD_COLUMNS, "load_id", "attempt"), _data(path), target_file_bytes)
-    _record_loads(spark, path, [(k, recs[k]["operation"], recs[k]["committed_at"], recs[k]["n_rows"],
-                                 recs[k]["target"], attempt) for k in sorted(loads)])
+def compact_files(spark: SparkSession, path: str, load_ids: list[int] | None = None) -> None:
+    """Rewrite the given loads (all when None) in place, as a dynamic overwrite of their
+    partitions; rows and load records are unchanged. The rebalance hint makes files of about
+    the session's ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (128 MiB is the target
+    size of the rebuilt table's files)."""
+    df = _read_data(spark, path)
+    if load_ids is not None:
+        df = df.where(F.col("load_id").isin(load_ids))
+    (df.select(*GOOD_COLUMNS, "load_id").hint("rebalance", "load_id", "status")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id", "status").parquet(_data(path)))
 
 
 def layout_by_status(df: DataFrame) -> DataFrame:
@@ -260,9 +178,10 @@ def layout_sorted(df: DataFrame, num_files: int | None = None) -> DataFrame:
 
 
 def layout_few_files(df: DataFrame, max_files: int = 3) -> DataFrame:
-    """T12 (DLQ side): at most ``max_files`` files without a shuffle (``coalesce``). Only for
-    outputs known to be small, such as a dead-letter load."""
-    return df.coalesce(max_files)
+    """T12 (DLQ side): at most ``max_files`` files. The rows are shuffled into them, so that the
+    work above keeps its own parallelism. Only for outputs known to be small, such as a
+    dead-letter load."""
+    return df.repartition(max_files)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None,
@@ -307,15 +226,14 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def register_view(spark: SparkSession, path: str, name: str, as_of: int | None = None) -> DataFrame:
-    """Expose a lake table's state to SQL (``spark.sql('SELECT ... FROM name')``)."""
-    df = read_table(spark, path, as_of)
-    df.createOrReplaceTempView(name)
-    return df
+def insert_rows(df: DataFrame, table: str) -> None:
+    """Append rows to a named table, columns by name."""
+    names = df.sparkSession.table(table).columns
+    df.select(*names).write.insertInto(table)
 
 
-def create_projection_view(spark: SparkSession, name: str, source: str) -> DataFrame:
-    """CREATE OR REPLACE view with 5 of the 7 columns."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS "
+def create_projection_view(spark: SparkSession, name: str, source: str, temporary: bool = False) -> DataFrame:
+    """CREATE OR REPLACE view with 5 of the 7 columns, lasting unless ``temporary``."""
+    spark.sql(f"CREATE OR REPLACE {'TEMP ' if temporary else ''}VIEW {name} AS "
               f"SELECT tx_id, amount, currency, status, timestamp FROM {source}")
     return spark.table(name)
