@@ -27,7 +27,7 @@ def _ev(tx, ts, amount=10.0, status="success", receiver="R1", currency=None):
 
 def _run(spark, src, base, dim):
     records = read_event_stream(spark, "files", path=src)
-    agg = sliding_stats_stream(records, dim, True, observe_name="ingest")
+    agg = sliding_stats_stream(records, dim, observe_name="ingest")
     return run_available(agg, f"{base}/ckpt", stats_sink(f"{base}/stats"))
 
 
@@ -84,9 +84,11 @@ def test_batch_rewrite_is_idempotent(spark, tmp_dir):
 
 def test_malformed_and_overflow(spark):
     from transferlake.sources.events import decode_events
-    df = spark.createDataFrame([('{"tx_id": 99999999999, "amount": 1.5}',), ("not json",), ("",)], "value string")
-    rows = decode_events(df).collect()
-    assert len(rows) == 1 and rows[0].tx_id is None and rows[0].amount == 1.5
+    df = spark.createDataFrame([('{"tx_id": 99999999999, "amount": 1.5}',), ('{"tx_id": 99999999999999999999, "amount": 2}',),
+                                ("not json",), ("",)], "value string")
+    rows = sorted(decode_events(df).collect(), key=lambda r: r.amount)
+    # an id beyond INT is kept; one beyond BIGINT is NULL in that field only
+    assert [(r.tx_id, r.amount) for r in rows] == [(99999999999, 1.5), (None, 2.0)]
 
 
 def test_salted_join_equals_plain(spark):
@@ -111,7 +113,7 @@ def test_append_mode_and_rocksdb(spark, tmp_dir):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_ROCKSDB)
     try:
         records = read_event_stream(spark, "files", path=src)
-        agg = sliding_stats_stream(records, dim, True)
+        agg = sliding_stats_stream(records, dim)
         run_available(agg, f"{base}/ckpt", lambda df, bid: sinks.write_batch(df, f"{base}/out", bid),
                       output_mode="append")
     finally:
@@ -130,7 +132,7 @@ def test_redelivered_events_counted_once(spark, tmp_dir):
     _write(src, "b.json", [_ev(1, t0 + 30)])          # redelivered
     dim = spark.createDataFrame([("R1", "EUR")], "receiver_id string, currency string")
     records = read_event_stream(spark, "files", path=src)
-    agg = sliding_stats_stream(records, dim, True, dedupe_key="tx_id")
+    agg = sliding_stats_stream(records, dim, dedupe_key="tx_id")
     run_available(agg, f"{base}/ckpt", stats_sink(f"{base}/stats"))
     out = flatten_window(sinks.read_latest(spark, f"{base}/stats", ["window", "status", "currency"]))
     by_start = {r.window_start.timestamp(): r.tx_count for r in out.collect()}
@@ -146,7 +148,7 @@ def test_dual_sink_external_serving_branch(spark, tmp_dir):
     dim = spark.createDataFrame([("R1", "EUR")], "receiver_id string, currency string")
     sink = sinks.DualSink(f"{base}/lake", serving_format="json",
                           serving_options={"path": f"{base}/serving"}, flatten=flatten_window)
-    agg = sliding_stats_stream(read_event_stream(spark, "files", path=src), dim, True)
+    agg = sliding_stats_stream(read_event_stream(spark, "files", path=src), dim)
     run_available(agg, f"{base}/ckpt", sink)
     served = spark.read.json(f"{base}/serving")
     assert served.count() == spark.read.parquet(f"{base}/lake").count() > 0
@@ -162,7 +164,7 @@ def test_rate_limit_one_file_per_batch(spark, tmp_dir):
         time.sleep(0.05)
     dim = spark.createDataFrame([("R1", "EUR")], "receiver_id string, currency string")
     records = read_event_stream(spark, "files", path=src, max_per_trigger=1)
-    q = run_available(sliding_stats_stream(records, dim, True), f"{base}/ckpt", stats_sink(f"{base}/stats"))
+    q = run_available(sliding_stats_stream(records, dim), f"{base}/ckpt", stats_sink(f"{base}/stats"))
     data_batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(data_batches) == 3 and all(p["numInputRows"] == 1 for p in data_batches)
 

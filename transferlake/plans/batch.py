@@ -11,7 +11,7 @@ from transferlake.plans.views import MONEY_SCALE, Views, for_oracle
 from transferlake.schemas import EVENT_DDL, GOOD_COLUMNS
 from transferlake.session import shared_dir
 from transferlake.sources import events as ev_src
-from transferlake.sources import landing
+from transferlake.sources import landing, testdata
 
 PUBLISHED_DDL = ("tx_id BIGINT, status STRING, amount DOUBLE, timestamp BIGINT, "
                  "receiver_id STRING, currency STRING, sender_id STRING")
@@ -32,10 +32,44 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev_src.decode_events(ev_src.encode_events(v.events, fields))
 
 
+def json_decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + D9: as json_decode, but every tenth message is empty or no JSON and is skipped."""
+    fields = [f.strip().split(" ")[0] for f in EVENT_DDL.split(",")]
+    events = Views(spark, sf_dir).events
+    whole = ev_src.payload(fields)
+    value = (F.when(F.col("tx_id") % 30 == 0, F.lit("")).when(F.col("tx_id") % 30 == 10, F.lit("no json"))
+              .when(F.col("tx_id") % 30 == 20, F.substring(whole, 1, 9)).otherwise(whole))
+    return ev_src.decode_events(events.select(value.alias("value")))
+
+
+def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: V1 as CSV files with two more columns and another order, bound by header name."""
+    raw = Views(spark, sf_dir).raw
+    path = shared_dir(spark, "landing", unique=True)
+    names = list(raw.columns)
+    wide = raw.select(F.lit("x").alias("batch"), *reversed(names), F.lit("a,b").alias("note"))
+    landing.write_landing(wide, f"{path}/wide")
+    landing.write_landing(raw.limit(0), f"{path}/none")
+    return landing.read_landing(spark, f"{path}/*", by_header=True)
+
+
+# The reference publishes 100,001 events a run at most; fewer here, so that the cap cuts small tables too.
+PUBLISH_CAP = 10_001
+
+
+def publish_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6: publish_events with a cap."""
+    return _published(spark, sf_dir, PUBLISH_CAP)
+
+
 def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows numbered in tx order and serialised; checked through a decode."""
+    return _published(spark, sf_dir, None)
+
+
+def _published(spark: SparkSession, sf_dir: str, cap: int | None) -> DataFrame:
     v = Views(spark, sf_dir)
-    pub = _publish(v.raw, [F.col("tx_id").cast("bigint")])
+    pub = _publish(v.raw, [F.col("tx_id").cast("bigint")], cap=cap)
     decoded = pub.select("tx_id", F.from_json("value", PUBLISHED_DDL).alias("e"))
     return decoded.select("tx_id", *[f"e.{c}" for c in
                                      ["status", "amount", "timestamp", "receiver_id", "currency", "sender_id"]])
@@ -126,6 +160,17 @@ def sender_prev_amount(spark, sf_dir):
     return for_oracle(ordering.prev_amount_by_sender(Views(spark, sf_dir).good))
 
 
+def sender_avg_diff_nulls(spark, sf_dir):
+    """W1/W2 where a third of the transfers have no sender."""
+    good = testdata.without_some_senders(Views(spark, sf_dir).good)
+    return for_oracle(analytics.sender_avg_diff(good, MONEY_SCALE))
+
+
+def sender_prev_amount_nulls(spark, sf_dir):
+    """W3 where a third of the transfers have no sender."""
+    return for_oracle(ordering.prev_amount_by_sender(testdata.without_some_senders(Views(spark, sf_dir).good)))
+
+
 def user_totals(spark, sf_dir):
     v = Views(spark, sf_dir)
     return analytics.user_totals(v.users, v.transfers, MONEY_SCALE)
@@ -169,6 +214,9 @@ QUERIES = {
     "csv_scan": csv_scan,
     "json_decode": json_decode,
     "publish_events": publish_events,
+    "publish_capped": publish_capped,
+    "json_decode_malformed": json_decode_malformed,
+    "csv_by_header": csv_by_header,
     "clean_transfers": clean_transfers,
     "fill_missing_timestamp": fill_missing_timestamp,
     "good_transfers": good_transfers,
@@ -188,6 +236,8 @@ QUERIES = {
     "table_preview": table_preview,
     "sender_avg_diff": sender_avg_diff,
     "sender_prev_amount": sender_prev_amount,
+    "sender_avg_diff_nulls": sender_avg_diff_nulls,
+    "sender_prev_amount_nulls": sender_prev_amount_nulls,
     "user_totals": user_totals,
     "user_totals_all": user_totals_all,
     "user_totals_having": user_totals_having,

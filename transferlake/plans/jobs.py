@@ -1,38 +1,36 @@
-"""End-to-end batch job: landing CSV -> good table load + dead-letter append.
-
-The landing files are scanned once: rows are parsed and tagged once, persisted, and both
-outputs are written from that one tagged frame (the persisted blocks are recomputed from the
-files if an executor is lost). Good rows go to a lake-table load (replace or append,
-partitioned by status); dead letters are appended to a Parquet folder partitioned by load id,
-so a rerun of the same load overwrites its own dead letters."""
+"""End-to-end jobs: landing CSV -> good table load + dead letters, the streaming job, alerts and
+the publisher."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlake.operators import cleaning
+from transferlake.schemas import LARGE_TRANSFER_THRESHOLD
+from transferlake.session import shared_dir
 from transferlake.sources import landing
 from transferlake.sources import tables as tb
 
 
 def load_landing(spark: SparkSession, landing_path: str, table_path: str, dlq_path: str,
                  load_id: int, operation: str = "append") -> dict:
-    raw = landing.read_landing(spark, landing_path)
-    tagged = cleaning.tag_transfers(cleaning.clean_transfers(raw)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_good = tb.write_load(cleaning.good_rows(tagged), table_path, load_id, operation)
-        dlq = cleaning.dlq_rows(tagged).withColumn("load_id", F.lit(load_id).cast("bigint"))
-        (dlq.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id").parquet(dlq_path))
-    finally:
-        tagged.unpersist()
+    """Landing files are read and tagged once, into a staging table in the shared folder split by
+    route; both outputs are published from it: dead letters first (each load's in a folder of
+    its own, so a rerun overwrites them), then the good rows, whose load record comes last.
+    Either side may be empty."""
+    staged = shared_dir(spark, "staging", unique=True)
+    tagged = cleaning.tag_transfers(cleaning.clean_transfers(landing.read_landing(spark, landing_path)))
+    tagged.write.partitionBy("is_good").parquet(staged)
+    rows = spark.read.schema(tagged.schema).parquet(staged)
+    cleaning.dlq_rows(rows).write.mode("overwrite").parquet(f"{dlq_path.rstrip('/')}/load_id={load_id}")
+    n_good = tb.write_load(cleaning.good_rows(rows), table_path, load_id, operation)
     return {"load_id": load_id, "good_rows": n_good}
 
 
 def stream_stats_job(spark: SparkSession, *, dim_source: DataFrame, snapshot_path: str,
                      lake_path: str, checkpoint: str, serving_path: str | None = None,
+                     serving_format: str = "parquet", serving_options: dict | None = None,
                      source: str = "files", source_path: str | None = None,
                      source_options: dict | None = None, max_per_trigger: int | None = None,
                      state_partitions: int | None = None, money_scale: int | None = None,
@@ -44,14 +42,27 @@ def stream_stats_job(spark: SparkSession, *, dim_source: DataFrame, snapshot_pat
     from transferlake.sources.events import read_event_stream
     from transferlake.streaming.stats_stream import (dimension_snapshot, run_available,
                                                      sliding_stats_stream, stats_sink)
-    dim, small = dimension_snapshot(receiver_dim(dim_source), snapshot_path)
+    dim = dimension_snapshot(receiver_dim(dim_source), snapshot_path)
     records = read_event_stream(spark, source, path=source_path, options=source_options,
                                 max_per_trigger=max_per_trigger)
-    agg = sliding_stats_stream(records, dim, small, money_scale=money_scale, dedupe_key=dedupe_key)
-    return run_available(agg, checkpoint, stats_sink(lake_path, serving_path),
+    agg = sliding_stats_stream(records, dim, money_scale=money_scale, dedupe_key=dedupe_key)
+    return run_available(agg, checkpoint, stats_sink(lake_path, serving_path, serving_format, serving_options),
                          state_partitions=state_partitions)
 
 
+def alerts_job(spark: SparkSession, *, out_path: str, checkpoint: str, source: str = "files",
+               source_path: str | None = None, source_options: dict | None = None,
+               max_per_trigger: int | None = None, threshold: float = LARGE_TRANSFER_THRESHOLD):
+    """The alert consumer: large transfers of the stream, appended under ``out_path`` a batch at
+    a time (drained with availableNow on ``checkpoint``)."""
+    from transferlake.sources.events import read_event_stream
+    from transferlake.streaming.sinks import write_batch
+    from transferlake.streaming.stats_stream import run_available, stream_alerts
+    records = read_event_stream(spark, source, path=source_path, options=source_options, max_per_trigger=max_per_trigger)
+    return run_available(stream_alerts(records, threshold), checkpoint,
+                         lambda df, batch: write_batch(df, out_path, batch), output_mode="append")
+
+
 def publish_landing(spark: SparkSession, landing_path: str, *, fmt: str = "text",
                     out_path: str | None = None, options: dict | None = None,
                     cap: int | None = None, on_bad: str = "zero") -> int:
@@ -62,8 +73,7 @@ def publish_landing(spark: SparkSession, landing_path: str, *, fmt: str = "text"
     from transferlake.operators.publish import publish_events
     from transferlake.sources.events import write_events
     rows = landing.read_landing(spark, landing_path, by_header=True, with_source=True)
-    rows = rows.withColumn("_pos", F.monotonically_increasing_id())
-    order = [F.col("source_file"), F.col("source_block"), F.col("_pos")]
+    order = [F.col("source_file"), F.col("source_block"), F.col("source_row")]
     events = publish_events(rows, order, cap=cap, on_bad=on_bad)
     obs = Observation("published")
     write_events(events.observe(obs, F.count(F.lit(1)).alias("n")), fmt, path=out_path, options=options)

@@ -52,7 +52,7 @@ _CTE = {
   FROM v2t WHERE reject_reasons = ''
 )""",
     "v4": """v4 AS (
-  SELECT CAST(event_id AS INTEGER) AS tx_id, event_type AS status, value AS amount,
+  SELECT CAST(event_id AS BIGINT) AS tx_id, event_type AS status, value AS amount,
          CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp",
          'R' || CAST(user_id % 60 AS VARCHAR) AS receiver_id,
          CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 = 0 THEN 'USD' END AS currency
@@ -79,9 +79,10 @@ _CTE = {
   WHERE event_time IS NOT NULL
   GROUP BY 1, 2, 3, 4
 )""",
-    "users": """users AS (SELECT c_custkey AS user_id, c_name AS name, c_nationkey AS currency_id FROM customer)""",
+    "users": """users AS (SELECT c_custkey AS user_id, c_name AS name FROM customer)""",
     "transfers": """transfers AS (
-  SELECT o_custkey AS user_id, o_totalprice AS amount, o_orderstatus AS status FROM orders)""",
+  SELECT o_custkey AS user_id, o_totalprice AS amount, o_orderstatus AS status,
+         CAST(o_orderkey % 25 AS INTEGER) AS currency_id FROM orders)""",
     "currencies": """currencies AS (
   SELECT n_nationkey AS currency_id, r_name AS currency_code
   FROM nation JOIN region ON n_regionkey = r_regionkey)""",
@@ -189,7 +190,7 @@ GROUP BY u.name""",
     "user_currency_totals": _with("users", "transfers", "currencies") + """
 SELECT u.name, c.currency_code, CAST(sum(CAST(t.amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
 FROM users u JOIN transfers t ON u.user_id = t.user_id
-JOIN currencies c ON u.currency_id = c.currency_id
+JOIN currencies c ON t.currency_id = c.currency_id
 GROUP BY u.name, c.currency_code""",
     "top_users": _with("totals") + "SELECT * FROM totals ORDER BY total_amount DESC, name LIMIT 3",
     "sorted_transfers": _with("v2") + f"SELECT {GOOD} FROM v2 ORDER BY sender_id",
@@ -245,8 +246,10 @@ ORACLE["stream_sliding_stats_append"] = _with("stats") + """
 SELECT * FROM stats
 WHERE window_end <= (SELECT max(event_time) FROM enr) - INTERVAL 15 MINUTE"""
 
-ORACLE["stream_late_drop"] = _with("enr") + """, on_time AS (
-  SELECT * FROM enr WHERE day(event_time) NOT BETWEEN 8 AND 14
+ORACLE["stream_late_drop"] = _with("enr") + """, span AS (
+  SELECT min("timestamp") AS lo, max("timestamp") - min("timestamp") + 1 AS whole FROM v4
+), on_time AS (
+  SELECT enr.* FROM enr, span WHERE ("timestamp" - lo) * 4 // whole <> 1
 )
 SELECT date_trunc('minute', event_time) - to_minutes(i) AS window_start,
        date_trunc('minute', event_time) - to_minutes(i) + INTERVAL 10 MINUTE AS window_end,
@@ -258,3 +261,45 @@ WHERE event_time IS NOT NULL
 GROUP BY 1, 2, 3, 4"""
 
 ORACLE["stream_redelivery_dedupe"] = _with("stats") + "SELECT * FROM stats"
+
+_MONTHS = """v4x AS (
+  SELECT * FROM v4
+  UNION ALL
+  SELECT tx_id + 10000000000, status, amount, "timestamp" + 31 * 86400, receiver_id, currency FROM v4
+),
+enr AS ("""
+_NO_SENDER = """v3n AS (
+  SELECT tx_id, CASE WHEN CAST(tx_id AS BIGINT) % 3 <> 0 THEN sender_id END AS sender_id, receiver_id, amount,
+         currency, status, "timestamp"
+  FROM v3
+)
+"""
+
+ORACLE.update({
+    "stream_two_months": ORACLE["sliding_stats"].replace("enr AS (", _MONTHS, 1).replace("FROM v4 e LEFT", "FROM v4x e LEFT"),
+    "stream_serving_json": ORACLE["sliding_stats"],
+    "stream_restart": ORACLE["sliding_stats"],
+    "json_decode_malformed": _with("v4") + "SELECT * FROM v4 WHERE tx_id % 10 <> 0",
+    "csv_by_header": ORACLE["csv_scan"],
+    "publish_capped": "SELECT * FROM (" + ORACLE["publish_events"] + ") p WHERE tx_id <= 10001",
+    "sender_avg_diff_nulls": _with("v3").rstrip("\n") + ",\n" + _NO_SENDER + """
+SELECT v3n.sender_id, tx_id, "timestamp", amount, a.user_avg_amount,
+       amount - a.user_avg_amount AS diff_from_avg
+FROM v3n JOIN (SELECT sender_id,
+                      CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS user_avg_amount
+               FROM v3n GROUP BY sender_id) a ON v3n.sender_id IS NOT DISTINCT FROM a.sender_id""",
+    "sender_prev_amount_nulls": _with("v3").rstrip("\n") + ",\n" + _NO_SENDER + """
+SELECT sender_id, tx_id, "timestamp", amount,
+       lag(amount) OVER (PARTITION BY sender_id ORDER BY "timestamp", tx_id) AS prev_tx_amount
+FROM v3n""",
+    "landing_all_bad": _with("v1") + "SELECT trim(tx_id) AS tx_id, 'dlq' AS route FROM v1 WHERE CAST(tx_id AS BIGINT) % 11 = 0",
+    "landing_all_good": _with("v1") + """
+SELECT trim(tx_id) AS tx_id, 'good' AS route FROM v1
+WHERE CAST(tx_id AS BIGINT) % 11 > 6 AND CAST(tx_id AS BIGINT) % 13 > 6 AND CAST(tx_id AS BIGINT) % 17 > 2""",
+    "dlq_append": ORACLE["dlq_transfers"],
+    "catalog_tables": ORACLE["transfers_view"],
+    "catalog_stats": ORACLE["sliding_stats"],
+    "files_by_source_total": "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM orders",
+    "table_files_total": "SELECT load_id, CAST(sum(record_count) AS BIGINT) AS record_count FROM ("
+                         + ORACLE["table_partitions"] + ") p GROUP BY load_id",
+})

@@ -9,6 +9,7 @@ from transferlake.plans.views import MONEY_SCALE, Views, for_oracle
 from transferlake.operators.stats import flatten_window
 from transferlake.schemas import EVENT_DDL, STATS_KEY
 from transferlake.session import shared_dir
+from transferlake.sources import testdata
 from transferlake.sources.events import read_event_stream
 from transferlake.streaming import replay as rp
 from transferlake.streaming import sinks
@@ -16,71 +17,97 @@ from transferlake.streaming.stats_stream import (dimension_snapshot, run_availab
                                                  sliding_stats_stream, stats_sink, stream_alerts)
 
 FIELDS = [f.strip().split(" ")[0] for f in EVENT_DDL.split(",")]
-WEEKLY = [8, 15, 22]                  # chunks: days 1-7, 8-14, 15-21, 22-31
-EVERY_FOUR_DAYS = [5, 9, 13, 17, 21, 25, 29]
+ARRIVALS = 4                          # of equal spans of event time
+SHORT_ARRIVALS = 8
 STATS_KEYS = ["window", "status", "currency"]
 # Stateful shuffle partitions of the stats stream (the reference runs its stream with 4).
 STATE_PARTITIONS = 4
 SERVING_KEYS = STATS_KEY
+SERVING_DDL = ("window_start TIMESTAMP, window_end TIMESTAMP, status STRING, total_sum DOUBLE, tx_count BIGINT, "
+               "currency STRING, batch_id BIGINT")
 
 
-def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, day_bounds: list[int],
-                     serving: bool = False, output_mode: str = "update",
+def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, arrivals: int = ARRIVALS,
+                     serving: str | None = None, events: DataFrame | None = None, output_mode: str = "update",
                      order: list[int] | None = None, redeliver: set[int] | None = None,
-                     dedupe_key: str | None = None) -> str:
+                     dedupe_key: str | None = None, drains: int = 1) -> str:
     """Replay V4 and run the stats stream after every chunk; returns the output folder."""
     v = Views(spark, sf_dir)
     base = shared_dir(spark, "stream", name, unique=True)
-    dim, small = dimension_snapshot(v.dim, f"{base}/dim")
+    events = v.events if events is None else events
+    dim = dimension_snapshot(v.dim, f"{base}/dim")
     src = f"{base}/src"
-    sink = stats_sink(f"{base}/stats", f"{base}/serving" if serving else None)
+    sink = stats_sink(f"{base}/stats", f"{base}/serving" if serving else None, serving or "parquet")
 
     def drain(_k):
-        records = read_event_stream(spark, "files", path=src)
-        agg = sliding_stats_stream(records, dim, small, money_scale=MONEY_SCALE, dedupe_key=dedupe_key)
-        run_available(agg, f"{base}/checkpoint", sink, output_mode=output_mode,
-                      state_partitions=STATE_PARTITIONS)
+        for _ in range(drains):
+            records = read_event_stream(spark, "files", path=src)
+            agg = sliding_stats_stream(records, dim, money_scale=MONEY_SCALE, dedupe_key=dedupe_key)
+            run_available(agg, f"{base}/checkpoint", sink, output_mode=output_mode,
+                          state_partitions=STATE_PARTITIONS)
 
-    rp.replay(v.events, rp.chunk_of(day_bounds), len(day_bounds) + 1, FIELDS, src, drain, order, redeliver)
+    rp.replay(events, rp.chunk_of(events, arrivals), arrivals, FIELDS, src, drain, order, redeliver)
     return base
 
 
 def stream_sliding_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run_stats_replay(spark, sf_dir, "sliding", WEEKLY)
+    base = run_stats_replay(spark, sf_dir, "sliding")
     return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
 
 
 def stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More, shorter chunks (more keys updated in several batches), folded into one row per
     key by ``compact``."""
-    base = run_stats_replay(spark, sf_dir, "upsert", EVERY_FOUR_DAYS)
+    base = run_stats_replay(spark, sf_dir, "upsert", SHORT_ARRIVALS)
     merged = sinks.compact(spark, f"{base}/stats", STATS_KEYS, f"{base}/merged")
-    return for_oracle(flatten_window(merged))
+    return for_oracle(flatten_window(merged.drop("batch_id")))
 
 
 def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = run_stats_replay(spark, sf_dir, "dual", WEEKLY, serving=True)
+    base = run_stats_replay(spark, sf_dir, "dual", serving="parquet")
     return for_oracle(sinks.read_latest(spark, f"{base}/serving", SERVING_KEYS))
 
 
 def stream_sliding_stats_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4 append mode: each window is emitted once, when the watermark closes it; windows still
     open at the end of the replay are held back."""
-    base = run_stats_replay(spark, sf_dir, "append", WEEKLY, output_mode="append")
+    base = run_stats_replay(spark, sf_dir, "append", output_mode="append")
     return for_oracle(flatten_window(spark.read.parquet(f"{base}/stats").drop("batch_id")))
 
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The days 8-14 chunk arrives after the days 15-21 chunk; by then the watermark is a
-    week past all of its windows, so its events are dropped as late and counted nowhere."""
-    base = run_stats_replay(spark, sf_dir, "late", WEEKLY, order=[0, 2, 1, 3])
+    """The second quarter arrives after the third; by then the watermark is past all of its
+    windows, so its events are dropped as late and counted nowhere."""
+    base = run_stats_replay(spark, sf_dir, "late", order=[0, 2, 1, 3])
     return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
 
 
 def stream_redelivery_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5 (stream): the second week is delivered twice in one arrival; duplicates of a tx_id
+    """A5 (stream): the second quarter is delivered twice in one arrival; duplicates of a tx_id
     within the watermark delay are dropped, so the result equals the batch result."""
-    base = run_stats_replay(spark, sf_dir, "redeliver", WEEKLY, redeliver={1}, dedupe_key="tx_id")
+    base = run_stats_replay(spark, sf_dir, "redeliver", redeliver={1}, dedupe_key="tx_id")
+    return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
+
+
+def stream_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2/I3 over two months of events (V4 and a copy 31 days later): equal to the batch result."""
+    events = testdata.second_month(Views(spark, sf_dir).events)
+    base = run_stats_replay(spark, sf_dir, "months", events=events)
+    return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
+
+
+def stream_serving_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving sink in an append-only external format (JSON). Its rows carry the
+    batch id, so a reader takes the latest row of each key."""
+    base = run_stats_replay(spark, sf_dir, "json", serving="json")
+    served = spark.read.schema(SERVING_DDL).json(f"{base}/serving")
+    return for_oracle(sinks.latest_per_key(served, SERVING_KEYS))
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every arrival is drained twice; the second run on the same checkpoint finds nothing
+    new and counts nothing again."""
+    base = run_stats_replay(spark, sf_dir, "restart", arrivals=2, drains=2)
     return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
 
 
@@ -98,9 +125,9 @@ def stream_transfer_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_available(alerts, f"{base}/checkpoint",
                       lambda df, bid: sinks.write_batch(df, f"{base}/out", bid), output_mode="append")
 
-    rp.replay(v.events, rp.chunk_of(WEEKLY), len(WEEKLY) + 1, FIELDS, src, drain)
+    rp.replay(v.events, rp.chunk_of(v.events, ARRIVALS), ARRIVALS, FIELDS, src, drain)
     # declared schema: a run without any alert still reads back as an empty result
-    out = spark.read.schema("tx_id INT, receiver_id STRING, amount DOUBLE, batch_id BIGINT")
+    out = spark.read.schema("tx_id BIGINT, receiver_id STRING, amount DOUBLE, batch_id BIGINT")
     return out.parquet(f"{base}/out").drop("batch_id")
 
 
@@ -111,5 +138,8 @@ QUERIES = {
     "stream_sliding_stats_append": stream_sliding_stats_append,
     "stream_late_drop": stream_late_drop,
     "stream_redelivery_dedupe": stream_redelivery_dedupe,
+    "stream_two_months": stream_two_months,
+    "stream_serving_json": stream_serving_json,
+    "stream_restart": stream_restart,
     "stream_transfer_alerts": stream_transfer_alerts,
 }

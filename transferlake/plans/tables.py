@@ -11,6 +11,8 @@ from transferlake.plans.views import Views, for_oracle
 from transferlake.session import shared_dir
 from transferlake.sources import tables as tb
 
+DLQ_DDL = tb.DLQ_TABLE_DDL
+
 # Loads are transfer years; the first load and the 1998 load are full reloads (replace).
 RELOAD_YEAR = 1998
 AS_OF_YEAR = 2000
@@ -89,11 +91,12 @@ QUERIES = {
 }
 
 
-def _landing_job(spark: SparkSession, sf_dir: str, name: str) -> str:
+def _landing_job(spark: SparkSession, sf_dir: str, name: str, rows=None) -> str:
     from transferlake.plans.jobs import load_landing
     from transferlake.sources import landing
     base = shared_dir(spark, "jobs", name, unique=True)
-    landing.write_landing(Views(spark, sf_dir).raw, f"{base}/landing")
+    raw = Views(spark, sf_dir).raw
+    landing.write_landing(raw if rows is None else raw.where(rows), f"{base}/landing")
     load_landing(spark, f"{base}/landing", f"{base}/table", f"{base}/dlq", 1, "replace")
     return base
 
@@ -107,13 +110,74 @@ def landing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job's dead-letter output (read back, processing stamp left out)."""
     base = _landing_job(spark, sf_dir, "landing_dlq")
-    dlq = spark.read.parquet(f"{base}/dlq").drop("load_id", "dlq_processed_at")
+    dlq = spark.read.schema(DLQ_DDL).parquet(f"{base}/dlq").drop("load_id", "dlq_processed_at")
     return for_oracle(dlq)
 
 
+def _routes(spark: SparkSession, base: str) -> DataFrame:
+    good = tb.read_table(spark, f"{base}/table").select("tx_id", F.lit("good").alias("route"))
+    dlq = spark.read.schema("tx_id STRING").parquet(f"{base}/dlq")
+    return good.unionByName(dlq.select("tx_id", F.lit("dlq").alias("route")))
+
+
+def landing_all_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on landing rows that are all dirty: an empty load, and every dead letter."""
+    return _routes(spark, _landing_job(spark, sf_dir, "all_bad", F.expr("CAST(tx_id AS BIGINT) % 11 = 0")))
+
+
+def landing_all_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on landing rows that are all clean: no dead letter."""
+    clean = "CAST(tx_id AS BIGINT) % 11 > 6 AND CAST(tx_id AS BIGINT) % 13 > 6 AND CAST(tx_id AS BIGINT) % 17 > 2"
+    return _routes(spark, _landing_job(spark, sf_dir, "all_good", F.expr(clean)))
+
+
+def dlq_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters appended to a Parquet folder in two writes, read back."""
+    dlq, path = Views(spark, sf_dir).dlq, shared_dir(spark, "tables", "dlq", unique=True)
+    odd = F.col("tx_id").cast("bigint") % 2 == 1
+    tb.write_parquet(tb.layout_few_files(dlq.where(odd)), path)
+    tb.write_parquet(tb.layout_few_files(dlq.where(~odd)), path)
+    return for_oracle(spark.read.schema(dlq.schema).parquet(path))
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named tables filled in two inserts, read through a lasting view."""
+    good = Views(spark, sf_dir).good
+    path = shared_dir(spark, "catalog", unique=True)
+    database = "lake_" + path.rsplit("/", 1)[-1]
+    tb.create_tables(spark, database, path)
+    tb.insert_rows(good.where(_year() < RELOAD_YEAR), f"{database}.transfers")
+    tb.insert_rows(good.where(_year() >= RELOAD_YEAR), f"{database}.transfers")
+    return for_oracle(tb.create_projection_view(spark, f"{database}.transfers_view", f"{database}.transfers"))
+
+
+def catalog_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named table with the window struct, filled from the windowed statistics."""
+    from transferlake.operators import stats
+    from transferlake.plans.views import MONEY_SCALE
+    path = shared_dir(spark, "catalog", unique=True)
+    database = "lake_" + path.rsplit("/", 1)[-1]
+    tb.create_tables(spark, database, path)
+    flat = stats.sliding_stats(Views(spark, sf_dir).enriched, money_scale=MONEY_SCALE)
+    tb.insert_rows(stats.nest_window(flat), f"{database}.windowed_stats")
+    return for_oracle(stats.flatten_window(spark.table(f"{database}.windowed_stats")))
+
+
+def table_files_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listed files' record counts, by load."""
+    path = _yearly_loads(spark, sf_dir, "files_total")
+    return tb.table_files(spark, path).groupBy(F.col("partition.load_id").alias("load_id")).agg(F.sum("record_count").alias("record_count"))
+
+
 QUERIES.update({
     "landing_load": landing_load,
     "landing_dead_letters": landing_dead_letters,
+    "landing_all_bad": landing_all_bad,
+    "landing_all_good": landing_all_good,
+    "dlq_append": dlq_append,
+    "catalog_tables": catalog_tables,
+    "catalog_stats": catalog_stats,
+    "table_files_total": table_files_total,
 })
 
 
@@ -146,7 +210,13 @@ def files_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.files_by_source(landing.read_landing(spark, path, with_source=True))
 
 
+def files_by_source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files' row counts, added up."""
+    return files_by_source(spark, sf_dir).agg(F.sum("n_rows").alias("n_rows"))
+
+
 QUERIES.update({
+    "files_by_source_total": files_by_source_total,
     "compact_files": compact_files,
     "layout_by_status": layout_by_status,
     "layout_sorted": layout_sorted,

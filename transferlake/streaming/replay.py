@@ -16,15 +16,14 @@ def event_payloads(events: DataFrame, fields: list[str]) -> DataFrame:
     return encode_events(events, fields)
 
 
-def chunk_of(day_bounds: list[int], ts_col: str = "timestamp"):
-    """Chunk number by day of month (UTC) of an epoch-seconds column: bounds are the first
-    day of every chunk after the first."""
-    day = F.dayofmonth(F.timestamp_add("SECOND", F.col(ts_col),
-                                       F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
-    expr = F.lit(0)
-    for b in day_bounds:
-        expr = expr + F.when(day >= b, 1).otherwise(0)
-    return expr
+def chunk_of(events: DataFrame, n_chunks: int, ts_col: str = "timestamp"):
+    """Chunk number 0 .. n_chunks - 1 of an epoch-seconds column: equal spans of the event time
+    the table covers, however many days or months that is. Rows without a time come first."""
+    span = events.agg(F.min(ts_col).alias("first"), F.max(ts_col).alias("last")).first()
+    if span["first"] is None:
+        return F.lit(0)
+    whole = span["last"] - span["first"] + 1
+    return F.coalesce(F.floor((F.col(ts_col) - span["first"]) * n_chunks / whole), F.lit(0))
 
 
 def write_chunk(events: DataFrame, chunk_expr, k: int, fields: list[str], src_path: str,

@@ -26,13 +26,28 @@ def latest_per_key(log: DataFrame, keys: list[str], order_col: str = "batch_id")
                .select(*keys, "_v.*"))
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    return latest_per_key(spark.read.parquet(path), keys)
-
-
-def compact(spark: SparkSession, path: str, keys: list[str], out_path: str) -> DataFrame:
-    """Materialise the merged state (one row per key) as a table of its own."""
-    read_latest(spark, path, keys).write.mode("overwrite").parquet(out_path)
+def _log(spark: SparkSession, path: str, base_path: str | None) -> DataFrame:
+    log = spark.read.parquet(path)
+    if not base_path:
+        return log
+    base = spark.read.parquet(base_path)
+    upto = base.agg(F.max("batch_id")).first()[0]
+    return log.where(F.col("batch_id") > (-1 if upto is None else upto)).unionByName(base)
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str], base_path: str | None = None) -> DataFrame:
+    """Latest row per key of the log; with a base (see ``compact``) only batches newer than
+    the base are read from the log."""
+    return latest_per_key(_log(spark, path, base_path), keys)
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], out_path: str, base_path: str | None = None) -> DataFrame:
+    """Fold the log (on top of an earlier base, if given) into a base of one row per key, with
+    the batch id the row is from; later reads take the base and the batches after it."""
+    log = _log(spark, path, base_path)
+    rest = [c for c in log.columns if c not in keys]
+    folded = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_v")).select(*keys, "_v.*")
+    folded.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
@@ -44,8 +59,9 @@ class DualSink:
     delivered) writes nothing there and is then skipped for the serving side, so the guard
     costs no extra job. With a serving sink the batch is persisted, so both writes share one
     computation. ``serving_format`` 'parquet' writes a batch-partitioned log like the lake
-    side; other formats (e.g. 'jdbc') append with caller options (the serving store then
-    needs its own key-based dedupe)."""
+    side; other formats (e.g. 'jdbc', 'json') append with caller options. Appended rows carry
+    ``batch_id``: a key touched by several batches has several rows, and the reader takes the
+    one of the latest batch (``latest_per_key``)."""
 
     def __init__(self, lake_path: str, serving_path: str | None = None,
                  serving_format: str = "parquet", serving_options: dict | None = None,
@@ -71,8 +87,9 @@ class DualSink:
             if self.serving_format == "parquet":
                 write_batch(served, self.serving_path, batch_id)
             else:
-                (served.write.format(self.serving_format).mode("append")
-                       .options(**self.serving_options).save())
+                w = (served.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write
+                           .format(self.serving_format).mode("append").options(**self.serving_options))
+                w.save(self.serving_path) if self.serving_path else w.save()
         finally:
             if self.has_serving:
                 batch_df.unpersist()

@@ -7,6 +7,8 @@ topic/file records -> JSON decode -> receiver dimension lookup (stream-static le
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,35 +19,30 @@ from transferlake.schemas import (EVENT_DDL, WATERMARK_DELAY, WINDOW_DURATION, W
 from transferlake.sources.events import decode_events
 from transferlake.streaming.sinks import DualSink
 
-# Largest dimension (rows) broadcast to a stream; bigger ones are shuffle-joined.
-BROADCAST_MAX_ROWS = 2_000_000
-
 STATE_STORE_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def dimension_snapshot(dim: DataFrame, path: str, max_rows: int = BROADCAST_MAX_ROWS):
-    """Freeze the static side for the stream (a fixed snapshot, written once to the shared
-    folder) and decide from its row count whether it may be broadcast."""
-    snap = snapshot_dimension(dim, path)
-    return snap, snap.count() <= max_rows
+def dimension_snapshot(dim: DataFrame, path: str) -> DataFrame:
+    """Freeze the static side for the stream: a fixed snapshot, written once, in a folder of its
+    own under ``path`` (a running stream may still read an earlier one)."""
+    return snapshot_dimension(dim, f"{path.rstrip('/')}/{uuid.uuid4().hex[:12]}")
 
 
-def sliding_stats_stream(records: DataFrame, dim: DataFrame, broadcast_dim: bool,
-                         watermark: str = WATERMARK_DELAY, window: str = WINDOW_DURATION,
+def sliding_stats_stream(records: DataFrame, dim: DataFrame, watermark: str = WATERMARK_DELAY, window: str = WINDOW_DURATION,
                          slide: str = WINDOW_SLIDE, money_scale: int | None = None,
-                         observe_name: str | None = None, salt_buckets: int = 16,
+                         observe_name: str | None = None, salt_buckets: int | None = None,
                          dedupe_key: str | None = None) -> DataFrame:
     """Streaming aggregate with the table shape (window struct, status, total_sum, tx_count,
     currency). Rows without event time never reach a window; ``observe_name`` counts them.
-    A dimension over the broadcast bound is joined with ``salt_buckets`` salts (no AQE skew
-    handling runs in a stream). ``dedupe_key`` drops redelivered events (same key within the
+    Catalyst broadcasts the dimension if its files are below the session's threshold;
+    ``salt_buckets`` spreads hot receivers over so many join tasks where it is larger (no AQE
+    skew handling runs in a stream). ``dedupe_key`` drops redelivered events (same key within the
     watermark delay) before they are counted, as at-least-once sources redeliver."""
     events = with_event_time(decode_events(records, EVENT_DDL))
     if observe_name:
         events = events.observe(observe_name, F.count(F.lit(1)).alias("rows"),
                                 F.count(F.when(F.col("event_time").isNull(), 1)).alias("no_event_time"))
-    enriched = enrich_events(events, dim, broadcast_dim=broadcast_dim,
-                             salt_buckets=None if broadcast_dim else salt_buckets)
+    enriched = enrich_events(events, dim, salt_buckets=salt_buckets)
     total = F.sum(money("amount", money_scale))
     if money_scale is not None:
         total = total.cast("double")
@@ -90,8 +87,9 @@ def run_available(agg: DataFrame, checkpoint: str, sink, output_mode: str = "upd
     return q
 
 
-def stats_sink(lake_path: str, serving_path: str | None = None) -> DualSink:
-    return DualSink(lake_path, serving_path, flatten=flatten_window)
+def stats_sink(lake_path: str, serving_path: str | None = None, serving_format: str = "parquet",
+               serving_options: dict | None = None) -> DualSink:
+    return DualSink(lake_path, serving_path, serving_format, serving_options, flatten=flatten_window)
 
 
 ALERT_DDL = EVENT_DDL.replace("amount DOUBLE", "amount STRING")
