@@ -173,9 +173,14 @@ def _unit_numbers(pdf: pd.DataFrame, group: str) -> np.ndarray:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): the least node of each connected component, from edges (u, v).
 
-    Alternating star contraction: each node passes its larger neighbours, then itself and its
-    smaller ones, on to the least node it knows, until nothing changes."""
+    Nodes that hang on one smaller node only are set aside, so that the many leaves of a star
+    don't meet again in every round; they take their neighbour's root at the end. The rest goes
+    through alternating star contraction: each node passes its larger neighbours, then itself
+    and its smaller ones, on to the least node it knows, until nothing changes."""
     edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    leaves = stored(both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")).where("n = 1 AND m < u").select("u", "m"), "leaves")
+    edges = stored(edges.join(leaves.select("u"), "u", "left_anti"), "edges")
     seen = None
     for _ in range(rounds):
         mark = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
@@ -189,7 +194,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
         edges = stored(small, "edges")
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    core = stored(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")), "core")
+    hung = leaves.join(core.withColumnRenamed("node", "m"), "m", "left").select(F.col("u").alias("node"), F.coalesce("root", "m").alias("root"))
+    return core.unionByName(hung)
 
 
 # --- the join --------------------------------------------------------------------------------
