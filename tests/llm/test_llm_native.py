@@ -252,3 +252,21 @@ def test_random_keys_are_told_from_words(spark):
     got = {r["doc_id"]: r["spans"] for r in secrets.scan(edges.docs(spark, rows)).select("doc_id", secrets.written("spans").alias("spans")).collect()}
     assert sum("random" in got[i] for i in range(60)) >= 52
     assert sum("random" in got[60 + i] for i in range(400)) <= 8
+
+
+# --- ranges ---
+
+def test_ranges_against_bisect(spark):
+    from bisect import bisect_right
+
+    from transferlake.llm.common import bounds_of, range_of
+    random.seed(1)
+    values = [random.randrange(-1000, 10_000) for _ in range(3000)] + [None] * 5
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(4)
+    for n in (1, 2, 3, 10, 137):
+        cuts = bounds_of(df, "v", n)
+        rows = df.select("v", range_of(F.col("v"), cuts).alias("r")).collect()
+        assert all(r["r"] == (0 if r["v"] is None else bisect_right(cuts, r["v"])) for r in rows)
+        counts = Counter(r["r"] for r in rows)
+        assert len(counts) <= n and max(counts.values()) < 2.2 * 3000 / n + 10
+    assert bounds_of(df.limit(0), "v", 9) == []
