@@ -48,7 +48,9 @@ def sliding_stats_stream(records: DataFrame, dim: DataFrame, watermark: str = WA
         total = total.cast("double")
     timed = enriched.withWatermark("event_time", watermark)
     if dedupe_key:
-        timed = timed.dropDuplicatesWithinWatermark([dedupe_key])
+        # Events without the key are duplicates only if they agree in everything.
+        same = F.when(F.col(dedupe_key).isNull(), F.xxhash64(*timed.columns))
+        timed = timed.withColumn("_same", same).dropDuplicatesWithinWatermark([dedupe_key, "_same"])
     return (timed
                     .groupBy(F.window("event_time", window, slide), "status", "currency")
                     .agg(total.alias("total_sum"), F.count("tx_id").alias("tx_count"))
