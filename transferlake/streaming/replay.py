@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transferlake.session import shared_dir
 from transferlake.sources.events import encode_events
 
 
@@ -36,11 +37,16 @@ def write_chunk(events: DataFrame, chunk_expr, k: int, fields: list[str], src_pa
 
 def replay(events: DataFrame, chunk_expr, n_chunks: int, fields: list[str], src_path: str, after_chunk,
            order: list[int] | None = None, redeliver: set[int] | None = None) -> None:
-    """Write chunk k, then call ``after_chunk(k)`` (run the stream), for k in ``order``
+    """Deal the events into chunks (once, as a table partitioned by chunk in the shared folder),
+    then write chunk k and call ``after_chunk(k)`` (run the stream), for k in ``order``
     (0..n-1 by default; another order makes chunks arrive late). Chunks in ``redeliver`` are
     delivered twice in the same arrival (at-least-once sources do that)."""
+    staged = shared_dir(events.sparkSession, "replay", unique=True)
+    dealt = events.withColumn("_chunk", chunk_expr.cast("bigint"))
+    dealt.write.partitionBy("_chunk").parquet(staged)
+    dealt = events.sparkSession.read.schema(dealt.schema).parquet(staged)
     for k in (order if order is not None else range(n_chunks)):
-        write_chunk(events, chunk_expr, k, fields, src_path)
+        write_chunk(dealt, F.col("_chunk"), k, fields, src_path)
         if redeliver and k in redeliver:
-            write_chunk(events, chunk_expr, k, fields, src_path, copy=1)
+            write_chunk(dealt, F.col("_chunk"), k, fields, src_path, copy=1)
         after_chunk(k)
