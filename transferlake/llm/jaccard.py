@@ -194,6 +194,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
         edges = stored(small, "edges")
+    else:
+        raise RuntimeError(f"components not found in {rounds} rounds")
     core = stored(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")), "core")
     hung = leaves.join(core.withColumnRenamed("node", "m"), "m", "left").select(F.col("u").alias("node"), F.coalesce("root", "m").alias("root"))
     return core.unionByName(hung)
