@@ -186,18 +186,15 @@ def _fit(parts):
 def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
     """(languages, weights [language, bucket], transitions) from documents' text and lang."""
     known = documents(docs).where("trim(lang) <> '' AND text IS NOT NULL")
-    names = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not names:
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
         return [], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0))
-    # Ids first: the least hashes of each language, kept map-side, then their texts.
-    drawn = None
-    for lang in names:
-        one = known.where(F.col("lang") == lang).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_language)
-        drawn = one if drawn is None else drawn.unionByName(one)
-    drawn = drawn.distinct().withColumnRenamed("doc_id", "_id").withColumnRenamed("lang", "_lang")
-    texts = known.join(F.broadcast(drawn), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")))
-    # Rows that share a sampled id are part of the sample up to its bound.
-    texts = texts.select("lang", "text").limit(max_per_language * len(names))
+    # One scan: of each language the share of hashes that holds some times the bound, then the least of those.
+    cuts = {r["lang"]: min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["count"]) * (1 << 64))) for r in counts}
+    by_lang = F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv])
+    near = known.withColumn("_h", F.xxhash64("doc_id")).where(F.col("_h") <= F.try_element_at(by_lang, F.col("lang")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
+    texts = near.withColumn("_rank", rank).where(F.col("_rank") <= max_per_language).select("lang", "text")
     made = texts.repartition(1).mapInPandas(_fit, "names array<string>, weights binary, moves binary").first()
     k = len(made["names"])
     return (list(made["names"]), np.frombuffer(made["weights"], np.float32).reshape(k, 1 << BITS).copy(),

@@ -166,7 +166,7 @@ def train(stats: DataFrame, labels: DataFrame) -> Model:
 
     shape = "i int, a array<double>, b double"
     # A partition sends one row per line of the matrix; lines are added up by their number.
-    got = sorted(rows.coalesce(64).mapInPandas(sums, shape).repartition("i").mapInPandas(added, shape).collect())
+    got = sorted(rows.mapInPandas(sums, shape).repartition("i").mapInPandas(added, shape).collect())
     a, b = np.array([r["a"] for r in got]), np.array([r["b"] for r in got])
     model = Model(mean, std, np.linalg.solve(a + RIDGE * np.diag([1.0] * FEATURES + [0.0]), b))
 
