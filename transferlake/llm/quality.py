@@ -148,12 +148,14 @@ def train(stats: DataFrame, labels: DataFrame) -> Model:
     size = FEATURES + 1
 
     def sums(parts):
-        a, b = np.zeros((size, size)), np.zeros(size)
+        a, b, n = np.zeros((size, size)), np.zeros(size), 0
         for pdf in parts:
             z = _cosines(_rows(pdf), mean, std)
             a += z.T @ z
             b += z.T @ pdf["y"].to_numpy(float)
-        yield pd.DataFrame({"i": np.arange(size), "a": list(a), "b": b})
+            n += len(pdf)
+        if n:
+            yield pd.DataFrame({"i": np.arange(size), "a": list(a), "b": b})
 
     def added(parts):
         total: dict[int, list] = {}
