@@ -117,6 +117,21 @@ def test_mixed_documents_are_what_the_mix_takes(spark):
     assert all(got[d] == n for d, n in want.items())
 
 
+def test_mixed_documents_when_cut_points_differ_from_call_to_call(spark, monkeypatch):
+    docs, plain, calls = read(spark, SF, "documents"), mixing.bounds_of, []
+
+    def other(df, column, ranges):
+        calls.append(ranges)
+        return [b + 7 * len(calls) for b in plain(df, column, ranges)]
+    monkeypatch.setattr(mixing, "bounds_of", other)
+    want = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
+    got, texts = Counter(), {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in mixing.mixed(docs).collect():
+        got[r["doc_id"]] += words(r["text"])
+        assert r["text"] == texts[r["doc_id"]] or r["text"] in " ".join(texts[r["doc_id"]].split())
+    assert all(got[d] == n for d, n in want.items())
+
+
 def test_mix_awkward_rows(spark):
     rows = mixing.mix(edges.docs(spark)).collect()
     check_mix([dict(zip(("doc_id", "text", "lang", "source", "n"), r)) for r in edges.ROWS], rows, 0.3)
