@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 import edges
@@ -108,6 +109,40 @@ def test_code_switched_text_is_labelled_by_the_longer_part(spark):
     assert lang == "fr" and 0.55 < score < 0.95
 
 
+def many_languages(n, rows, words, seed=6):
+    """(lang, text) of made-up languages, each with its own 30 words; the last ones have a third of the rows."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    out = []
+    for j in range(n):
+        own = ["".join(letters[rng.integers(0, 26, rng.integers(3, 8))]) for _ in range(30)]
+        out += [(f"l{j:03d}", " ".join(own[i] for i in rng.integers(0, 30, words))) for _ in range(rows if j < n - 6 else rows // 3)]
+    return out
+
+
+def test_languages_beyond_the_most_frequent_are_learned(spark):
+    rows = many_languages(70, 6, 12)
+    docs = edges.docs(spark, [(i, t, lang, "a", 0) for i, (lang, t) in enumerate(rows)])
+    names, weights, moves = language.train(docs)
+    assert names == sorted({lang for lang, _ in rows})
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, names, weights, moves).collect()}
+    assert [got[i] for i in range(len(rows))] == [lang for lang, _ in rows]
+
+
+def test_a_fit_in_slices_is_the_same_fit(monkeypatch):
+    rows = many_languages(8, 9, 40)
+    part = lambda: iter([pd.DataFrame(rows, columns=["lang", "text"])])
+    texts = [" ".join(t for _, t in rows[:20])] + [t for _, t in rows]
+    seen = []
+    for cells in (language.CELLS, 1):
+        monkeypatch.setattr(language, "CELLS", cells)
+        made = next(language._fit(part())).iloc[0]
+        weights, moves = np.frombuffer(made["weights"], np.float32).reshape(8, -1), np.frombuffer(made["moves"]).reshape(8, 8)
+        seen.append((weights, moves, language.label(texts, made["names"], weights, moves)))
+    (w1, m1, (l1, s1)), (w2, m2, (l2, s2)) = seen
+    assert np.allclose(w1, w2, atol=1e-3) and np.allclose(m1, m2, atol=1e-3) and l1 == l2 and np.allclose(s1, s2, atol=1e-3)
+
+
 def test_isotonic_and_ngrams():
     x, y = quality.isotonic(np.arange(5.0), np.array([0.0, 1.0, 0.0, 1.0, 1.0]), np.ones(5))
     assert list(y) == [0, 0.5, 1, 1] or list(y) == [0, 0.5, 1]

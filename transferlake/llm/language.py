@@ -7,11 +7,13 @@ word's language probabilities, so a text may switch languages; the text's langua
 with the largest sum, and the score is that sum's share.
 
 The model is fitted on a bounded sample: at most ``max_per_language`` documents of each
-language, those with the smallest id hash. For training, the sample's words are cut into
+language, those with the smallest id hash. Every language that has a document is learned, however
+rare. For training, the sample's words are cut into
 pieces of ``PIECE_WORDS`` and dealt in a pseudorandom order into chains, as code-switched text
 would be, so that the transitions learn both staying and switching. It is fitted in one task;
 the driver gets the weights (2^16 numbers a language). Prediction is one scan of whole texts,
-cut into chains of ``CHAIN`` words that all run together.
+cut into chains of ``CHAIN`` words that run together, ``CELLS`` words times languages at a time,
+so that only the sample and the weights grow with the number of languages.
 
 Words are maximal runs of letters and marks beyond ASCII, lower-cased. A text that is null or
 has no letter is ``und`` with score 0; so is every text if no language was learned. Null or
@@ -33,7 +35,8 @@ BITS = 16
 CHAIN = 64
 PIECE_WORDS = 16
 MAX_PER_LANGUAGE = 150
-MAX_LANGUAGES = 64          # languages learned: the most frequent ones
+CELLS = 1 << 22             # words times languages worked on at once
+HISTORY = 512               # of the optimiser: languages times earlier steps kept, 2 to 8 steps
 PENALTY = 0.5
 STEPS = 30
 _KINDS = 9                  # of features: 3 prefixes, 3 suffixes, the word, bigrams, trigrams
@@ -97,6 +100,18 @@ def featurise(texts: list):
     return np.concatenate(made).astype(np.int64), np.concatenate(at), owner[starts]
 
 
+def _slices(n: int, k: int, buckets: np.ndarray, at: np.ndarray):
+    """Words 0 .. n-1 as whole chains, CELLS words times k at a time: (first, last + 1, buckets
+    and words of the features, words counted from the first)."""
+    step = max(1, CELLS // (CHAIN * k)) * CHAIN
+    if n <= step:
+        return [(0, n, buckets, at)]
+    order = np.argsort(at, kind="stable")
+    buckets, at = buckets[order], at[order]
+    cuts = np.searchsorted(at, np.arange(0, n + step, step))
+    return [(a, min(n, a + step), buckets[i:j], at[i:j] - a) for a, i, j in zip(range(0, n, step), cuts, cuts[1:])]
+
+
 def _emissions(buckets: np.ndarray, at: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(at, w[buckets], n) for w in weights], axis=1)
 
@@ -164,35 +179,44 @@ def _fit(parts):
     place[order] = np.arange(base)
     at, label = place[at], label[order]
     index, filled = _chains(base)
-    gold = np.zeros((base, k))
-    gold[np.arange(base), label] = 1
     inner = filled[:, 1:]
     gold_pairs = np.zeros((k, k))
     np.add.at(gold_pairs, (label[index[:, :-1]][inner], label[index[:, 1:]][inner]), 1)
 
+    slices = _slices(base, k, buckets, at)
+    del buckets, at
+
     def loss(v):
         weights, moves = v[:k * size].reshape(k, size), v[k * size:].reshape(k, k)
-        scores = _emissions(buckets, at, base, weights)
-        post, pairs, log_all = forward_backward(scores[index], filled, moves)
-        told = scores[np.arange(base), label].sum() + (gold_pairs * moves).sum()
-        miss = post.reshape(-1, k)[:base] - gold
-        grad = np.concatenate([np.bincount(buckets, miss[at, j], size) for j in range(k)] + [(pairs - gold_pairs).ravel()])
-        return log_all - told + PENALTY * (v @ v) / 2, grad + PENALTY * v
-
-    v = lbfgs(loss, np.zeros(k * size + k * k), STEPS)
+        value, grad = PENALTY * (v @ v) / 2 - (gold_pairs * moves).sum(), PENALTY * v
+        by_bucket, by_move = grad[:k * size].reshape(k, size), grad[k * size:].reshape(k, k)
+        by_move -= gold_pairs
+        for a, b, inside, words in slices:
+            scores = _emissions(inside, words, b - a, weights)
+            index, filled = _chains(b - a)
+            post, pairs, log_all = forward_backward(scores[index], filled, moves)
+            miss, told = post.reshape(-1, k)[:b - a], (np.arange(b - a), label[a:b])
+            value += log_all - scores[told].sum()
+            miss[told] -= 1
+            by_move += pairs
+            for j in range(k):
+                by_bucket[j] += np.bincount(inside, miss[words, j], size)
+        return value, grad
+
+    v = lbfgs(loss, np.zeros(k * size + k * k), STEPS, memory=max(2, min(8, HISTORY // k)))
     yield pd.DataFrame({"names": [names], "weights": [v[:k * size].astype(np.float32).tobytes()], "moves": [v[k * size:].tobytes()]})
 
 
 def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
     """(languages, weights [language, bucket], transitions) from documents' text and lang."""
     known = documents(docs).where("trim(lang) <> '' AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return [], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0))
     # One scan: of each language the share of hashes that holds some times the bound, then the least of those.
-    cuts = {r["lang"]: min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["count"]) * (1 << 64))) for r in counts}
-    by_lang = F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv])
-    near = known.withColumn("_h", F.xxhash64("doc_id")).where(F.col("_h") <= F.try_element_at(by_lang, F.col("lang")))
+    cuts = [(r["lang"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["count"]) * (1 << 64)))) for r in counts]
+    cuts = docs.sparkSession.createDataFrame(cuts, "lang string, _cut bigint")
+    near = known.withColumn("_h", F.xxhash64("doc_id")).join(F.broadcast(cuts), "lang").where("_h <= _cut")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
     texts = near.withColumn("_rank", rank).where(F.col("_rank") <= max_per_language).select("lang", "text")
     made = texts.repartition(1).mapInPandas(_fit, "names array<string>, weights binary, moves binary").first()
@@ -209,12 +233,13 @@ def label(texts: list, names: list, weights: np.ndarray, moves: np.ndarray) -> t
         n = len(owner)
         if not n or not names:
             continue
-        index, filled = _chains(n)
         starts = np.concatenate(([True], owner[1:] != owner[:-1]))
-        post, _, _ = forward_backward(_emissions(buckets, at, n, weights)[index], filled, moves, starts[index])
-        post = post.reshape(-1, len(names))[:n]
-        for j in range(len(names)):
-            sums[a:b, j] = np.bincount(owner, post[:, j], b - a)
+        for first, stop, inside, words in _slices(n, len(names), buckets, at):
+            index, filled = _chains(stop - first)
+            post, _, _ = forward_backward(_emissions(inside, words, stop - first, weights)[index], filled, moves, starts[first:stop][index])
+            post = post.reshape(-1, len(names))[:stop - first]
+            for j in range(len(names)):
+                sums[a:b, j] += np.bincount(owner[first:stop], post[:, j], b - a)
     total = sums.sum(axis=1)
     best = sums.argmax(axis=1)
     return ([names[j] if t > 0 else "und" for j, t in zip(best, total)], np.where(total > 0, sums.max(axis=1) / np.maximum(total, 1e-9), 0.0))
