@@ -188,3 +188,13 @@ def test_leaks_of_empty_tables(spark):
     assert decontamination.leaks(edges.empty(spark), bench).count() == 0
     assert decontamination.leaks(edges.docs(spark), bench.limit(0)).count() == 0
     assert decontamination.decontaminated(edges.docs(spark), bench.limit(0)).count() == len(edges.ROWS)
+
+
+def test_short_items_are_found_whatever_their_signatures():
+    docs, items = [], []
+    for seed in (2608, 6840, 7949, 9607, 21649):              # no MinHash value of any window agrees
+        w = [f"w{x}" for x in np.random.default_rng(seed).integers(0, 10 ** 9, 60)]
+        docs.append(" ".join(w))
+        items.append(" ".join(w[12:20] + ["other"]))
+    found = decontamination.Items(list(range(5)), items).found(docs)
+    assert found == [(i, i, 4) for i in range(5)]

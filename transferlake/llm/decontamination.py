@@ -9,8 +9,9 @@ MinHash values agree; a passage that holds 0.8 of an item is missed with a chanc
 Every candidate is verified: the item's distinct shingles found anywhere in the document, over
 all of the item's; ``THRESHOLD`` of them is a leak.
 
-An item whose shingles mostly repeat each other has too few distinct ones for MinHash; any of
-its shingles in a document makes a candidate. Items of fewer than five words have no shingle of
+An item with fewer distinct shingles than half its class size (a short one, or one whose
+shingles repeat each other) has too few for MinHash; any of its shingles in a document makes a
+candidate. Items of fewer than five words have no shingle of
 five and never count; nor do null texts.
 
 Items go to the tasks in blocks of at most ``ITEMS`` (a bound of about 60 MB); each block is one
@@ -56,7 +57,7 @@ class Items:
             self.ids.append(item)
             self.sets.append(own)
             size = max(LEAST_CLASS, 1 << int(len(row) - 1).bit_length())
-            if len(own) < size // 4:
+            if len(own) < size // 2:
                 for h in own:
                     self.few.setdefault(int(h), []).append(n)
             else:
