@@ -129,6 +129,15 @@ def test_languages_beyond_the_most_frequent_are_learned(spark):
     assert [got[i] for i in range(len(rows))] == [lang for lang, _ in rows]
 
 
+def test_languages_of_rows_without_ids_and_of_repeated_rows_are_learned(spark):
+    same = "always the very same few words"
+    rows = [(None, f"un deux trois mot{i}", "fr", "a", 0) for i in range(60)] + [(None, same, "en", "a", 0)] * 60
+    names, weights, moves = language.train(edges.docs(spark, rows), max_per_language=2)
+    assert names == ["en", "fr"]
+    assert language.label([same, "un deux trois"], names, weights, moves)[0] == ["en", "fr"]
+    assert language.train(edges.docs(spark, [(1, "!!!", "en", "a", 3)]))[0] == []
+
+
 def test_a_fit_in_slices_is_the_same_fit(monkeypatch):
     rows = many_languages(8, 9, 40)
     part = lambda: iter([pd.DataFrame(rows, columns=["lang", "text"])])

@@ -7,7 +7,7 @@ word's language probabilities, so a text may switch languages; the text's langua
 with the largest sum, and the score is that sum's share.
 
 The model is fitted on a bounded sample: at most ``max_per_language`` documents of each
-language, those with the smallest id hash. Every language that has a document is learned, however
+language, those with the smallest hash of id and text. Every language that has a document is learned, however
 rare. For training, the sample's words are cut into
 pieces of ``PIECE_WORDS`` and dealt in a pseudorandom order into chains, as code-switched text
 would be, so that the transitions learn both staying and switching. It is fitted in one task;
@@ -167,7 +167,7 @@ def _fit(parts):
         owner.append(o + a)
         base += len(o)
     if not base or k == 0:
-        yield pd.DataFrame({"names": [names[:1]], "weights": [np.zeros((1, size), np.float32).tobytes()], "moves": [np.zeros((1, 1)).tobytes()]})
+        yield pd.DataFrame({"names": [[]], "weights": [b""], "moves": [b""]})
         return
     buckets, at, owner = (np.concatenate(x) for x in (buckets, at, owner))
     label = np.array([names.index(lang) for lang, _ in rows])[owner]
@@ -210,16 +210,21 @@ def _fit(parts):
 def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
     """(languages, weights [language, bucket], transitions) from documents' text and lang."""
     known = documents(docs).where("trim(lang) <> '' AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().collect()
+    known = known.withColumn("_h", F.xxhash64("doc_id", "text"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("least")).collect()
+    nothing = [], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0))
     if not counts:
-        return [], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0))
+        return nothing
     # One scan: of each language the share of hashes that holds some times the bound, then the least of those.
-    cuts = [(r["lang"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["count"]) * (1 << 64)))) for r in counts]
+    # The least hash is always in: repeated rows share theirs, which may lie above the cut.
+    cuts = [(r["lang"], max(r["least"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["n"]) * (1 << 64))))) for r in counts]
     cuts = docs.sparkSession.createDataFrame(cuts, "lang string, _cut bigint")
-    near = known.withColumn("_h", F.xxhash64("doc_id")).join(F.broadcast(cuts), "lang").where("_h <= _cut")
+    near = known.join(F.broadcast(cuts), "lang").where("_h <= _cut")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
     texts = near.withColumn("_rank", rank).where(F.col("_rank") <= max_per_language).select("lang", "text")
     made = texts.repartition(1).mapInPandas(_fit, "names array<string>, weights binary, moves binary").first()
+    if made is None or not made["names"]:
+        return nothing
     k = len(made["names"])
     return (list(made["names"]), np.frombuffer(made["weights"], np.float32).reshape(k, 1 << BITS).copy(),
             np.frombuffer(made["moves"]).reshape(k, k).copy())
