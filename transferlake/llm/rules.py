@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from transferlake.llm.common import documents, read, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+BLANKS = r"[\x20\x09-\x0D]+"
+SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50          # percent of the words
 
@@ -66,23 +66,22 @@ STEPS, SETTLED = 60, 1e-6
 _AT = "array<struct<h:bigint,at:int>>"
 
 
-def _without(text: str, characters: str) -> Column:
-    return F.length(F.translate(F.col(text), characters, ""))
+def _windows() -> Column:
+    """Hashes of the windows of three words, in text order."""
+    places = F.when(F.size("_words") >= 4, F.sequence(F.lit(0), F.size("_words") - 3)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)))
 
 
-def _windows() -> Column:
-    """(hash, place) of every window of three words, by hash; none where no word comes twice."""
-    places = F.when(F.size(F.array_distinct("_words")) < F.size("_words"),
-                    F.when(F.size("_words") >= 4, F.sequence(F.lit(0), F.size("_words") - 3)))
-    found = F.transform(places, lambda i: F.struct(
-        F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("at")))
-    return F.sort_array(F.coalesce(found, F.array().cast(_AT)))
+def _by_hash() -> Column:
+    """(hash, place) of the windows, by hash; none where no window comes twice."""
+    found = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+    return F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(found)).otherwise(F.array().cast(_AT))
 
 
 def _twice() -> Column:
     """Places of the windows that the text has twice or more, rising."""
-    same = lambda w, i: F.coalesce(F.get("_windows", i)["h"] == w["h"], F.lit(False))
-    marked = F.transform("_windows", lambda w, i: F.when(same(w, i - 1) | same(w, i + 1), w["at"]))
+    same = lambda w, i: F.coalesce(F.get("_sorted", i)["h"] == w["h"], F.lit(False))
+    marked = F.transform("_sorted", lambda w, i: F.when(same(w, i - 1) | same(w, i + 1), w["at"]))
     return F.sort_array(F.filter(marked, lambda at: at.isNotNull()))
 
 
@@ -100,21 +99,19 @@ def measured(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("_words", F.transform("_found", lambda w: F.xxhash64(w)))
     rows = rows.withColumn("_lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
     rows = rows.withColumn("_windows", _windows())
+    rows = rows.withColumn("_sorted", _by_hash())
     rows = rows.withColumn("_twice", _twice())
-    chars = _without("text", BLANKS)
     long = lambda c, name: c.cast("bigint").alias(name)
+    count = lambda pattern, name: long(F.regexp_count("text", F.lit(pattern)), name)
+    left = lambda pattern, name: long(F.length(F.regexp_replace("text", pattern, "")), name)
+    ending = r"""[.!?:;。！？…]["'”’)»]*\s*$"""
     return rows.select(
-        "doc_id", long(F.size("_words"), "n_words"), long(chars, "word_chars"),
-        long(F.length("text") - _without("text", SYMBOLS), "n_symbols"),
+        "doc_id", long(F.size("_words"), "n_words"), left(BLANKS, "word_chars"), count(SYMBOLS, "n_symbols"),
         long(F.size("_lines") - F.size(F.array_distinct("_lines")), "n_dup_lines"),
-        long(_covered(), "n_repeat_words"), long(F.size("_lines"), "n_lines"),
-        long(F.size(F.array_distinct("_words")), "n_distinct"),
-        long(F.length(F.regexp_replace("text", r"\P{L}+", "")), "n_letters"),
-        long(F.length(F.regexp_replace("text", r"\P{Lu}+", "")), "n_capitals"),
+        long(_covered(), "n_repeat_words"), long(F.size("_lines"), "n_lines"), long(F.size(F.array_distinct("_words")), "n_distinct"),
+        left(r"\P{L}+", "n_letters"), left(r"\P{Lu}+", "n_capitals"), count("[0-9]", "n_digits"), count("[!?]", "n_marks"),
         long(F.size(F.filter("_found", lambda w: ~w.rlike(r"\p{L}"))), "n_letterless"),
-        long(F.length("text") - _without("text", "0123456789"), "n_digits"),
-        long(F.length("text") - _without("text", "!?"), "n_marks"),
-        long(F.size(F.filter("_lines", lambda x: x.rlike(r"""[.!?:;。！？…]["'”’)»]*\s*$"""))), "n_endings"))
+        long(F.size(F.filter("_lines", lambda x: F.substring(x, -6, 6).rlike(ending))), "n_endings"))
 
 
 def votes(rules: dict = RULES) -> Column:
