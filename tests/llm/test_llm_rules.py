@@ -90,7 +90,7 @@ def test_one_unsound_rule_rejects_nothing(spark):
              tuple({**plain, "capitals": -1, "exclamations": -1}.values()): 20}
     df = spark.createDataFrame([(list(p), n) for p, n in cases.items()], "votes array<int>, n bigint")
     found = rules.estimate(df)
-    kept = {tuple(r["votes"]): r["p"] >= 0.5 for r in df.select("votes", found.posterior("votes")[0].alias("p")).collect()}
+    kept = {tuple(r["votes"]): r["p"] >= 0.5 for r in found.told(df).selectExpr("votes", "_p[0] AS p").collect()}
     assert list(kept[p] for p in cases) == [True, True, False, False]
 
 

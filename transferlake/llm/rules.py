@@ -61,7 +61,7 @@ KINDS = {
 }
 PRIOR = 20.0                # documents
 GOOD, BAD_ELSE, BAD_IF_KIND = 0.7, 0.05, 0.6     # at the start: share of good documents; bad votes of other rules, of a kind's own
-STEPS, SETTLED = 60, 1e-6
+STEPS, SETTLED = 50, 1e-4
 
 _AT = "array<struct<h:bigint,at:int>>"
 
@@ -132,36 +132,34 @@ class Accuracies:
         return cls([GOOD, *[(1 - GOOD) / len(kinds)] * len(kinds)],
                    [[BAD_IF_KIND if name in names else BAD_ELSE for name in rules] for names in own])
 
-    def posterior(self, pattern: str) -> Column:
-        """Probability of each class."""
-        logs = []
-        for share, bad in zip(self.shares, self.bad_votes):
-            total = F.lit(math.log(share))
-            for i, b in enumerate(bad):
-                vote = F.get(F.col(pattern), F.lit(i))
-                total = total + F.when(vote == 1, math.log(1 - b)).when(vote == -1, math.log(b)).otherwise(0.0)
-            logs.append(total)
-        logs = F.array(*logs)
-        scaled = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-        return F.transform(scaled, lambda x: x / F.aggregate(scaled, F.lit(0.0), lambda a, y: a + y))
+    def told(self, rows: DataFrame, pattern: str = "votes") -> DataFrame:
+        """``rows`` + _p, the probability of each class; one step of the work a projection, so that
+        nothing is worked out twice."""
+        def log(share: float, bad: list) -> str:
+            listed = lambda xs: "array(" + ", ".join(f"{x!r}D" for x in xs) + ")"
+            good, bad = listed([math.log(1 - b) for b in bad]), listed([math.log(b) for b in bad])
+            return f"""aggregate(transform({pattern}, (v, i) -> CASE v WHEN 1 THEN get({good}, i) WHEN -1 THEN get({bad}, i) ELSE 0D END),
+                                 {math.log(share)!r}D, (a, x) -> a + x)"""
+        logs = ", ".join(log(s, b) for s, b in zip(self.shares, self.bad_votes))
+        return (rows.selectExpr("*", f"array({logs}) AS _logs").selectExpr("*", "array_max(_logs) AS _most")
+                .selectExpr("*", "transform(_logs, x -> exp(x - _most)) AS _each").selectExpr("*", "aggregate(_each, 0D, (a, x) -> a + x) AS _all")
+                .selectExpr("*", "transform(_each, x -> x / _all) AS _p").drop("_logs", "_most", "_each", "_all"))
 
 
 def estimate(patterns: DataFrame, rules: dict = RULES, kinds: dict = KINDS, steps: int = STEPS) -> Accuracies:
     """Expectation-maximisation over rows of (votes, n)."""
     start = now = Accuracies.start(rules, kinds)
-    classes = range(len(start.shares))
+    sums = [F.expr(f"sum(CASE WHEN {on} THEN n * _p[{c}] END) AS {name}{c}") for c in range(len(start.shares))
+            for name, on in (("all", "true"), ("voted", "vote <> 0"), ("bad", "vote = -1"))]
     for _ in range(steps):
-        told = patterns.select("n", "votes", now.posterior("votes").alias("_p")).select("n", "_p", F.posexplode("votes").alias("rule", "vote"))
-        weight = [F.col("n") * F.get("_p", F.lit(c)) for c in classes]
-        sums = [F.sum(F.when(on, w)).alias(f"{name}{c}") for c, w in enumerate(weight)
-                for name, on in (("all", F.lit(True)), ("voted", F.col("vote") != 0), ("bad", F.col("vote") == -1))]
+        told = now.told(patterns).selectExpr("n", "_p", "posexplode(votes) AS (rule, vote)")
         found = {r["rule"]: r for r in told.groupBy("rule").agg(*sums).collect()}
         if not found:
             return start
         part = lambda i, name, c: found[i][f"{name}{c}"] or 0.0
-        total = sum(part(0, "all", c) for c in classes)
-        new = Accuracies([(part(0, "all", c) + PRIOR * start.shares[c]) / (total + PRIOR) for c in classes],
-                         [[(part(i, "bad", c) + PRIOR * b) / (part(i, "voted", c) + PRIOR) for i, b in enumerate(start.bad_votes[c])] for c in classes])
+        total = sum(part(0, "all", c) for c in range(len(start.shares)))
+        new = Accuracies([(part(0, "all", c) + PRIOR * share) / (total + PRIOR) for c, share in enumerate(start.shares)],
+                         [[(part(i, "bad", c) + PRIOR * b) / (part(i, "voted", c) + PRIOR) for i, b in enumerate(bad)] for c, bad in enumerate(start.bad_votes)])
         moved = max(abs(x - y) for a, b in zip([now.shares, *now.bad_votes], [new.shares, *new.bad_votes]) for x, y in zip(a, b))
         now = new
         if moved < SETTLED:
@@ -175,8 +173,8 @@ def judged(docs: DataFrame, rules: dict = RULES, kinds: dict = KINDS) -> DataFra
     patterns = stored(rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "rules-patterns")
     found = estimate(patterns, rules, kinds)
     failed = F.expr(f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words")
-    good = F.get(found.posterior("votes"), F.lit(0))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+    good = F.get("_p", F.lit(0))
+    return found.told(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                        (~failed & (good >= 0.5)).alias("kept"), good.alias("posterior"), "votes")
 
 
