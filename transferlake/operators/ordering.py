@@ -1,19 +1,22 @@
 """Order-dependent operators that stay distributed.
 
-The running number range-partitions the rows on the full sort key and freezes them as a table
-in the shared folder, so the second pass sees the partitions the first one made even if
-executors are lost. LAG cuts every group into ranges of its first order column by fixed cut
-points, so a group holding a third of all rows is split and a retried task deals rows as before.
-What crosses ranges is one row per (group, range) or per partition.
+Rows of a scan are numbered in place: a small table has each split's row count, prefix sums of
+it give every split its first number. Rows of any other order are range-partitioned on the full
+sort key and frozen as a table in the shared folder, so the second pass sees the partitions the
+first one made even if executors are lost. LAG is a plain window, but for groups of more than
+``hot_rows`` rows: those alone are range-partitioned on (group, order) and lagged inside (group,
+range), and what crosses ranges is one row per (group, range).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transferlake.session import stored
+from transferlake.session import stored, stored_counted
 
+HOT_ROWS = 10_000_000       # of one group; a window task sorts about as many at most
+BROADCAST_SPLITS = 1_000_000
 
 def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
                    num_partitions: int | None = None) -> DataFrame:
@@ -33,37 +36,71 @@ def running_number(df: DataFrame, order_by: list[str], out: str = "seq_id",
     return numbered.select(seq.alias(out), *df.columns)
 
 
-def _ranges_of(df: DataFrame, column: Column, ranges: int) -> Column:
-    """Range number of a numeric or time column, by cut points of near-equal counts."""
-    number = column.cast("double")
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(df.select(number.alias("_n")).approxQuantile("_n", probs, 0.5 / ranges))) if probs else []
-    if not cuts:
-        return F.lit(0)
-    return F.when(number.isNull(), 0).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= number)))
+def split_offsets(df: DataFrame, split: list[str], row: str) -> tuple[DataFrame, int]:
+    """One row per split of a scan: ``split`` columns (in scan order), its first row id, its
+    number of rows and the rows of the splits before it; and the number of splits. Stored; ``row``
+    is a row id that rises by one inside a split, such as ``monotonically_increasing_id`` above
+    the scan."""
+    counts = df.groupBy(*split).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    return stored_counted(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "splits")
+
+
+def number_in_place(df: DataFrame, split: list[str], row: str, out: str,
+                    offsets: tuple[DataFrame, int] | None = None, cap: int | None = None) -> DataFrame:
+    """Dense 1..N numbering in scan order: rows before the row's split, plus its place in the
+    split. Event rows are neither sorted nor shuffled: the table of splits is broadcast, up to
+    ``BROADCAST_SPLITS`` of them. ``cap`` keeps the numbers up to it. A second scan that is not
+    cut as the first was (a cluster that changed size between the two) fails with an error
+    rather than number rows wrongly; run again. Columns ``split`` and ``row`` are dropped."""
+    offsets, splits = offsets or split_offsets(df, split, row)
+    if cap is not None:
+        offsets = offsets.where(F.col("_before") < cap)
+    names = [f"_s{i}" for i in range(len(split))]
+    table = offsets.select(*[F.col(c).alias(n) for c, n in zip(split, names)], "_first", "_n", "_before")
+    if splits <= BROADCAST_SPLITS:
+        table = F.broadcast(table)
+    same = [df[c] == F.col(n) for c, n in zip(split, names)]
+    place = F.col(row) - F.col("_first")
+    fits = (place >= 0) & (place < F.col("_n"))
+    number = F.when(fits, F.col("_before") + place + 1).otherwise(F.raise_error(F.lit("the files were split anew between two scans: run again")).cast("bigint"))
+    # Under a cap, rows of splits beyond it have no offset and go; without one, none may.
+    joined = df.join(table, same, "inner" if cap is not None else "left")
+    numbered = joined.select(number.alias(out), *[c for c in df.columns if c not in (*split, row)])
+    return numbered if cap is None else numbered.where(F.col(out) <= cap)
 
 
 def lag_in_group(df: DataFrame, group: str, order_by: list[str], value: str, out: str,
-                 ranges: int | None = None) -> DataFrame:
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """LAG(value) OVER (PARTITION BY group ORDER BY order_by); NULL is a group like any other.
 
-    ``order_by[0]`` must be a number or a time. Rows are dealt by (group, range of that
-    column) and lagged there; the first row of a range takes the last value of the group's
-    range before it."""
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = [F.col(group).isNull().alias("_none"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_g"),
-           _ranges_of(df, F.col(order_by[0]), ranges).alias("_r")]
-    rows = df.select("*", *key)
-    inside = Window.partitionBy("_none", "_g", "_r").orderBy(*order_by)
-    local = rows.withColumn("_lag", F.lag(value).over(inside)).withColumn("_at", F.row_number().over(inside))
-    tails = rows.groupBy("_none", "_g", "_r").agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order_by)).alias("_tail"))
-    previous = tails.select("_none", "_g", "_r", F.lag("_tail").over(Window.partitionBy("_none", "_g").orderBy("_r")).alias("_prev"))
-    joined = local.join(previous, ["_none", "_g", "_r"])
-    return joined.select(*df.columns, F.when(F.col("_at") == 1, F.col("_prev.v")).otherwise(F.col("_lag")).alias(out))
-
-
-def prev_amount_by_sender(good: DataFrame, ranges: int | None = None) -> DataFrame:
+    The rows are written once. Groups of more than ``hot_rows`` rows (at most rows / hot_rows of
+    them; none, if there are no more rows than that) are cut into ranges of about that many; the
+    first row of a range takes the last value of the group's range before it."""
+    rows, n = stored_counted(df, "lag")
+    whole = F.lag(value).over(Window.partitionBy(group).orderBy(*order_by)).alias(out)
+    if n <= hot_rows:
+        return rows.select("*", whole)
+    counts = rows.groupBy(F.col(group).alias("_large")).agg(F.count(F.lit(1)).alias("_n"))
+    large = stored(counts.where(F.col("_n") > hot_rows), "lag-groups")
+    total = large.agg(F.sum("_n")).first()[0]
+    if not total:
+        return rows.select("*", whole)
+    is_large = rows[group].eqNullSafe(large["_large"])
+    others = rows.join(large, is_large, "left_anti").select("*", whole)
+    hot = rows.join(large, is_large, "left_semi").repartitionByRange(-(-total // hot_rows) + 1, group, *order_by)
+    hot = stored(hot.withColumn("_p", F.spark_partition_id()), "lag-ranges")
+    inside = Window.partitionBy(group, "_p").orderBy(*order_by)
+    local = hot.withColumn("_lag", F.lag(value).over(inside)).withColumn("_at", F.row_number().over(inside))
+    tails = hot.groupBy(group, "_p").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order_by)).alias("_tail"))
+    previous = tails.select(F.col(group).alias("_group"), F.col("_p").alias("_range"),
+                            F.lag("_tail").over(Window.partitionBy(group).orderBy("_p")).alias("_prev"))
+    previous = stored(previous, "lag-tails")
+    joined = local.join(previous, local[group].eqNullSafe(previous["_group"]) & (local["_p"] == previous["_range"]))
+    return others.unionByName(joined.select(*rows.columns, F.when(F.col("_at") == 1, F.col("_prev.v")).otherwise(F.col("_lag")).alias(out)))
+
+
+def prev_amount_by_sender(good: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Previous amount of the same sender by (timestamp, tx_id)."""
     base = good.select("sender_id", "tx_id", "timestamp", "amount")
-    return lag_in_group(base, "sender_id", ["timestamp", "tx_id"], "amount", "prev_tx_amount", ranges)
+    return lag_in_group(base, "sender_id", ["timestamp", "tx_id"], "amount", "prev_tx_amount", hot_rows)

@@ -11,7 +11,9 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -91,6 +93,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows, counted as they are written."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, int(seen.get["n"])
+
+
+def read_optional(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet table that may not have been written yet: no rows then."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def local_path(path: str) -> str | None:
     """Plain filesystem path for a ``file:`` or bare path, else None (remote store)."""
     if path.startswith("file:"):
