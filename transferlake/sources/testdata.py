@@ -27,8 +27,9 @@ def _cases(key, mapping: dict, default):
     return expr.otherwise(default if hasattr(default, "alias") else F.lit(default))
 
 
-def raw_transfers(orders: DataFrame) -> DataFrame:
-    """V1: landing rows (all strings but the epoch) with the dirt the cleaning rules handle."""
+def raw_transfers(orders: DataFrame, keep: list = ()) -> DataFrame:
+    """V1: landing rows (all strings but the epoch) with the dirt the cleaning rules handle.
+    ``keep``: columns of the scan that are passed on."""
     k = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     whole = F.floor(cents / 100).cast("bigint").cast("string")
@@ -59,6 +60,7 @@ def raw_transfers(orders: DataFrame) -> DataFrame:
         currency.alias("currency"),
         status.alias("status"),
         epoch.alias("timestamp"),
+        *keep,
     )
 
 
@@ -95,6 +97,11 @@ def second_month(events: DataFrame) -> DataFrame:
     return events.unionByName(later)
 
 
+def with_hot_receiver(events: DataFrame) -> DataFrame:
+    """V4 with a third of the events sent to one receiver."""
+    return events.withColumn("receiver_id", F.when(F.pmod(F.col("tx_id"), F.lit(3)) == 0, F.lit("R7")).otherwise(F.col("receiver_id")))
+
+
 def without_some_senders(good: DataFrame) -> DataFrame:
     """V3 with a third of the senders unknown."""
     return good.withColumn("sender_id", F.when(F.pmod(F.col("tx_id").cast("bigint"), F.lit(3)) != 0, F.col("sender_id")))
