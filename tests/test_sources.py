@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from transferlake.operators import cleaning
@@ -27,7 +28,6 @@ def test_csv_positional_and_by_header(spark, tmp_dir):
     landing.write_landing(raw.select("status", "tx_id", "sender_id", "receiver_id", "amount", "currency", "timestamp"), swapped)
     by_name = landing.read_landing(spark, swapped, by_header=True)
     assert by_name.select(*raw.columns).exceptAll(raw).count() == 0
-    import pytest
     with pytest.raises(Exception):
         landing.read_landing(spark, swapped, validate_header=True).collect()
     # files with different column orders in one folder: each binds by its own header
@@ -117,3 +117,79 @@ def test_published_events_round_trip(spark, tmp_dir):
     back = decode_events(spark.read.text(f"{tmp_dir}/topic"), EVENT_DDL)
     assert back.count() == raw.count()
     assert back.where("currency IS NULL").count() == 0      # all columns are published
+
+
+def test_headers_cost_no_scan(spark, tmp_dir):
+    raw = Views(spark, SF001).raw
+    landing.write_landing(raw.repartition(3), f"{tmp_dir}/in")
+    landing.write_landing(raw.select(*reversed(raw.columns)), f"{tmp_dir}/in", mode="append")
+    found = landing.headers(spark, spark.read.text(f"{tmp_dir}/in").inputFiles())
+    assert {k: len(v) for k, v in found.items()} == {tuple(raw.columns): 3, tuple(reversed(raw.columns)): 1}
+    df = landing.read_landing(spark, f"{tmp_dir}/in", by_header=True)
+    plan = df.select("status")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Join" not in plan and "Exchange" not in plan      # a scan for each header
+    assert df.count() == 2 * raw.count()
+
+
+def test_odd_headers(spark, tmp_dir):
+    folder = local_path(f"{tmp_dir}/odd dir")
+    os.makedirs(folder)
+    texts = {"a b.csv": '﻿status,"amount",status,x\r\nok,1.5,no,3\r\n', "empty.csv": "", "head.csv": "tx_id,timestamp\n",
+             "no names.csv": "p,q\n1,2\n", "short.csv": "tx_id,status,timestamp\nt1\nt2,ok,12\nt3,bad,notanumber\n", "last line.csv": "tx_id\nt9"}
+    for name, text in texts.items():
+        with open(f"{folder}/{name}", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    rows = landing.read_landing(spark, f"{tmp_dir}/odd dir", by_header=True, with_source=True)
+    got = sorted((r["tx_id"], r["status"], r["amount"], r["timestamp"]) for r in rows.fillna("-", ["tx_id", "status", "amount"]).fillna(-1, ["timestamp"]).collect())
+    assert got == [("-", "-", "-", -1), ("-", "ok", "1.5", -1), ("t1", "-", "-", -1), ("t2", "ok", "-", 12), ("t3", "bad", "-", -1), ("t9", "-", "-", -1)]
+    assert landing.read_landing(spark, [f"{tmp_dir}/odd dir/empty.csv"], by_header=True, with_source=True).count() == 0
+
+
+def test_publish_in_file_order_reads_what_a_cap_needs(spark, tmp_dir):
+    from transferlake.operators.publish import capped_files
+    raw = Views(spark, SF001).raw
+    for i in range(8):
+        landing.write_landing(raw.where(f"CAST(tx_id AS BIGINT) % 8 = {i}").coalesce(1), f"{tmp_dir}/in/part{i}")
+    every = f"{tmp_dir}/in/*"
+
+    def read(paths):
+        return landing.read_landing(spark, paths, by_header=True, with_source=True)
+    whole = publish_events(read(every)).orderBy("tx_id").collect()
+    assert [r.tx_id for r in whole] == list(range(1, raw.count() + 1))
+    order = [F.col("source_file"), F.col("source_block"), F.col("source_row")]
+    assert whole == publish_events(read(every), order).orderBy("tx_id").collect()
+    files = sorted((r["source_file"], r["length"]) for r in landing.landing_files(spark, every).collect())
+    used = capped_files(read, files, 300, first_bytes=1)
+    assert len(used) in (2, 3) and used == [f for f, _ in files[:len(used)]]       # a file, then about two more: the others are never opened
+    capped = publish_events(read(used), cap=300)
+    assert len([f for f in capped.inputFiles() if f.endswith(".csv")]) == len(used)
+    assert sorted(capped.collect()) == whole[:300]
+    from transferlake.plans.jobs import publish_landing
+    assert publish_landing(spark, every, out_path=f"{tmp_dir}/out", cap=300) == 300
+    assert publish_landing(spark, every, out_path=f"{tmp_dir}/all", cap=10 ** 9) == len(whole)
+    assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/out").collect()) == sorted(r.value for r in whole[:300])
+
+
+def test_loaded_files_are_not_read_again(spark, tmp_dir, monkeypatch):
+    from transferlake.plans.jobs import load_landing
+    raw = Views(spark, SF001).raw
+    inbox = f"{tmp_dir}/in"
+    landing.write_landing(raw.repartition(3), inbox)
+
+    def load(n):
+        return load_landing(spark, inbox, f"{tmp_dir}/t", f"{tmp_dir}/dlq", n, only_new=True)
+
+    def rows():
+        return tb.read_table(spark, f"{tmp_dir}/t").count() + spark.read.parquet(f"{tmp_dir}/dlq").count()
+    assert load(1)["files"] == 3 and rows() == raw.count()
+    assert load(2) == {"load_id": 2, "files": 0, "good_rows": 0} and rows() == raw.count()
+    assert load(1)["files"] == 3 and rows() == raw.count()                 # a load run again reads its files again
+    landing.write_landing(raw.limit(100).coalesce(1), inbox, mode="append")
+    # a load that fails before its record has read nothing
+    monkeypatch.setattr(tb, "_record_loads", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load(3)
+    monkeypatch.undo()
+    assert load(4)["files"] == 1
+    loads = {r["load_id"] for r in tb.read_table(spark, f"{tmp_dir}/t", with_load=True).select("load_id").distinct().collect()}
+    assert loads == {1, 4}

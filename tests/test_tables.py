@@ -2,13 +2,15 @@
 
 import glob
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from transferlake.plans.views import Views
 from transferlake.session import local_path
 from transferlake.sources import tables as tb
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 
 def _year():
@@ -131,3 +133,100 @@ def test_serving_layout_files_are_sorted_and_disjoint(spark, tmp_dir):
     ranges.sort()
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     assert out.count() == flat.count()
+
+
+def files_of(spark, path):
+    return {r["file"] for r in tb.data_files(spark, path).collect()}
+
+
+def two_loads(spark, path):
+    """Load 1: many small files of each status; load 2: one file of each status."""
+    good = Views(spark, SF001).good
+    tb.write_load(good, path, 1, "replace")
+    small = good.repartition(6)
+    small.write.mode("overwrite").partitionBy("status").parquet(f"{path}/data/load_id=1")
+    tb.write_load(good.where("amount > 1000"), path, 2, "append")
+    return tb.read_table(spark, path, with_load=True)
+
+
+def test_compaction_rewrites_only_partitions_it_can_shrink(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    before = sorted(map(repr, two_loads(spark, path).collect()))
+    old = files_of(spark, path)
+    n = tb.compact_files(spark, path)
+    new = files_of(spark, path)
+    statuses = Views(spark, SF001).good.select("status").distinct().count()
+    assert n == statuses
+    assert {f for f in old if "load_id=2" in f} <= new                        # one file a partition: left alone
+    assert len([f for f in new if "load_id=1" in f]) == statuses
+    assert sorted(map(repr, tb.read_table(spark, path, with_load=True).collect())) == before
+    assert tb.compact_files(spark, path) == 0 and files_of(spark, path) == new
+    assert tb.compact_files(spark, path, [2]) == 0
+
+
+def test_compaction_packs_files_into_bins(spark):
+    sizes = [40, 50, 30, 60, 500, 10, 10]
+    files = spark.createDataFrame([(1, "a", f"f{i}", n) for i, n in enumerate(sizes)] + [(2, "a", "f0", 500), (3, None, "f0", 10), (3, None, "f1", 10)],
+                                  "load_id bigint, status string, file string, length bigint")
+    bins = {}
+    for r in tb.small_file_bins(files, 100).collect():
+        bins.setdefault((r["load_id"], r["status"], r["bin"]), set()).add(r["file"])
+    assert bins == {(1, "a", 0): {"f0", "f1", "f2"}, (1, "a", 1): {"f3", "f4"}, (1, "a", 6): {"f5", "f6"}, (3, None, 0): {"f0", "f1"}}
+
+
+def test_a_failed_compaction_loses_nothing(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    before = sorted(map(repr, two_loads(spark, path).collect()))
+    put = tb._put_in_place
+
+    def fails(*_):
+        raise OSError("lost")
+    monkeypatch.setattr(tb, "_put_in_place", fails)
+    with pytest.raises(OSError):
+        tb.compact_files(spark, path)
+    assert sorted(map(repr, tb.read_table(spark, path, with_load=True).collect())) == before
+
+    def half(spark, path, staged):
+        put(spark, path, staged)
+        # a partition is gone when the commit breaks off
+        shutil.rmtree(f"{local_path(path)}/data/load_id=1/status=pending", ignore_errors=True)
+        raise OSError("lost")
+    monkeypatch.setattr(tb, "_put_in_place", half)
+    with pytest.raises(OSError):
+        tb.compact_files(spark, path)
+    monkeypatch.setattr(tb, "_put_in_place", put)
+    tb.compact_files(spark, path)
+    assert sorted(map(repr, tb.read_table(spark, path, with_load=True).collect())) == before
+
+
+def test_rollback_writes_no_data(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    good = Views(spark, SF001).good
+    tb.write_load(good.where("amount < 1000"), path, 1, "replace")
+    tb.write_load(good.where("amount >= 1000 AND amount < 100000"), path, 2, "append")
+    tb.write_load(good.where("amount >= 100000"), path, 3, "replace")
+    old = files_of(spark, path)
+
+    def state(as_of=None):
+        return {r["load_id"] for r in tb.visible_loads(spark, path, as_of).collect()}
+    assert tb.rollback(spark, path, 2) == 4 and state() == {1, 2} and files_of(spark, path) == old
+    n = tb.read_table(spark, path).count()
+    assert tb.load_history(spark, path, 1).first()["n_rows"] == n == good.where("amount < 100000").count()
+    tb.write_load(good.where("amount >= 100000"), path, 5, "append")
+    assert state() == {1, 2, 5} and state(4) == {1, 2} and state(3) == {3}
+    assert tb.rollback(spark, path, 3) == 6 and state() == {3}                  # over the rollback, to the reload
+    assert tb.rollback(spark, path, 5) == 7 and state() == {1, 2, 5}            # back to a load on a rollback
+    assert tb.rollback(spark, path, 7) == 8 and state() == {1, 2, 5}            # a rollback of a rollback
+    assert tb.rollback(spark, path, 1) == 9 and state() == {1} and state(7) == {1, 2, 5}
+
+
+def test_files_of_a_target_size(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    good = Views(spark, "/root/testdata/sf0.1").good
+    tb.write_load(good, path, 1, "replace", target_bytes=200_000)               # nothing to learn from yet
+    assert tb.write_load(good, path, 2, "append", target_bytes=200_000) == good.count()
+    sizes = tb.data_files(spark, path).where("load_id = 2").groupBy("status").agg({"length": "collect_list"}).collect()
+    for _, own in sizes:
+        # a status of less than the target has one file
+        assert all(100_000 <= n <= 400_000 for n in own) or len(own) == 1 and own[0] <= 400_000
+    assert sum(len(own) for _, own in sizes) > 4

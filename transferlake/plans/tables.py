@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from transferlake.functions import instant_to_ntz
 from transferlake.plans.views import Views, for_oracle
-from transferlake.session import shared_dir
+from transferlake.session import shared_dir, stored
 from transferlake.sources import tables as tb
 
 DLQ_DDL = tb.DLQ_TABLE_DDL
@@ -181,6 +181,64 @@ QUERIES.update({
 })
 
 
+def table_rollback_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back to 1997, a load on top, back to a year after the reload, and back to that load:
+    the state is 1997's and the load's."""
+    path = _yearly_loads(spark, sf_dir, "rollback_twice")
+    tb.rollback(spark, path, ROLLBACK_TO_YEAR)
+    last = tb.loads(spark, path).agg(F.max("load_id")).first()[0]
+    late = Views(spark, sf_dir).good.where(_year() >= AS_OF_YEAR)
+    tb.write_load(late, path, last + 1, "append")
+    tb.rollback(spark, path, AS_OF_YEAR)
+    tb.rollback(spark, path, last + 1)
+    return for_oracle(tb.read_table(spark, path))
+
+
+def landing_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder loaded, loaded again, and again with new files in it; every row is
+    there once."""
+    from transferlake.plans.jobs import load_landing
+    from transferlake.sources import landing
+    base, raw = shared_dir(spark, "jobs", "only_new", unique=True), Views(spark, sf_dir).raw
+    first = F.col("tx_id").cast("bigint") % 4 != 0
+    landing.write_landing(raw.where(first), f"{base}/landing")
+    for load_id in (1, 2):
+        load_landing(spark, f"{base}/landing", f"{base}/table", f"{base}/dlq", load_id, only_new=True)
+    landing.write_landing(raw.where(~first), f"{base}/landing", mode="append")
+    load_landing(spark, f"{base}/landing", f"{base}/table", f"{base}/dlq", 3, only_new=True)
+    return _routes(spark, base)
+
+
+def load_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: a second load in files of a target size, learned from the first; read back."""
+    good, path = Views(spark, sf_dir).good, shared_dir(spark, "tables", "sized", unique=True)
+    tb.write_load(good.where(_year() < RELOAD_YEAR), path, 0, "replace")
+    tb.write_load(good.where(_year() >= RELOAD_YEAR), path, 1, "append", target_bytes=1 << 16)
+    return for_oracle(tb.read_table(spark, path))
+
+
+def catalog_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named tables dropped one by one; what the catalog lists before and after."""
+    path = shared_dir(spark, "catalog", unique=True)
+    database = "lake_" + path.rsplit("/", 1)[-1]
+    tb.create_tables(spark, database, path)
+    tb.insert_rows(Views(spark, sf_dir).good, f"{database}.transfers")
+    n = spark.table(f"{database}.transfers").agg(F.count(F.lit(1)).alias("n_rows"))
+    tb.drop_table(spark, f"{database}.dead_letters")
+    tb.drop_table(spark, f"{database}.dead_letters")
+    left = spark.sql(f"SHOW TABLES IN {database}").agg(F.array_join(F.array_sort(F.collect_list("tableName")), ",").alias("tables"))
+    return n.join(left)
+
+
+def dlq_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dead letter carries the time of its run, one for all of them."""
+    from transferlake.operators import cleaning
+    rows = stored(cleaning.dlq_rows(Views(spark, sf_dir).tagged), "dlq-stamped")
+    span = F.max("dlq_processed_at") - F.min("dlq_processed_at")
+    recent = F.max("dlq_processed_at") > F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return rows.agg(F.count("dlq_processed_at").alias("stamped"), (span == F.expr("INTERVAL 0 SECOND")).alias("one_time"), recent.alias("recent"))
+
+
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compact every load of the yearly table; the current state must be unchanged."""
     path = _yearly_loads(spark, sf_dir, "compact")
@@ -216,6 +274,11 @@ def files_by_source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({
+    "table_rollback_twice": table_rollback_twice,
+    "landing_only_new": landing_only_new,
+    "load_sized": load_sized,
+    "catalog_drop": catalog_drop,
+    "dlq_stamped": dlq_stamped,
     "files_by_source_total": files_by_source_total,
     "compact_files": compact_files,
     "layout_by_status": layout_by_status,
