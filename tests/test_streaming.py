@@ -222,3 +222,95 @@ def test_kafka_option_mapping():
     assert opts == {"startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "4000",
                     "kafka.bootstrap.servers": "broker:9092", "subscribe": "transfers"}
     assert kafka_options({"startingOffsets": "latest"})["startingOffsets"] == "latest"
+
+
+def test_merge_rewrites_only_the_days_it_touches(spark, tmp_dir):
+    import glob
+    from transferlake.session import local_path
+    log, base, keys = f"{tmp_dir}/log", f"{tmp_dir}/base", ["window", "status"]
+
+    def batch(n, rows):
+        df = spark.createDataFrame(rows, "day int, hour int, status string, total double")
+        start = F.timestamp_seconds(F.col("day") * 86400 + F.col("hour") * 3600)
+        sinks.write_batch(df.select(F.struct(start.alias("start"), (start + F.expr("INTERVAL 10 MINUTE")).alias("end")).alias("window"), "status", "total"), log, n)
+
+    def files(day):
+        return {os.path.basename(f) for f in glob.glob(f"{local_path(base)}/rows/_day={day}/*.parquet")}
+
+    def state():
+        rows = sinks.read_merged(spark, log, keys, base).selectExpr("CAST(unix_timestamp(window.start) AS BIGINT) AS at", "status", "total").collect()
+        return {(r["at"] // 86400, r["at"] % 86400 // 3600, r["status"]): r["total"] for r in rows}
+    batch(0, [(1, 0, "a", 1.0), (1, 5, "a", 2.0), (2, 0, "a", 3.0), (3, 23, None, 4.0)])
+    batch(1, [(1, 0, "a", 10.0)])
+    assert sinks.merge_batches(spark, log, keys, base, "window.start") == 3
+    old = {d: files(d) for d in (1, 2, 3)}
+    assert all(old.values())
+    batch(2, [(2, 0, "a", 30.0), (2, 1, "b", 5.0)])
+    expected = {(1, 0, "a"): 10.0, (1, 5, "a"): 2.0, (2, 0, "a"): 30.0, (2, 1, "b"): 5.0, (3, 23, None): 4.0}
+    assert state() == expected                                     # read over the base before the merge
+    assert sinks.merge_batches(spark, log, keys, base, "window.start") == 1
+    assert files(1) == old[1] and files(3) == old[3] and not files(2) & old[2]
+    assert state() == expected
+    assert sinks.merge_batches(spark, log, keys, base, "window.start") == 0 and files(2)
+
+
+def test_a_failed_merge_is_made_again(spark, tmp_dir, monkeypatch):
+    log, base = f"{tmp_dir}/log", f"{tmp_dir}/base"
+    start = F.timestamp_seconds(F.col("id") * 86400)
+    for n in (0, 1):
+        sinks.write_batch(spark.range(5).select(F.struct(start.alias("start")).alias("window"), (F.col("id") + 100 * n).alias("v")), log, n)
+        if n:
+            monkeypatch.setattr(sinks, "_mark_merged", lambda *_: 1 / 0)
+            try:
+                sinks.merge_batches(spark, log, ["window"], base, "window.start")
+            except ZeroDivisionError:
+                pass
+            monkeypatch.undo()
+        assert sinks.merge_batches(spark, log, ["window"], base, "window.start") == 5
+        got = sorted(r["v"] for r in sinks.read_merged(spark, log, ["window"], base).collect())
+        assert got == [i + 100 * n for i in range(5)]
+
+
+def test_only_hot_receivers_are_salted(spark):
+    from transferlake.operators.enrich import enrich_events, hot_receivers
+    from transferlake.plans.views import Views
+    from transferlake.sources.testdata import with_hot_receiver
+    from tests.conftest import SF001
+    v = Views(spark, SF001)
+    events = with_hot_receiver(v.events)
+    hot = hot_receivers(events, 0.1)
+    assert "R7" in hot and len(hot) <= 10
+    plain = enrich_events(events, v.dim, broadcast_dim=False)
+    for names in (hot, [], None):
+        salted = enrich_events(events, v.dim, broadcast_dim=False, salt_buckets=5, hot=names)
+        assert salted.columns == plain.columns and salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
+    # the dimension grows by the salted receivers' rows only
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = enrich_events(events, v.dim, salt_buckets=5, hot=hot)
+        salted.collect()
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert "Generate explode" in plan and "SortMergeJoin" in plan
+    assert hot_receivers(events.where("receiver_id IS NULL")) == []
+
+
+def test_audit_accounts_for_every_event(spark, tmp_dir):
+    from transferlake.sources.events import decode_events
+    from transferlake.streaming.stats_stream import AUDIT_DDL, audit_batch, progress_rows
+    src, base = f"{tmp_dir}/src", f"{tmp_dir}/audit"
+    t = 1_700_000_000 // 60 * 60
+    chunks = [[_ev("1", t), _ev("2", None), _ev("3", t + 3600)],            # watermark from here on: t + 3600 - 900
+              [_ev("4", t + 3600 - 900 - 600), _ev("5", t + 3600 - 900 - 600 - 1), _ev("6", t), _ev("7", t + 3600 - 900 - 540)], [_ev("8", None)]]
+    seen = []
+    for i, events in enumerate(chunks):
+        _write(src, f"f{i}", events)
+        q = run_available(decode_events(read_event_stream(spark, "files", path=src)), f"{tmp_dir}/ck", audit_batch(base), output_mode="append")
+        seen += progress_rows(q)
+    rows = spark.read.schema(AUDIT_DDL).parquet(base).orderBy("batch_id").collect()
+    assert [(r["events"], r["no_event_time"], r["late"]) for r in rows] == [(3, 1, 0), (4, 0, 3), (1, 1, 0)]
+    assert sum(r["input_rows"] for r in seen) == 8
+    audit_batch(base)(spark.createDataFrame([], "timestamp bigint"), 7)       # an empty batch
+    assert spark.read.schema(AUDIT_DDL).parquet(base).where("batch_id = 7").first()["events"] == 0

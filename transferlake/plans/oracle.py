@@ -303,3 +303,24 @@ WHERE CAST(tx_id AS BIGINT) % 11 > 6 AND CAST(tx_id AS BIGINT) % 13 > 6 AND CAST
     "table_files_total": "SELECT load_id, CAST(sum(record_count) AS BIGINT) AS record_count FROM ("
                          + ORACLE["table_partitions"] + ") p GROUP BY load_id",
 })
+
+ORACLE.update({
+    "publish_by_tx": ORACLE["publish_events"],
+    "stats_compact": ORACLE["sliding_stats"],
+    "stream_hot_receiver": ORACLE["sliding_stats"].replace(
+        "FROM v4 e LEFT", "FROM (SELECT * REPLACE (CASE WHEN tx_id % 3 = 0 THEN 'R7' ELSE receiver_id END AS receiver_id) FROM v4) e LEFT"),
+    "stream_late_counts": _with("enr") + """, span AS (
+  SELECT min("timestamp") AS lo, max("timestamp") - min("timestamp") + 1 AS whole FROM v4
+), told AS (
+  SELECT event_time, event_time IS NOT NULL AND ("timestamp" - lo) * 4 // whole = 1 AS late FROM enr, span
+)
+SELECT count(*) AS events, count(*) FILTER (WHERE late) AS late, count(*) FILTER (WHERE event_time IS NULL) AS no_event_time,
+       count(*) FILTER (WHERE event_time IS NOT NULL AND NOT late) AS counted
+FROM told""",
+    "table_rollback_twice": "SELECT * FROM (" + ORACLE["table_rollback"] + ") a UNION ALL SELECT * FROM (" + _with("v3")
+                            + "SELECT v3.* FROM v3 WHERE year(\"timestamp\") >= 2000) b",
+    "landing_only_new": _with("v2t") + "SELECT tx_id, CASE WHEN reject_reasons = '' THEN 'good' ELSE 'dlq' END AS route FROM v2t",
+    "load_sized": ORACLE["load_append"],
+    "catalog_drop": _with("v3") + "SELECT count(*) AS n_rows, 'transfers,windowed_stats' AS tables FROM v3",
+    "dlq_stamped": _with("v2t") + "SELECT count(*) AS stamped, true AS one_time, true AS recent FROM v2t WHERE reject_reasons <> ''",
+})

@@ -4,16 +4,18 @@ each arrival drained by one availableNow run on the same checkpoint."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from transferlake.operators.enrich import hot_receivers
 from transferlake.plans.views import MONEY_SCALE, Views, for_oracle
 from transferlake.operators.stats import flatten_window
 from transferlake.schemas import EVENT_DDL, STATS_KEY
 from transferlake.session import shared_dir
 from transferlake.sources import testdata
-from transferlake.sources.events import read_event_stream
+from transferlake.sources.events import decode_events, read_event_stream
 from transferlake.streaming import replay as rp
 from transferlake.streaming import sinks
-from transferlake.streaming.stats_stream import (dimension_snapshot, run_available,
+from transferlake.streaming.stats_stream import (AUDIT_DDL, audit_batch, dimension_snapshot, run_available,
                                                  sliding_stats_stream, stats_sink, stream_alerts)
 
 FIELDS = [f.strip().split(" ")[0] for f in EVENT_DDL.split(",")]
@@ -30,21 +32,31 @@ SERVING_DDL = ("window_start TIMESTAMP, window_end TIMESTAMP, status STRING, tot
 def run_stats_replay(spark: SparkSession, sf_dir: str, name: str, arrivals: int = ARRIVALS,
                      serving: str | None = None, events: DataFrame | None = None, output_mode: str = "update",
                      order: list[int] | None = None, redeliver: set[int] | None = None,
-                     dedupe_key: str | None = None, drains: int = 1) -> str:
-    """Replay V4 and run the stats stream after every chunk; returns the output folder."""
+                     dedupe_key: str | None = None, drains: int = 1, salt_buckets: int | None = None,
+                     audit: bool = False, after=None) -> str:
+    """Replay V4 and run the stats stream after every chunk; returns the output folder.
+    ``audit`` drains a second stream that accounts for late events, and ``after(base, k)`` is
+    called when chunk k has been drained."""
     v = Views(spark, sf_dir)
     base = shared_dir(spark, "stream", name, unique=True)
     events = v.events if events is None else events
     dim = dimension_snapshot(v.dim, f"{base}/dim")
     src = f"{base}/src"
     sink = stats_sink(f"{base}/stats", f"{base}/serving" if serving else None, serving or "parquet")
+    hot = hot_receivers(v.good) if salt_buckets else None
 
-    def drain(_k):
+    def drain(k):
         for _ in range(drains):
             records = read_event_stream(spark, "files", path=src)
-            agg = sliding_stats_stream(records, dim, money_scale=MONEY_SCALE, dedupe_key=dedupe_key)
+            agg = sliding_stats_stream(records, dim, money_scale=MONEY_SCALE, dedupe_key=dedupe_key,
+                                       salt_buckets=salt_buckets, hot=hot)
             run_available(agg, f"{base}/checkpoint", sink, output_mode=output_mode,
                           state_partitions=STATE_PARTITIONS)
+        if audit:
+            run_available(decode_events(read_event_stream(spark, "files", path=src)), f"{base}/audit-checkpoint",
+                          audit_batch(f"{base}/audit"), output_mode="append")
+        if after:
+            after(base, k)
 
     rp.replay(events, rp.chunk_of(events, arrivals), arrivals, FIELDS, src, drain, order, redeliver)
     return base
@@ -56,13 +68,42 @@ def stream_sliding_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """More, shorter chunks (more keys updated in several batches), folded into one row per
-    key by ``compact``."""
-    base = run_stats_replay(spark, sf_dir, "upsert", SHORT_ARRIVALS)
+    """T5: more, shorter chunks (more keys updated in several batches), merged into a base by day
+    after half of them and at the end: the second merge rewrites only the days it touches."""
+    def merge(base, k):
+        if k in (SHORT_ARRIVALS // 2, SHORT_ARRIVALS - 1):
+            sinks.merge_batches(spark, f"{base}/stats", STATS_KEYS, f"{base}/base", "window.start")
+    base = run_stats_replay(spark, sf_dir, "upsert", SHORT_ARRIVALS, after=merge)
+    merged = sinks.read_merged(spark, f"{base}/stats", STATS_KEYS, f"{base}/base")
+    return for_oracle(flatten_window(merged))
+
+
+def stats_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log folded into one row per key."""
+    base = run_stats_replay(spark, sf_dir, "compact")
     merged = sinks.compact(spark, f"{base}/stats", STATS_KEYS, f"{base}/merged")
     return for_oracle(flatten_window(merged.drop("batch_id")))
 
 
+def stream_hot_receiver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the events on one receiver; the receivers that a sketch of the transfers
+    finds frequent are salted, the others are joined as they are."""
+    events = testdata.with_hot_receiver(Views(spark, sf_dir).events)
+    base = run_stats_replay(spark, sf_dir, "hot", arrivals=2, events=events, salt_buckets=8)
+    return for_oracle(flatten_window(sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)))
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stream_late_drop with its accounts. Events counted in the windows (each is in ten of
+    them), late events and events without a time add up to the events sent."""
+    base = run_stats_replay(spark, sf_dir, "late_counts", order=[0, 2, 1, 3], audit=True)
+    stats = sinks.read_latest(spark, f"{base}/stats", STATS_KEYS)
+    counted = stats.agg((F.sum("tx_count") / 10).cast("bigint").alias("counted"))
+    seen = spark.read.schema(AUDIT_DDL).parquet(f"{base}/audit").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("events", "late", "no_event_time")])
+    return seen.join(counted)
+
+
 def stream_dual_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_stats_replay(spark, sf_dir, "dual", serving="parquet")
     return for_oracle(sinks.read_latest(spark, f"{base}/serving", SERVING_KEYS))
@@ -134,6 +175,9 @@ def stream_transfer_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_sliding_stats": stream_sliding_stats,
     "stats_upsert": stats_upsert,
+    "stats_compact": stats_compact,
+    "stream_hot_receiver": stream_hot_receiver,
+    "stream_late_counts": stream_late_counts,
     "stream_dual_sink": stream_dual_sink,
     "stream_sliding_stats_append": stream_sliding_stats_append,
     "stream_late_drop": stream_late_drop,
