@@ -167,3 +167,68 @@ def test_ridge_sums_equal_one_fit(spark):
     a, b = (quality.train(stats.repartition(n), labels) for n in (1, 7))
     x = np.array([r["stats"] for r in stats.limit(50).collect()])
     assert np.allclose(a.raw(x), b.raw(x), atol=1e-6)
+
+
+def chain(scores, moves):
+    """Posteriors of one chain, in logarithms."""
+    add = lambda x: np.logaddexp.reduce(x, axis=0)
+    ahead, back = [scores[0]], [np.zeros(len(moves))]
+    for s in scores[1:]:
+        ahead.append(s + add(ahead[-1][:, None] + moves))
+    for s in scores[:0:-1]:
+        back.append(add((moves + s + back[-1]).T))
+    total = np.array(ahead) + np.array(back[::-1])
+    return np.exp(total - add(total.T)[:, None])
+
+
+def test_language_of_whole_texts_against_plain_chains(monkeypatch):
+    rng = np.random.default_rng(3)
+    names, weights, moves = ["a", "b", "c"], rng.normal(0, 0.3, (3, 1 << language.BITS)).astype(np.float32), rng.normal(0, 1, (3, 3))
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(1, 9)))
+    texts = [" ".join(word() for _ in range(n)) for n in (1, 2, 63, 64, 65, 400, 1500, 7, 64)] + [None, "", "12 !"]
+    for cells, points in ((language.CELLS, language.PIECE_POINTS), (3 * 1000, 100)):
+        monkeypatch.setattr(language, "CELLS", cells)
+        monkeypatch.setattr(language, "PIECE_POINTS", points)
+        got, scores = language.label(texts, names, weights, moves)
+        words = language.label_words(texts, names, weights, moves)
+        for text, lang, score, each in zip(texts, got, scores, words):
+            if text is None or not any(c.isalpha() for c in text):
+                assert (lang, score, each) == ("und", 0, [])
+                continue
+            buckets, at, owner = language.featurise([text])
+            post = chain(language._emissions(buckets, at, len(owner), weights), moves)
+            assert lang == names[post.sum(axis=0).argmax()] and abs(score - post.sum(axis=0).max() / len(post)) < 1e-9
+            assert [w for w, _ in each] == [names[j] for j in post.argmax(axis=1)]
+            assert np.allclose([p for _, p in each], post.max(axis=1), atol=1e-9)
+
+
+def test_language_score_depends_on_the_text_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.train(docs.where("doc_id % 7 <> 0"))
+
+    def scores(df):
+        return {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df, *model).collect()}
+    one, other = scores(docs), scores(docs.repartition(13))
+    assert len(one) == 10_000 and all(one[i][0] == other[i][0] and abs(one[i][1] - other[i][1]) < 1e-9 for i in one)
+    by_text = {}
+    for r in docs.select("doc_id", "text").collect():
+        by_text.setdefault(r["text"], []).append(one[r["doc_id"]])
+    assert sum(len(v) > 1 for v in by_text.values()) > 100
+    assert all(max(s for _, s in v) - min(s for _, s in v) < 1e-9 for v in by_text.values())
+
+
+def test_language_sample_takes_different_rows(spark, monkeypatch):
+    """20,000 copies of a row do not take the places of 200 other documents of their language."""
+    rows = [(1, "la même ligne", "fr", "a", 12)] * 20_000 + [(10 + i, f"un texte {chr(97 + i % 26)}{chr(97 + i // 26)} de plus", "fr", "a", 20) for i in range(200)]
+    docs = spark.createDataFrame(rows + [(5, "another line", "en", "a", 12)], edges.SCHEMA)
+    taken = []
+    real = type(docs).repartition
+
+    def spied(self, *a, **b):
+        if a == (1,):
+            taken.extend(self.collect())
+        return real(self, *a, **b)
+    monkeypatch.setattr(type(docs), "repartition", spied)
+    language.train(docs)
+    french = [r["text"] for r in taken if r["lang"] == "fr"]
+    assert len(french) == language.MAX_PER_LANGUAGE == len(set(french))

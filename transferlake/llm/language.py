@@ -6,14 +6,18 @@ learned transitions link a word's language to the next one's. Forward-backward g
 word's language probabilities, so a text may switch languages; the text's language is the one
 with the largest sum, and the score is that sum's share.
 
-The model is fitted on a bounded sample: at most ``max_per_language`` documents of each
-language, those with the smallest hash of id and text. Every language that has a document is learned, however
-rare. For training, the sample's words are cut into
-pieces of ``PIECE_WORDS`` and dealt in a pseudorandom order into chains, as code-switched text
-would be, so that the transitions learn both staying and switching. It is fitted in one task;
-the driver gets the weights (2^16 numbers a language). Prediction is one scan of whole texts,
-cut into chains of ``CHAIN`` words that run together, ``CELLS`` words times languages at a time,
-so that only the sample and the weights grow with the number of languages.
+A text is one chain from its first word to its last, so its score depends on nothing else: not
+on the texts beside it, nor on how rows are dealt to tasks. Texts run side by side, longest
+first, one step a word.
+
+The model is fitted on a bounded sample: at most ``max_per_language`` different documents of each
+language, those with the smallest hash of id and text. Every language that has a document is
+learned, however rare. For training, the sample's words are cut into pieces of ``PIECE_WORDS``
+and dealt in a pseudorandom order into chains of ``CHAIN`` words, as code-switched text would be,
+so that the transitions learn both staying and switching. It is fitted in one task; the driver
+gets the weights (2^16 numbers a language). Prediction is one scan of whole texts, ``CELLS`` code
+points times languages at a time (or one text, if it is longer), features made of
+``PIECE_POINTS`` code points at once; a word longer than that is cut.
 
 Words are maximal runs of letters and marks beyond ASCII, lower-cased. A text that is null or
 has no letter is ``und`` with score 0; so is every text if no language was learned. Null or
@@ -35,7 +39,8 @@ BITS = 16
 CHAIN = 64
 PIECE_WORDS = 16
 MAX_PER_LANGUAGE = 150
-CELLS = 1 << 22             # words times languages worked on at once
+CELLS = 1 << 22             # words (in prediction: twice the code points) times languages worked on at once
+PIECE_POINTS = 1 << 18
 HISTORY = 512               # of the optimiser: languages times earlier steps kept, 2 to 8 steps
 PENALTY = 0.5
 STEPS = 30
@@ -82,7 +87,7 @@ def featurise(texts: list):
     every = np.arange(n)
     put(0, one[starts], every)
     put(1, two[starts], every)
-    put(2, three[starts], every)
+    put(2, np.where(lengths >= 2, three[starts], two[starts] * step + U(1)), every)     # nothing of the next word
     put(3, one[ends - 1], every)
     has2, has3 = lengths >= 2, lengths >= 3
     put(4, two[ends[has2] - 2], every[has2])
@@ -211,7 +216,8 @@ def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
     """(languages, weights [language, bucket], transitions) from documents' text and lang."""
     known = documents(docs).where("trim(lang) <> '' AND text IS NOT NULL")
     known = known.withColumn("_h", F.xxhash64("doc_id", "text"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("least")).collect()
+    # Of different rows: copies of one row share its hash.
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("_h", 0.05).alias("n"), F.min("_h").alias("least")).collect()
     nothing = [], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0))
     if not counts:
         return nothing
@@ -219,7 +225,7 @@ def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
     # The least hash is always in: repeated rows share theirs, which may lie above the cut.
     cuts = [(r["lang"], max(r["least"], min((1 << 63) - 1, int(-(1 << 63) + min(1.0, 8 * max_per_language / r["n"]) * (1 << 64))))) for r in counts]
     cuts = docs.sparkSession.createDataFrame(cuts, "lang string, _cut bigint")
-    near = known.join(F.broadcast(cuts), "lang").where("_h <= _cut")
+    near = known.join(F.broadcast(cuts), "lang").where("_h <= _cut").dropDuplicates(["lang", "_h"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
     texts = near.withColumn("_rank", rank).where(F.col("_rank") <= max_per_language).select("lang", "text")
     made = texts.repartition(1).mapInPandas(_fit, "names array<string>, weights binary, moves binary").first()
@@ -230,26 +236,115 @@ def train(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE):
             np.frombuffer(made["moves"]).reshape(k, k).copy())
 
 
+def _pieces(text: str):
+    """A lower-cased text cut behind code points that are no letters, so that no word of a
+    piece's length or less is split."""
+    at = 0
+    while len(text) - at > PIECE_POINTS:
+        stop = at + PIECE_POINTS
+        cut = next((i + 1 for i in range(stop - 1, at, -1) if not text[i].isalpha()), stop)
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def _scores(texts: list, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(score of each word [word, language], text of each word), in text order."""
+    cut = [(i, piece) for i, t in enumerate(texts) for piece in _pieces((t or "").lower())]
+    found, owner = [np.zeros((0, len(weights)))], [np.zeros(0, np.int64)]
+    for a, b in batches([p for _, p in cut], PIECE_POINTS):
+        buckets, at, of = featurise([p for _, p in cut[a:b]])
+        if len(of):
+            found.append(_emissions(buckets, at, len(of), weights))
+            owner.append(np.array([i for i, _ in cut[a:b]])[of])
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def posteriors(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(language probabilities of each word, their sums by text). ``scores``: [word, language]
+    of whole texts one after another, of ``lengths`` words; each text is a chain of its own."""
+    k, order = scores.shape[1], np.argsort(-lengths, kind="stable")
+    sorted_lengths = lengths[order]
+    steps = int(sorted_lengths[0]) if len(lengths) else 0
+    # Step t holds word t of the texts that have one: the first ``active[t]`` of the sorted ones.
+    active = np.searchsorted(-sorted_lengths, -np.arange(steps), side="left")
+    start = np.concatenate(([0], np.cumsum(active)))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    place = start[np.arange(len(scores)) - np.repeat(first, lengths)] + np.repeat(rank, lengths)
+    local = np.empty_like(scores)
+    local[place] = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
+    step, ahead, scale = np.exp(moves), np.empty_like(local), np.empty((len(local), 1))
+    for t in range(steps):
+        now = slice(start[t], start[t + 1])
+        ahead[now] = local[now] if t == 0 else (ahead[start[t - 1]:start[t - 1] + active[t]] @ step) * local[now]
+        scale[now] = ahead[now].sum(axis=1, keepdims=True)
+        ahead[now] /= scale[now]
+    sums = np.zeros((len(lengths), k))
+    back = np.ones((0, k))
+    for t in range(steps - 1, -1, -1):
+        now, later = slice(start[t], start[t + 1]), slice(start[t + 1], start[t + 1] + len(back))
+        new = np.ones((active[t], k))
+        new[:len(back)] = (back * local[later] / scale[later]) @ step.T
+        back = new
+        post = ahead[now] * back
+        post /= post.sum(axis=1, keepdims=True)
+        ahead[now] = post
+        sums[:active[t]] += post
+    return ahead[place], sums[rank]
+
+
+def _groups(texts: list, languages: int):
+    """Numbers of the texts, shortest first, CELLS code points times languages at a time."""
+    order = sorted(range(len(texts)), key=lambda i: len(texts[i] or ""))
+    most = 2 * CELLS // max(1, languages)
+    for a, b in batches([texts[i] for i in order], most):
+        yield order[a:b]
+
+
+def _told(texts: list, names: list, weights: np.ndarray, moves: np.ndarray):
+    """(numbers of some texts, first word and words of each, probabilities by word, sums by text)."""
+    for numbers in _groups(texts, len(names)):
+        scores, owner = _scores([texts[i] for i in numbers], weights)
+        lengths = np.bincount(owner, minlength=len(numbers))
+        some = np.flatnonzero(lengths)
+        each, sums = np.zeros((0, len(names))), np.zeros((len(numbers), len(names)))
+        if len(some):
+            each, sums[some] = posteriors(scores, lengths[some], moves)
+        yield numbers, lengths, each, sums
+
+
 def label(texts: list, names: list, weights: np.ndarray, moves: np.ndarray) -> tuple[list, np.ndarray]:
     """(language, score) of each text."""
     sums = np.zeros((len(texts), max(1, len(names))))
-    for a, b in batches(texts, 1 << 18):
-        buckets, at, owner = featurise(texts[a:b])
-        n = len(owner)
-        if not n or not names:
-            continue
-        starts = np.concatenate(([True], owner[1:] != owner[:-1]))
-        for first, stop, inside, words in _slices(n, len(names), buckets, at):
-            index, filled = _chains(stop - first)
-            post, _, _ = forward_backward(_emissions(inside, words, stop - first, weights)[index], filled, moves, starts[first:stop][index])
-            post = post.reshape(-1, len(names))[:stop - first]
-            for j in range(len(names)):
-                sums[a:b, j] += np.bincount(owner[first:stop], post[:, j], b - a)
+    for numbers, _, _, own in _told(texts, names, weights, moves) if names else ():
+        sums[numbers] = own
     total = sums.sum(axis=1)
     best = sums.argmax(axis=1)
     return ([names[j] if t > 0 else "und" for j, t in zip(best, total)], np.where(total > 0, sums.max(axis=1) / np.maximum(total, 1e-9), 0.0))
 
 
+def label_words(texts: list, names: list, weights: np.ndarray, moves: np.ndarray) -> list[list[tuple]]:
+    """(language, probability) of every word of each text, in text order."""
+    out: list[list[tuple]] = [[] for _ in texts]
+    for numbers, lengths, each, _ in _told(texts, names, weights, moves) if names else ():
+        best, at = each.argmax(axis=1), 0
+        for i, n in zip(numbers, lengths):
+            out[i] = [(names[j], float(p)) for j, p in zip(best[at:at + n], each[np.arange(at, at + n), best[at:at + n]])]
+            at += n
+    return out
+
+
+def predict_words(docs: DataFrame, names: list, weights: np.ndarray, moves: np.ndarray) -> DataFrame:
+    """doc_id, words: the language of every word of the text, in order, with its probability."""
+    def run(parts):
+        for pdf in parts:
+            told = label_words(pdf["text"].tolist(), names, weights, moves)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "words": [[{"lang": w, "score": min(1.0, p)} for w, p in t] for t in told]})
+    return documents(docs).select("doc_id", "text").mapInPandas(run, "doc_id bigint, words array<struct<lang string, score double>>")
+
+
 def predict(docs: DataFrame, names: list, weights: np.ndarray, moves: np.ndarray) -> DataFrame:
     """doc_id, lang_pred, score."""
     def run(parts):
