@@ -106,6 +106,37 @@ def test_mix_with_a_source_that_is_used_up(spark):
     assert taken["tiny"] > 2.5 * 480                      # stopped at three times its words
 
 
+@pytest.mark.parametrize("sources, size", [(40, 300), (2000, 100), (300, 1000), (3, 7)])
+def test_mix_of_many_small_sources_comes_near_each_target(spark, sources, size):
+    random.seed(sources)
+    sizes = [size + random.randrange(-size // 5, size // 5 + 1) for _ in range(sources)]
+    rows = [(2 * i + j, " ".join(f"w{k % 91}" for k in range(n // 2 + j * (n % 2))), "en", f"s{i:05d}", 0) for i, n in enumerate(sizes) for j in (0, 1)]
+    df = edges.docs(spark, rows)
+    taken, want = Counter(), brute_targets({f"s{i:05d}": n for i, n in enumerate(sizes)})
+    for r in mixing.mix(df).collect():
+        assert r["target"] == pytest.approx(want[r["source"]]) and 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    block = {s: min(mixing.BLOCK, max(mixing.LEAST_BLOCK, n // mixing.FINE)) for s, n in zip(sorted(want), sizes)}
+    assert all(abs(taken[s] - t) <= block[s] for s, t in want.items())
+
+
+def test_shards_draw_all_slots(spark):
+    docs = read(spark, SF, "documents")
+    drawn = mixing.shard_counts(docs).collect()
+    rows = mixing.mix(docs).collect()
+    slots, sources = Counter(), {r["source"]: (r["source_size"], r["target"]) for r in rows}
+    for r in drawn:
+        slots[r["source"]] += r["slots"]
+    shards = {r["shard"] for r in drawn}
+    assert shards == set(range(mixing.LEAST_SHARDS)) and set(slots) == set(sources)
+    for s, (n, t) in sources.items():
+        length = min(mixing.BLOCK, max(mixing.LEAST_BLOCK, n // mixing.FINE))
+        assert abs(slots[s] * length - t) <= 2 * length + 3 * length          # last blocks may be short, once a pass
+        # each shard's count is near its mean, and not the same for all
+        own, mean = [r["slots"] for r in drawn if r["source"] == s], slots[s] / len(shards)
+        assert all(abs(c - mean) < 5 * mean ** 0.5 + 1 for c in own)
+
+
 def test_mixed_documents_are_what_the_mix_takes(spark):
     docs = read(spark, SF, "documents")
     want = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
