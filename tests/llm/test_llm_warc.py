@@ -107,3 +107,63 @@ def test_members_are_found_without_an_index():
     raw = b"##" + b"".join(parts)
     places = list(warc._walk(lambda n, at: raw[at:at + n], 2, len(raw) - 2, 16))
     assert [raw[2 + o:2 + o + n] for o, n in places] == parts
+
+
+def test_indexes_of_other_writers(spark, tmp_dir):
+    """Hand-made package: two archive members, a plain and a gzipped CDXJ with numbers as text, and a member without one."""
+    import gzip
+    import json
+    from pyarrow import fs
+    texts = {f"data-{a}.warc.gz": [f"<p>{a} {i}</p>" * 20 for i in range(4)] for a in "abc"}
+    out, n = io.BytesIO(), 0
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        lines = {}
+        for name, payloads in texts.items():
+            body = io.BytesIO()
+            for p in payloads:
+                digest = hashlib.sha256(p.encode()).hexdigest()
+                packed = gzip.compress(warc.record(n, f"http://www.Example.org:80/{n}?q={{1}}", p.encode(), digest, None, "2024-05-06T07:08:09Z"))
+                lines.setdefault(name, []).append("org,example)/%d 20240506070809 " % n + json.dumps(
+                    {"url": "x", "mime": "text/html", "status": "200", "length": str(len(packed)), "offset": str(body.tell()), "filename": name}))
+                body.write(packed)
+                n += 1
+            z.writestr(f"archive/{name}", body.getvalue())
+        z.writestr("indexes/index.cdxj", "!meta 0 {\"format\": \"cdxj\"}\n" + "\n".join(lines["data-a.warc.gz"]) + "\n\n")
+        z.writestr("indexes/more.cdx.gz", gzip.compress("\n".join(lines["data-b.warc.gz"]).encode()))
+    store, base = fs.FileSystem.from_uri(f"file://{tmp_dir}") if "://" not in tmp_dir else fs.FileSystem.from_uri(tmp_dir)
+    store.create_dir(base, recursive=True)
+    with store.open_output_stream(f"{base}/p.zip") as f:
+        f.write(out.getvalue())
+    places = warc.listed(spark.createDataFrame([(f"{tmp_dir}/p.zip",)], "package string"))
+    rows = {r["page_id"]: r for r in warc.pages_of(warc.records(places)).collect()}
+    every = [p for own in texts.values() for p in own]
+    assert len(rows) == 12
+    for i, p in enumerate(every):
+        assert (rows[i]["payload_bytes"], rows[i]["payload_digest"]) == (len(p), hashlib.sha256(p.encode()).hexdigest())
+
+
+def test_index_lines():
+    text = warc.index_lines([("http://www.Example.org:80/A b?x={1}", "2024-05-06T07:08:09Z", 7, 9, "sha256:0"), ("", "2024", 0, 7, "sha256:1"), ("[bad", "2024", 16, 1, "s")])
+    assert "org,example)/a%20b?x={1} 20240506070809 {" in text and text.split("\n")[:-1] == sorted(text.split("\n")[:-1])
+    told = [x for x in text.split("\n") if x]
+    assert len(told) == 3
+
+
+def test_a_hot_payload_is_split(spark, tmp_dir):
+    """A third of the pages share a payload: the join that marks them is split, not broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.files.maxPartitionBytes": "20k"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    rows = [(i, f"http://h/{i}", BIG if i % 3 == 0 else f"<b>{i}</b>" * 30 if i % 3 == 1 else "") for i in range(6000)]
+    pages(spark, rows).repartition(12).write.parquet(f"{tmp_dir}/in")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = warc.marked(spark.read.parquet(f"{tmp_dir}/in"))
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 6000 and sum(r["refers_to"] == 0 for r in got) == 1999
+    assert "skew=true" in plan

@@ -1,14 +1,16 @@
 """WARC in ZIP packages (3): write records, then range-read them through the ZIP directories.
 
 Every task writes the records it has as packages: one ZIP whose members are stored, not
-deflated: ``archive/data.warc.gz`` (one gzip member a record), ``indexes/index.cdxj`` (place and
-length of every record) and ``datapackage.json``. A package has a name of its own for each
+deflated: ``archive/data.warc.gz`` (one gzip member a record), ``indexes/index.cdxj`` (a line of sort
+key, time and JSON for every record, sorted) and ``datapackage.json``. A package has a name of its own for each
 attempt, and only those in the manifest, which is stored when all tasks are done, are read: a
 retried or lost task leaves a file that nothing reads.
 
 The reader never extracts: from a package's end it finds the (ZIP64) end record and central
-directory, from a member's local header where its bytes start, reads the index by range, and
-then every record by its own range. Members that are not stored are refused.
+directory, from a member's local header where its bytes start, reads the indexes by range, and
+then every record by its own range. Indexes are lines of CDXJ (sort key, time, JSON; gzipped too;
+several of them, of several archive members, numbers as text or not) or bare JSON; archive members
+that no index names are walked through. Members that are not stored are refused.
 
 Records with equal payloads of at least 100 bytes: that of the smallest page_id is the response,
 others revisit it (rows that share this page_id are all responses). Null html is an empty
@@ -23,11 +25,13 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import struct
 import time
 import uuid
 import zipfile
 import zlib
+from urllib.parse import SplitResult, urlsplit
 
 import pandas as pd
 from pyarrow import fs
@@ -76,6 +80,34 @@ def parse(raw: bytes) -> tuple[dict, bytes]:
     return fields, block.partition(b"\r\n\r\n")[2] if fields.get("content-type", "").startswith("application/http") else block
 
 
+# --- indexes ---------------------------------------------------------------------------------
+
+def sort_key(url: str) -> str:
+    """Sort-friendly form of a URL: host labels reversed, then the path, without blanks."""
+    at = urlsplit(url) if "[" not in url and "]" not in url else SplitResult("", "", url, "", "")
+    host = (at.netloc.rpartition("@")[2].lower().removeprefix("www.")).split(":")[0]
+    rest = at.path + ("?" + at.query if at.query else "")
+    return re.sub(r"\s", "%20", f"{','.join(reversed(host.split('.')))}){rest or '/'}".lower())
+
+
+def index_lines(entries: list[tuple]) -> str:
+    """CDXJ of (url, WARC-Date, offset, length, digest) of the member ``MEMBER``."""
+    lines = [f"{sort_key(url)} {re.sub('[^0-9]', '', when)[:14]} " + json.dumps(
+        {"url": url, "digest": digest, "length": str(length), "offset": str(offset), "filename": MEMBER.rpartition("/")[2]})
+        for url, when, offset, length, digest in entries]
+    return "".join(f"{x}\n" for x in sorted(lines))
+
+
+def index_entries(raw: bytes):
+    """(file name or '', offset, length) of every entry of an index."""
+    for line in (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8", "replace").split("\n"):
+        told = line if line.startswith("{") else line.partition(" ")[2].partition(" ")[2]
+        if told.startswith("{") and not line.startswith("!"):
+            x = json.loads(told)
+            if "offset" in x and "length" in x:
+                yield str(x.get("filename") or "").rpartition("/")[2], int(x["offset"]), int(x["length"])
+
+
 # --- ZIP directories -------------------------------------------------------------------------
 
 class Package:
@@ -144,15 +176,24 @@ def _walk(read_at, start: int, length: int, step: int = 1 << 20):
 
 # --- jobs ------------------------------------------------------------------------------------
 
-def write(pages: DataFrame, dest: str, when: str | None = None) -> DataFrame:
-    """Writes packages under ``dest``; returns their manifest (package, records), stored."""
+def marked(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, digest, refers_to of every page (null: a response)."""
     rows = take(pages, page_id="bigint", url="string", html="string").select(
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     first = (rows.where(F.octet_length("html") >= LEAST_PAYLOAD).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL").drop("n"))
-    marked = rows.join(first, "digest", "left").select(
+    # Stored, so that the join of a payload with a third of the pages can be split; small payloads,
+    # which have no partner, get keys of their own and are spread.
+    first = stored(first, "warc-first").withColumnRenamed("digest", "_key")
+    own = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    rows = rows.withColumn("_digest", F.when(F.octet_length("html") >= LEAST_PAYLOAD, F.col("digest")).otherwise(own))
+    return rows.join(first, rows["_digest"] == first["_key"], "left").select(
         "page_id", "url", "html", "digest", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("refers_to"))
+
+
+def write(pages: DataFrame, dest: str, when: str | None = None) -> DataFrame:
+    """Writes packages under ``dest``; returns their manifest (package, records), stored."""
     when = when or time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
 
     def package(body: io.BytesIO, index: list) -> tuple[str, int]:
@@ -161,7 +202,7 @@ def write(pages: DataFrame, dest: str, when: str | None = None) -> DataFrame:
         name, out = f"pages-{uuid.uuid4().hex}.zip", io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
             z.writestr(MEMBER, body.getvalue())
-            z.writestr(INDEX, "".join(f"{json.dumps(x)}\n" for x in index))
+            z.writestr(INDEX, index_lines(index))
             z.writestr("datapackage.json", json.dumps({"profile": "data-package", "resources": [{"path": MEMBER}, {"path": INDEX}]}))
         with store.open_output_stream(f"{base}/{name}") as f:
             f.write(out.getbuffer())
@@ -175,7 +216,7 @@ def write(pages: DataFrame, dest: str, when: str | None = None) -> DataFrame:
                 page_id, refers_to = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
                 payload = html.encode("utf-8", "surrogatepass")
                 packed = gzip.compress(record(page_id, url, payload, digest, refers_to, when), 6, mtime=0)
-                index.append({"offset": body.tell(), "length": len(packed), "digest": f"sha256:{digest}"})
+                index.append(((url or "").replace("\r", "").replace("\n", ""), when, body.tell(), len(packed), f"sha256:{digest}"))
                 body.write(packed)
                 held += len(payload)
                 if held >= PACKAGE_BYTES:
@@ -187,7 +228,7 @@ def write(pages: DataFrame, dest: str, when: str | None = None) -> DataFrame:
             yield pd.DataFrame([package(body, index)], columns=["package", "records"])
 
     # page ids as text: a column of longs with nulls would come to pandas as floats.
-    texts = marked.withColumn("page_id", F.col("page_id").cast("string")).withColumn("refers_to", F.col("refers_to").cast("string"))
+    texts = marked(pages).withColumn("page_id", F.col("page_id").cast("string")).withColumn("refers_to", F.col("refers_to").cast("string"))
     return stored(texts.mapInPandas(run, "package string, records bigint"), "warc-manifest")
 
 
@@ -202,13 +243,17 @@ def listed(manifest: DataFrame) -> DataFrame:
                         f.seek(at)
                         return f.read(n)
                     zipped = Package(read_at, f.size())
-                    places = []
-                    for member in (m for m in zipped.members if m.endswith(".warc.gz")):
+                    places, indexed = [], {}
+                    for index in (m for m in zipped.members if re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", m)):
+                        at, n = zipped.located(index)
+                        for named, offset, size in index_entries(read_at(n, at)):
+                            indexed.setdefault(named, set()).add((offset, size))
+                    archives = [m for m in zipped.members if m.endswith(".warc.gz")]
+                    for member in archives:
                         start, length = zipped.located(member)
-                        if INDEX in zipped.members and member == MEMBER:
-                            at, n = zipped.located(INDEX)
-                            lines = [json.loads(x) for x in read_at(n, at).splitlines()]
-                            places += [(path, start + x["offset"], x["length"]) for x in lines]
+                        told = indexed.get(member.rpartition("/")[2]) or (indexed.get("") if len(archives) == 1 else None)
+                        if told:
+                            places += [(path, start + o, n) for o, n in sorted(told)]
                         else:
                             places += [(path, start + o, n) for o, n in _walk(read_at, start, length)]
                 yield pd.DataFrame(places, columns=["package", "offset", "length"])
@@ -249,6 +294,7 @@ def pages_of(rows: DataFrame) -> DataFrame:
     and digest from the response it refers to."""
     responses = (rows.where("record_type = 'response'").groupBy(F.col("page_id").alias("_of"), F.col("digest").alias("_digest"))
                  .agg(F.max("read_bytes").alias("_bytes"), F.max("read_digest").alias("_read")))
+    responses = stored(responses, "warc-responses")
     joined = rows.join(responses, (rows["refers_to"] == responses["_of"]) & (rows["digest"] == responses["_digest"]), "left")
     return joined.select("page_id", F.coalesce("read_bytes", "_bytes").alias("payload_bytes"), F.coalesce("read_digest", "_read").alias("payload_digest"),
                          "record_type", "refers_to", "url")
