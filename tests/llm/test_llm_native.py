@@ -52,6 +52,16 @@ def test_sharding_awkward_rows(spark):
     assert sharding.shard(edges.docs(spark), 3, text=True).columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_rows_without_ids_get_slots_from_many_ranges(spark):
+    rows = [(i if i % 3 else None, f"text {i}", "en", "a", 6) for i in range(600)]
+    df = sharding.shard(edges.docs(spark, rows), 4)
+    got = df.collect()
+    for s in range(4):
+        own = sorted((r["slot"], r["doc_id"] is not None, r["doc_id"] or 0, r["text_crc32"]) for r in got if r["shard"] == s)
+        assert [x[0] for x in own] == list(range(len(own))) and [x[1:] for x in own] == sorted(x[1:] for x in own)
+    assert len({(r["shard"], r["slot"]) for r in got if r["doc_id"] is None}) == 200
+
+
 # --- mixing ---
 
 def brute_targets(sizes):

@@ -64,8 +64,9 @@ def range_of(column: Column, bounds: list) -> Column:
 
 
 def default_ranges(spark: SparkSession) -> int:
-    """Ranges to cut a table into: four for each shuffle partition of the session."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Ranges to cut a table into: four for each shuffle partition of the session, 10,000 at
+    most, since the cut points pass through the driver."""
+    return min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def in_fold(doc_id: Column, folds: int, fold: int) -> Column:

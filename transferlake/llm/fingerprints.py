@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from transferlake.llm.common import bounds_of, default_ranges, documents, range_of, read
+from transferlake.llm.common import bounds_of, default_ranges, documents, range_of, read, stored
 
 WORD = r"[0-9a-z_\x{80}-\x{10FFFF}]+"
 WIDTH = 5
@@ -64,17 +64,18 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, text, sketch, next_text, next_sketch.
 
     Rows are put in order inside ranges of doc_id; the first row of every range (at most
-    ``ranges`` ids) stands again at the end of the range before it, that of the first range at
-    the end of the last."""
+    ``ranges`` ids, a small table) stands again at the end of the range before it, that of the
+    first range at the end of the last."""
     whole = documents(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(_FIRST)).alias("_key"))
     bounds = bounds_of(whole, "doc_id", ranges or default_ranges(docs.sparkSession))
     rows = whole.withColumn("_range", range_of(F.col("_key"), bounds))
-    heads = sorted((r["_range"], r["_key"]) for r in rows.groupBy("_range").agg(F.min("_key").alias("_key")).collect())
-    follows = {key: heads[i - 1][0] for i, (_, key) in enumerate(heads)}
-    ends = whole.where(F.col("doc_id").isin([k for k in follows if k != _FIRST]) | (F.col("doc_id").isNull() if _FIRST in follows else F.lit(False)))
-    ends = ends.groupBy("_key").agg(F.min("text").alias("text"))
-    before = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in follows.items() for x in kv]), F.col("_key")).cast("int") if follows else F.lit(0)
-    ends = ends.select(F.lit(None).cast("bigint").alias("doc_id"), "text", "_key", before.alias("_range"), F.lit(1).alias("_end"))
+    # One row for each range; the optimizer broadcasts it, or not, by the size it is stored with.
+    in_order = Window.orderBy("_range")
+    heads = rows.groupBy("_range").agg(F.min("_key").alias("_head"))
+    last = F.last("_range").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = stored(heads.select("_head", F.coalesce(F.lag("_range").over(in_order), last).alias("_before")), "fingerprint-heads")
+    ends = whole.join(heads, whole["_key"] == heads["_head"]).groupBy("_key", "_before").agg(F.min("text").alias("text"))
+    ends = ends.select(F.lit(None).cast("bigint").alias("doc_id"), "text", "_key", F.col("_before").alias("_range"), F.lit(1).alias("_end"))
     every = with_sketch(rows.withColumn("_end", F.lit(0)).unionByName(ends), "text", "sketch")
     order = Window.partitionBy("_range").orderBy("_end", "_key", "text")
     return (every.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))

@@ -56,11 +56,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: bool = False) -> DataFram
     ranges = default_ranges(docs.sparkSession)
     bounds = bounds_of(whole, "doc_id", ranges)
     body = F.coalesce(F.col("text"), F.lit(""))
+    crc = F.crc32(body.cast("binary"))
+    # Rows without an id come first, in ranges of their text's crc32.
+    place = F.when(F.col("doc_id").isNull(), F.floor(crc * ranges / (1 << 32)) - ranges).otherwise(range_of(F.col("doc_id"), bounds))
     keep = ["doc_id", "text", "lang", "source", "n_chars"] if text else ["doc_id"]
     rows = whole.select(
-        *keep, (F.octet_length(body) + 1).cast("bigint").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"),
+        *keep, (F.octet_length(body) + 1).cast("bigint").alias("size"), crc.alias("text_crc32"),
         F.lit("key").alias("law"), jump(key_of(F.col("doc_id")), shards).alias("shard"),
-        jump(key_of(F.col("doc_id")), shards + 1).alias("grown_shard"), range_of(F.col("doc_id"), bounds).alias("_range"))
+        jump(key_of(F.col("doc_id")), shards + 1).alias("grown_shard"), place.alias("_range"))
     # At most shards * ranges rows.
     before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (rows.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_n"))
