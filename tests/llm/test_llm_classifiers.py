@@ -232,3 +232,21 @@ def test_language_sample_takes_different_rows(spark, monkeypatch):
     language.train(docs)
     french = [r["text"] for r in taken if r["lang"] == "fr"]
     assert len(french) == language.MAX_PER_LANGUAGE == len(set(french))
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
+    """One labelled id with 3,000 rows, 2,500 of them equal, does not crowd the fitting task."""
+    rows = [(1, "the same vile words", "en", "a", 19)] * 2500 + [(1, f"vile words {i}", "en", "a", 12) for i in range(500)]
+    rows += [(10 + i, f"kind words {i}", "en", "a", 12) for i in range(120)]
+    labels = spark.createDataFrame([(1, 1)] + [(10 + i, 0) for i in range(120)], "doc_id bigint, toxic int")
+    taken, real = [], type(labels).repartition
+
+    def spied(self, *a, **b):
+        if a == (1,):
+            taken.extend(r["y"] for r in self.collect())
+        return real(self, *a, **b)
+    monkeypatch.setattr(type(labels), "repartition", spied)
+    docs = edges.docs(spark, rows)
+    found = toxicity.score(docs, *toxicity.train(docs, labels, max_per_class=100)).collect()
+    assert taken.count(1) == 100 and taken.count(0) == 100
+    assert all(r["predicted"] == (r["doc_id"] == 1) for r in found)

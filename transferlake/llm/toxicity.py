@@ -6,8 +6,8 @@ in other labelled texts; a logistic regression on those values gives the score.
 frequency differs by less than four standard errors are left out, so that the many neutral
 n-grams of a long text don't drown the few telling ones.
 
-The model is fitted on a bounded sample: at most ``max_per_class`` labelled rows of either
-class, those with the smallest id hash. Sample texts are featurised where they are scanned and
+The model is fitted on a bounded sample: at most ``max_per_class`` labelled ids of either
+class, those with the smallest hash, and as many different rows of them. Sample texts are featurised where they are scanned and
 fitted in one task of at most 2 * ``max_per_class`` rows; the model (2^18 numbers) is what the
 driver gets. Scoring is one scan of whole texts, no shuffle.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transferlake.llm.common import documents, in_fold, read, take
@@ -104,7 +104,10 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     for y in (0, 1):
         one = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
         sample = one if sample is None else sample.unionByName(one)
-    texts = documents(docs).select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text")
+    texts = documents(docs).select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"])
+    # Ids may repeat: rows are bounded too, of different ones.
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text"))
+    texts = texts.withColumn("_rank", rank).where(F.col("_rank") <= max_per_class).select("y", "text")
     made = (texts.mapInPandas(_features, "y int, buckets array<int>").repartition(1)
             .mapInPandas(_fit, "weights binary, bias double").collect())
     if not made:
