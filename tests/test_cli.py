@@ -24,6 +24,11 @@ def test_cli_jobs(spark, tmp_dir):
                     "--out", f"{tmp_dir}/stats", "--checkpoint", f"{tmp_dir}/ck", "--state-partitions", "2"], spark)
     assert res["batches"] >= 1
     assert spark.read.parquet(f"{tmp_dir}/stats/stats").count() > 0
+    again = ["load-landing", "--landing", f"{tmp_dir}/landing", "--table", f"{tmp_dir}/t2", "--dlq", f"{tmp_dir}/dlq2", "--only-new", "--load-id"]
+    assert cli.main([*again, "1"], spark)["good_rows"] == v.good.count() and cli.main([*again, "2"], spark)["files"] == 0
+    cli.main(["stream-stats", "--events", f"{tmp_dir}/events", "--table", f"{tmp_dir}/t", "--out", f"{tmp_dir}/stats2", "--checkpoint", f"{tmp_dir}/ck2",
+              "--state-partitions", "2", "--salt-buckets", "4", "--audit", f"{tmp_dir}/audit"], spark)
+    assert spark.read.parquet(f"{tmp_dir}/audit").agg({"events": "sum"}).first()[0] == v.events.count()
     hist = cli.main(["history", "--table", f"{tmp_dir}/t"], spark)
     assert hist["loads"][0]["operation"] == "replace"
     cli.main(["rollback", "--table", f"{tmp_dir}/t", "--to", "1"], spark)

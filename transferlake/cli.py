@@ -1,6 +1,6 @@
 """Job entry points for spark-submit (the session comes from the submit configuration).
 
-  python -m transferlake.cli load-landing --landing PATH --table PATH --dlq PATH --load-id N [--replace]
+  python -m transferlake.cli load-landing --landing PATH --table PATH --dlq PATH --load-id N [--replace] [--only-new]
   python -m transferlake.cli stream-stats --events PATH --table PATH --out PATH --checkpoint PATH
       [--serving PATH] [--serving-format jdbc --serving-option url=... ...] [--source kafka --source-option subscribe=... ...]
   python -m transferlake.cli alerts --events PATH --out PATH --checkpoint PATH [--threshold N] [--source kafka ...]
@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--dlq", required=True)
     a.add_argument("--load-id", type=int, required=True)
     a.add_argument("--replace", action="store_true")
+    a.add_argument("--only-new", action="store_true", help="skip landing files that an earlier load has read")
     s = sub.add_parser("stream-stats")
     _source(s)
     s.add_argument("--table", required=True, help="good-transfer lake table for the dimension")
@@ -51,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--serving-format", default="parquet")
     s.add_argument("--serving-option", action="append", default=[], metavar="KEY=VALUE")
     s.add_argument("--state-partitions", type=int)
+    s.add_argument("--salt-buckets", type=int, help="spread frequent receivers over so many join tasks")
+    s.add_argument("--audit", help="folder for the accounts of each batch (late events, events without a time)")
     pb = sub.add_parser("publish")
     pb.add_argument("--landing", required=True)
     pb.add_argument("--out", help="folder for JSON event files")
@@ -81,7 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName(f"transferlake-{args.cmd}").getOrCreate()
     if args.cmd == "load-landing":
         out = jobs.load_landing(spark, args.landing, args.table, args.dlq, args.load_id,
-                                "replace" if args.replace else "append")
+                                "replace" if args.replace else "append", args.only_new)
     elif args.cmd == "stream-stats":
         q = jobs.stream_stats_job(spark, dim_source=tb.read_table(spark, args.table),
                                   snapshot_path=f"{args.out.rstrip('/')}/_dimension",
@@ -89,7 +92,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                   serving_format=args.serving_format, serving_options=_options(args.serving_option),
                                   checkpoint=args.checkpoint, source=args.source, source_path=args.events,
                                   source_options=_options(args.source_option),
-                                  max_per_trigger=args.max_per_trigger, state_partitions=args.state_partitions)
+                                  max_per_trigger=args.max_per_trigger, state_partitions=args.state_partitions,
+                                  salt_buckets=args.salt_buckets, audit_path=args.audit)
         out = {"batches": len(q.recentProgress)}
     elif args.cmd == "publish":
         out = {"published": jobs.publish_landing(spark, args.landing, fmt=args.format, out_path=args.out,
@@ -104,8 +108,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.cmd == "rollback":
         out = {"load_id": tb.rollback(spark, args.table, args.to)}
     else:
-        tb.compact_files(spark, args.table, args.loads or None)
-        out = {"compacted": True}
+        out = {"compacted": True, "partitions": tb.compact_files(spark, args.table, args.loads or None)}
     print(json.dumps(out, default=str))
     return out
 
