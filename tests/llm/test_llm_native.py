@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import struct
@@ -306,10 +307,81 @@ def test_random_keys_are_told_from_words(spark):
     plain = ["".join(random.choice(syllables) for _ in range(random.randrange(9, 16))) for _ in range(400)]
     rows = [(i, f"x {t} y", None, None, None) for i, t in enumerate(keys + plain)]
     got = {r["doc_id"]: r["spans"] for r in secrets.scan(edges.docs(spark, rows)).select("doc_id", secrets.written("spans").alias("spans")).collect()}
-    assert sum("random" in got[i] for i in range(60)) >= 52
+    assert sum("random" in got[i] for i in range(60)) >= 54
     assert sum("random" in got[60 + i] for i in range(400)) <= 8
 
 
+def plain_test(token):
+    """(length class, bin of the joined p-value) of one run, in plain Python."""
+    t = token.rstrip("=").replace("-", "+").replace("_", "/")
+    if t and set(t) <= set(secrets.DECIMAL):
+        alphabet = secrets.DECIMAL
+    elif t and (set(t) <= set("0123456789abcdef") or set(t) <= set("0123456789ABCDEF")):
+        alphabet, t = secrets.HEXADECIMAL, t.lower()
+    elif set(t) <= set(secrets.BASE32) and set(t) & set("234567"):
+        alphabet = secrets.BASE32
+    else:
+        alphabet = secrets.BASE64
+    s = [alphabet.index(c) for c in t if c in alphabet]
+    k, n = len(alphabet), max(len(s), 2)
+    kinds = sum(bool(re.search(p, t)) for p in ("[0-9]", "[a-z]", "[A-Z]"))
+    cls = 0 if k == 64 and kinds < 2 else sum(n >= c for c in secrets.CLASSES)
+
+    def tail(z):
+        z = max(-8.0, min(8.0, z))
+        return 1 / (1 + math.exp(0.07056 * z ** 3 + 1.5976 * z))
+    middle, expected = (k - 1) / 2, n / k
+    chi = sum((c - expected) ** 2 / expected for c in (s.count(v) for v in range(k)))
+    even = tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+    runs = 1 + sum((x - middle) * (y - middle) < 0 for x, y in zip(s, s[1:]))
+    order = min(1.0, 2 * tail(abs(runs - (n + 1) / 2) / math.sqrt((n - 1) / 4)))
+    serial = sum((x - middle) * (y - middle) for x, y in zip(s, s[1:])) / ((k * k - 1) / 12)
+    serial = min(1.0, 2 * tail(abs(serial) / math.sqrt(n - 1)))
+    x = -(math.log(even) + math.log(order) + math.log(serial))
+    return cls, -10 * math.log10(max(1e-300, math.exp(-x) * (1 + x + x * x / 2)))
+
+
+def rejected_from(rows, rate):
+    """Per class, the least bin that the step-up rule rejects, from single (class, bin) rows."""
+    least = {}
+    for cls in {c for c, _ in rows if c}:
+        own = sorted((10 ** (-b / 10) for c, b in rows if c == cls))
+        passed = [p for i, p in enumerate(own, 1) if p <= rate * sum(q <= p for q in own) / len(own)]
+        least[cls] = round(-10 * math.log10(max(passed))) if passed else secrets.STEPS + 1
+    return least
+
+
+def test_battery_and_discovery_rule_against_plain_python(spark):
+    random.seed(11)
+    draw = lambda al, n: "".join(random.choice(al) for _ in range(n))
+    alphabets = [secrets.DECIMAL, secrets.HEXADECIMAL, secrets.HEXADECIMAL.upper(), secrets.BASE32, secrets.BASE64, secrets.BASE64[:62], "abc", "aB3"]
+    tokens = [draw(al, n) + "=" * (n % 3) for al in alphabets for n in (20, 23, 24, 31, 33, 48, 64, 200) for _ in range(5)]
+    tokens += ["0" * 20, "=" * 30, "a" * 19 + "=", "0123456789" * 3, "ab-cd_ef/gh+ij0AB" * 2, "thequickbrownfoxjumpsoverthelazydog"]
+    rows = spark.createDataFrame(list(enumerate(tokens)), "i int, t string").repartition(3)
+    got = {r["i"]: r["b"] for r in rows.select("i", secrets.battery(F.array("t"))[0].alias("b")).collect()}
+    for i, t in enumerate(tokens):
+        cls, bin_ = plain_test(t)
+        assert got[i]["cls"] == cls, t
+        if cls:
+            assert got[i]["bin"] - 1e-6 <= max(0, bin_) and (got[i]["bin"] == secrets.STEPS or bin_ < got[i]["bin"] + 1 + 1e-6), t
+    pairs = [(got[i]["cls"], got[i]["bin"]) for i in range(len(tokens))]
+    runs = spark.createDataFrame([([p],) for p in pairs], "runs array<struct<cls:int,bin:int>>")
+    for rate in (0.01, 0.05, 0.3):
+        assert secrets.rejections(runs, rate) == rejected_from(pairs, rate)
+
+
+def test_keys_of_every_encoding_are_found(spark):
+    random.seed(3)
+    kinds = {"decimal": secrets.DECIMAL, "hex": secrets.HEXADECIMAL.upper(), "base32": secrets.BASE32, "base64": secrets.BASE64[:62]}
+    keys = [(k, "".join(random.choice(al) for _ in range(random.choice([20, 28, 40, 64])))) for k, al in kinds.items() for _ in range(100)]
+    rows = [(i, f"x {t} y", None, None, None) for i, (_, t) in enumerate(keys)] + [(900, "=" * 40 + " " + "0" * 25 + " " + "ab" * 15, None, None, None)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(edges.docs(spark, rows)).select("doc_id", secrets.written("spans").alias("spans")).collect()}
+    # Long decimal runs are base spans of kind hex.
+    found = Counter(k for i, (k, t) in enumerate(keys) if got[i] == f"{'hex' if k == 'decimal' and len(t) >= 32 else 'random'}:2:{2 + len(t)}")
+    assert all(found[k] >= 90 for k in kinds), found
+    assert got[900] == ""
+
+
 # --- ranges ---
 
 def test_ranges_against_bisect(spark):

@@ -7,8 +7,10 @@ base32, base64) and, over its alphabet, three tests are made: chi-squared unifor
 symbols, runs above and below the alphabet's middle, and serial correlation at lag 1. Fisher's
 method joins them into one p-value of "drawn at random". Within each length class, since short
 runs carry less evidence, the Benjamini-Hochberg rule over all runs of the table rejects
-randomness at a false-discovery rate of ``RATE``; a run that is not rejected and has as many
-kinds of character as a key would is reported. Runs that touch a base span are left to it.
+randomness at a false-discovery rate of ``RATE``; a run that is not rejected is reported. Two
+cases are settled before the tests: a run of fewer than 20 symbols, padding aside, is not one,
+and base64 without two of digits, lower-case and upper-case letters is no key (a random one of 20
+symbols looks so once in a million). Runs that touch a base span are left to it.
 
 The rule needs only counts by (length class, p-value in tenths of a decade): that bounded table
 is all the driver reads. Positions are in code points, end exclusive. Null and empty texts have
@@ -66,8 +68,8 @@ def _tail(z: Column) -> Column:
 
 
 def battery(tokens: Column) -> Column:
-    """Per token: length class, p-value bin, kinds of character. One step of the work per
-    transform, so that nothing is worked out twice."""
+    """Per token: length class (0: too short, or base64 of one kind of character), p-value bin. One
+    step of the work per transform, so that nothing is worked out twice."""
     body = F.transform(tokens, lambda t: F.translate(F.regexp_replace(t, "=+$", ""), "-_", "+/"))
     coded = F.transform(body, lambda t: F.struct(
         t.alias("t"),
@@ -84,15 +86,15 @@ def battery(tokens: Column) -> Column:
         F.zip_with(F.slice(d["s"], F.lit(1), F.greatest(F.size(d["s"]) - 1, F.lit(0))), F.slice(d["s"], F.lit(2), F.greatest(F.size(d["s"]) - 1, F.lit(0))),
                    lambda x, y: F.struct((x - (d["k"] - 1) / 2).alias("x"), (y - (d["k"] - 1) / 2).alias("y"))).alias("pairs")))
     tested = F.transform(counted, lambda c: F.struct(
-        c["t"].alias("t"), c["n"].alias("n"),
+        c["t"].alias("t"), c["k"].alias("k"), c["n"].alias("n"),
         _tail((c["squares"] * c["k"] / c["n"] - c["n"] - (c["k"] - 1)) / F.sqrt(2 * (c["k"] - 1) * (c["n"] - 1) / c["n"])).alias("even"),
         F.least(F.lit(1.0), 2 * _tail(F.abs((F.aggregate(c["pairs"], F.lit(1.0), lambda a, p: a + F.when(p["x"] * p["y"] < 0, 1.0).otherwise(0.0)) - (c["n"] + 1) / 2) / F.sqrt((c["n"] - 1) / 4)))).alias("runs"),
         F.least(F.lit(1.0), 2 * _tail(F.abs(F.aggregate(c["pairs"], F.lit(0.0), lambda a, p: a + p["x"] * p["y"]) * 12 / (c["k"] * c["k"] - 1) / F.sqrt(c["n"] - 1)))).alias("serial")))
-    joined = F.transform(tested, lambda d: F.struct(d["t"].alias("t"), d["n"].alias("n"), (-(F.ln(d["even"]) + F.ln(d["runs"]) + F.ln(d["serial"]))).alias("x")))
+    joined = F.transform(tested, lambda d: F.struct(d["t"].alias("t"), d["k"].alias("k"), d["n"].alias("n"), (-(F.ln(d["even"]) + F.ln(d["runs"]) + F.ln(d["serial"]))).alias("x")))
     n_class = lambda n: F.size(F.filter(F.array(*map(F.lit, CLASSES)), lambda c: c <= n))
     sorts = lambda t: sum((F.when(t.rlike(p), 1).otherwise(0) for p in ("[0-9]", "[a-z]", "[A-Z]")), F.lit(0))
     return F.transform(joined, lambda d: F.struct(
-        n_class(d["n"]).alias("cls"), sorts(d["t"]).alias("sorts"),
+        F.when((d["k"] < len(BASE64)) | (sorts(d["t"]) >= 2), n_class(d["n"])).otherwise(0).alias("cls"),
         F.least(F.lit(STEPS), F.greatest(F.lit(0), F.floor(-10 * (F.ln(1 + d["x"] + d["x"] * d["x"] / 2) - d["x"]) / F.lit(2.302585092994046)))).cast("int").alias("bin")))
 
 
@@ -106,13 +108,13 @@ def found(docs: DataFrame) -> DataFrame:
     base = F.array_sort(F.concat(_kind(assign, "assign", 0), _kind(matches("text", ACCESS), "access", 1), _kind(matches("text", HEX), "hex", 2)))
     tokens = F.transform("_runs", lambda s: F.substring(F.col("text"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
     rows = rows.select("doc_id", base.alias("base"), "_runs", battery(tokens).alias("_tests"))
-    runs = F.zip_with("_runs", "_tests", lambda s, t: F.struct(s["start"].alias("start"), s["end"].alias("end"), t["cls"].alias("cls"), t["bin"].alias("bin"), t["sorts"].alias("sorts")))
+    runs = F.zip_with("_runs", "_tests", lambda s, t: F.struct(s["start"].alias("start"), s["end"].alias("end"), t["cls"].alias("cls"), t["bin"].alias("bin")))
     return rows.select("doc_id", "base", runs.alias("runs"))
 
 
 def rejections(runs: DataFrame, rate: float = RATE) -> dict[int, int]:
     """Per length class, the least bin whose p-values the Benjamini-Hochberg rule rejects."""
-    table = runs.select(F.explode("runs").alias("r")).groupBy("r.cls", "r.bin").agg(F.count(F.lit(1)).alias("n")).collect()
+    table = runs.select(F.explode("runs").alias("r")).where("r.cls > 0").groupBy("r.cls", "r.bin").agg(F.count(F.lit(1)).alias("n")).collect()
     least: dict[int, int] = {}
     for cls in {r["cls"] for r in table}:
         own = sorted(((r["bin"], r["n"]) for r in table if r["cls"] == cls), reverse=True)
@@ -131,7 +133,7 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     least = rejections(rows, rate)
     bar = F.array(*[F.lit(least.get(c, STEPS + 1)) for c in range(len(CLASSES) + 1)])
     clear = lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    passed = F.filter("runs", lambda r: (r["bin"] < F.get(bar, r["cls"])) & (r["sorts"] >= 2) & clear(r))
+    passed = F.filter("runs", lambda r: (r["cls"] > 0) & (r["bin"] < F.get(bar, r["cls"])) & clear(r))
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", _kind(passed, "random", 3))).alias("spans"))
 
 
