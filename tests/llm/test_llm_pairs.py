@@ -170,7 +170,7 @@ def planted():
     return docs + [(r[0], r[1]) for r in edges.ROWS], items
 
 
-@pytest.mark.parametrize("block", [decontamination.ITEMS, 3])
+@pytest.mark.parametrize("block", [decontamination.BLOCK, 400])
 def test_leaks_against_brute_force(spark, block):
     docs, items = planted()
     bench = spark.createDataFrame([(*r, "x") for r in items], "item_id bigint, text string, doc_id string")
@@ -196,5 +196,5 @@ def test_short_items_are_found_whatever_their_signatures():
         w = [f"w{x}" for x in np.random.default_rng(seed).integers(0, 10 ** 9, 60)]
         docs.append(" ".join(w))
         items.append(" ".join(w[12:20] + ["other"]))
-    found = decontamination.Items(list(range(5)), items).found(docs)
+    found = decontamination.Items(decontamination.signed(list(range(5)), items)).found(docs)
     assert found == [(i, i, 4) for i in range(5)]

@@ -14,9 +14,11 @@ shingles repeat each other) has too few for MinHash; any of its shingles in a do
 candidate. Items of fewer than five words have no shingle of
 five and never count; nor do null texts.
 
-Items go to the tasks in blocks of at most ``ITEMS`` (a bound of about 60 MB); each block is one
-more scan of the documents. Documents are scanned whole and never shuffled. Null and empty texts
-hold nothing; a null or repeated doc_id is a row like any other, repeated items are items.
+Equal items are searched for once. Their shingle sets and MinHash values are made in tasks and
+written; indexes of about ``BLOCK`` hashes (some 150 MB) go to the tasks one after another, each
+in one more scan of the documents. Documents are scanned whole and, with one index, never
+shuffled. Null and empty texts hold nothing; a null or repeated doc_id is a row like any other,
+repeated items are items.
 """
 
 from __future__ import annotations
@@ -26,48 +28,54 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlake.llm.common import documents, read, take
+from transferlake.llm.common import documents, read, stored, take
 from transferlake.llm.words import U, batches, mix, shingle_table, shingles_of, word_table
 
 THRESHOLD = 0.8
 WIDTH = 5
 HASHES = 64
 LEAST_CLASS = 16
-ITEMS = 100_000
+BLOCK = 12_000_000          # 64-bit hashes of an index: shingles and MinHash values
 
 _KEYS = mix(np.arange(1, 2 * HASHES + 1, dtype=U))
 _XOR, _MUL = _KEYS[:HASHES], _KEYS[HASHES:] | U(1)
 
 
-class Items:
-    """An index of benchmark items: MinHash values by size class, and exact shingle sets."""
-
-    def __init__(self, ids: list, texts: list):
-        self.ids, self.sets, self.classes, self.few = [], [], {}, {}
-        _, _, _, _, words, of = word_table(texts)
-        counts = np.bincount(of, minlength=len(texts))
-        hashes, owner = shingles_of(words, of, len(texts), WIDTH)
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        signed: dict[int, list] = {}
-        for i, item in enumerate(ids):
+def signed(nodes: list, texts: list) -> list[tuple]:
+    """(node, size class, distinct shingles, their hashes, MinHash values) of the texts of at least
+    one shingle. Class 0, without MinHash values, has too few shingles for them."""
+    out = []
+    for a, b in batches(texts):
+        _, _, _, _, words, of = word_table(texts[a:b])
+        counts = np.bincount(of, minlength=b - a)
+        hashes, owner = shingles_of(words, of, b - a, WIDTH)
+        cuts = np.searchsorted(owner, np.arange(b - a + 1))
+        for i in np.flatnonzero(counts >= WIDTH):
             row = hashes[cuts[i]:cuts[i + 1]]
-            if counts[i] < WIDTH:
-                continue
-            own, n = np.unique(row), len(self.ids)
-            self.ids.append(item)
-            self.sets.append(own)
-            size = max(LEAST_CLASS, 1 << int(len(row) - 1).bit_length())
-            if len(own) < size // 2:
-                for h in own:
-                    self.few.setdefault(int(h), []).append(n)
-            else:
-                signed.setdefault(size, []).append((n, [int(((own ^ x) * m).min()) for x, m in zip(_XOR, _MUL)]))
-        for size, rows in signed.items():
-            values = np.array([r[1] for r in rows], dtype=U)
+            own, size = np.unique(row), max(LEAST_CLASS, 1 << int(len(row) - 1).bit_length())
+            few = len(own) < size // 2
+            low = np.array([] if few else [((own ^ x) * m).min() for x, m in zip(_XOR, _MUL)], dtype=U)
+            out.append((nodes[a + i], 0 if few else size, len(own), own.tobytes(), low.tobytes()))
+    return out
+
+
+class Items:
+    """An index of signed items: MinHash values by size class, and exact shingle sets."""
+
+    def __init__(self, rows: list):
+        self.ids, sizes = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64)
+        counts = np.array([r[2] for r in rows], dtype=np.int64)
+        hashes = np.frombuffer(b"".join(bytes(r[3]) for r in rows), U)
+        self.sets = np.split(hashes, np.cumsum(counts)[:-1])
+        self.classes = {}
+        for size in np.unique(sizes[sizes > 0]):
+            numbers = np.flatnonzero(sizes == size).astype(np.int32)
+            values = np.frombuffer(b"".join(bytes(rows[i][4]) for i in numbers), U).reshape(-1, HASHES)
             order = np.argsort(values, axis=0, kind="stable")
-            numbers = np.array([r[0] for r in rows])
-            self.classes[size] = [(values[order[:, k], k], numbers[order[:, k]]) for k in range(HASHES)]
-        self.rare = np.array(sorted(self.few), dtype=U)
+            self.classes[int(size)] = [(values[order[:, k], k], numbers[order[:, k]]) for k in range(HASHES)]
+        short = np.flatnonzero(np.repeat(sizes == 0, counts))
+        order = short[np.argsort(hashes[short], kind="stable")]
+        self.rare, self.rare_of = hashes[order], np.repeat(np.arange(len(rows)), counts)[order]
 
     def candidates(self, hashes: np.ndarray, owner: np.ndarray) -> set:
         """(text, item number) pairs that share a MinHash value in some window."""
@@ -75,8 +83,9 @@ class Items:
         if not len(hashes):
             return out
         if len(self.rare):
-            hit = np.flatnonzero(np.isin(hashes, self.rare))
-            out |= {(int(owner[i]), n) for i in hit for n in self.few[int(hashes[i])]}
+            left, right = np.searchsorted(self.rare, hashes), np.searchsorted(self.rare, hashes, side="right")
+            for i in np.flatnonzero(right > left):
+                out |= {(int(owner[i]), int(n)) for n in self.rare_of[left[i]:right[i]]}
         if not self.classes:
             return out
         first = np.searchsorted(owner, owner)
@@ -123,59 +132,78 @@ class Items:
         return out
 
 
-def _blocks(benchmark: DataFrame, block: int):
-    """Broadcast indexes of the items, ``block`` items at a time by id."""
-    spark = benchmark.sparkSession
+def _texts(benchmark: DataFrame) -> DataFrame:
+    """item_id, node (md5 of the text), text of the items that have one."""
     items = take(benchmark, item_id="bigint", text="string").where("text IS NOT NULL")
-    total = items.count()
-    passes = -(-total // block)
-    if passes <= 1:
-        parts = [items] if total else []
-    else:
-        parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * passes)) == i) for i in range(2 * passes)]
-    for part in parts:
-        rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    return items.select("item_id", F.md5(F.col("text").cast("binary")).alias("node"), "text")
+
+
+def _blocks(items: DataFrame, block: int):
+    """Broadcast indexes of the items' different texts, signed in tasks, about ``block`` hashes in
+    each, and whether one holds all. A block is let go when the next is asked for."""
+    def run(parts):
+        for pdf in parts:
+            yield pd.DataFrame(signed(pdf["node"].tolist(), pdf["text"].tolist()), columns=["node", "size", "n", "hashes", "low"])
+
+    made = items.select("node", "text").distinct().mapInPandas(run, "node string, size bigint, n bigint, hashes binary, low binary")
+    made = stored(made, "items")
+    blocks = -(-int(made.agg(F.sum(F.col("n") + HASHES)).first()[0] or 0) // block)
+    for i in range(blocks):
+        part = made.where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == i)
+        rows = sorted((tuple(r) for r in part.collect()), key=lambda r: r[0])
         if rows:
-            yield spark.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows]))
+            index = items.sparkSession.sparkContext.broadcast(Items(rows))
+            yield index, blocks == 1
+            if blocks > 1:
+                index.unpersist()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """doc_id, item_id, shared, item_shingles, containment: one row per document and item."""
-    shape = "doc_id string, item_id string, shared bigint, item_shingles bigint, containment double"
-    rows, out = documents(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text"), None
+    shape = "doc_id string, node string, shared bigint, item_shingles bigint, containment double"
+    rows, items = documents(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text"), _texts(benchmark)
 
-    def search(items):
+    def search(index):
         def run(parts):
-            index = items.value
+            items = index.value
             for pdf in parts:
                 ids = pdf["doc_id"].tolist()
-                made = [(ids[t], None if index.ids[n] is None else str(index.ids[n]), s, len(index.sets[n]), s / len(index.sets[n]))
-                        for t, n, s in index.found(pdf["text"].tolist())]
-                yield pd.DataFrame(made, columns=["doc_id", "item_id", "shared", "item_shingles", "containment"])
+                made = [(ids[t], items.ids[n], s, len(items.sets[n]), s / len(items.sets[n]))
+                        for t, n, s in items.found(pdf["text"].tolist())]
+                yield pd.DataFrame(made, columns=["doc_id", "node", "shared", "item_shingles", "containment"])
         return run
 
-    for items in _blocks(benchmark, block):
-        one = rows.mapInPandas(search(items), shape)
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        out = rows.sparkSession.createDataFrame([], shape)
-    return out.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "item_id")})
+    out = rows.sparkSession.createDataFrame([], shape)
+    for index, alone in _blocks(items, block):
+        one = rows.mapInPandas(search(index), shape)
+        out = one if alone else out.unionByName(stored(one, "leaks"))
+    out = out.join(items.select("item_id", "node"), "node")
+    return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "item_id", "shared", "item_shingles", "containment")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> DataFrame:
-    """Documents (their five columns) that hold no benchmark item: a filter on the scan."""
+def decontaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Documents (their five columns) that hold no benchmark item: a filter on the scan, or, where
+    the items need several blocks, an anti join with the md5 of the texts that do."""
     rows = documents(docs)
+    marked = rows.select(F.md5(F.col("text").cast("binary")).alias("node"), "text")
+    held = marked.select("node").limit(0)
 
-    def clean(items):
-        def run(parts):
-            for pdf in parts:
-                bad = {t for t, _, _ in items.value.found(pdf["text"].tolist())}
-                yield pdf[[i not in bad for i in range(len(pdf))]]
-        return run
+    def holds(index, pdf):
+        bad = {t for t, _, _ in index.value.found(pdf["text"].tolist())}
+        return np.array([i in bad for i in range(len(pdf))], dtype=bool)
+
+    def clean(index):
+        return lambda parts: (pdf[~holds(index, pdf)] for pdf in parts)
+
+    def dirty(index):
+        return lambda parts: (pdf.loc[holds(index, pdf), ["node"]] for pdf in parts)
 
-    for items in _blocks(benchmark, block):
-        rows = rows.mapInPandas(clean(items), rows.schema)
-    return rows
+    for index, alone in _blocks(_texts(benchmark), block):
+        if alone:
+            return rows.mapInPandas(clean(index), rows.schema)
+        held = held.unionByName(stored(marked.mapInPandas(dirty(index), "node string").distinct(), "held"))
+    return (rows.withColumn("_node", F.md5(F.col("text").cast("binary")))
+            .join(held.withColumnRenamed("node", "_node"), "_node", "left_anti").select(*rows.columns))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
