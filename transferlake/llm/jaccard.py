@@ -153,13 +153,16 @@ def least_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def in_blocks(rows: DataFrame, group: str, blocks, cols: list[str]) -> DataFrame:
     """Deals the rows of each group into ``blocks`` blocks and gives every pair of blocks (a block
-    and itself too) the rows of both: unit columns _u, _v; ``side`` 0 or 1; sorted by unit."""
+    and itself too) the rows of both: unit columns _u, _v; ``side`` 0 or 1; sorted by unit. Units
+    are spread over the session's shuffle partitions, which aren't joined by their bytes: a
+    unit's work is its pairs."""
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_blocks")).cast("int")
     # A block meets itself and about half of the others, as the first or the second of the pair.
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_o")
     dealt = rows.withColumn("_blocks", blocks.cast("int")).withColumn("_b", mine).select(group, *cols, "_blocks", "_b", other)
     dealt = dealt.select(group, *cols, F.least("_b", "_o").alias("_u"), F.greatest("_b", "_o").alias("_v"), (F.col("_b") > F.col("_o")).cast("int").alias("side"))
-    return dealt.repartition(group, "_u", "_v").sortWithinPartitions(group, "_u", "_v", "node")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, group, "_u", "_v").sortWithinPartitions(group, "_u", "_v", "node")
 
 
 def _unit_numbers(pdf: pd.DataFrame, group: str) -> np.ndarray:
@@ -176,7 +179,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Nodes that hang on one smaller node only are set aside, so that the many leaves of a star
     don't meet again in every round; they take their neighbour's root at the end. The rest goes
     through alternating star contraction: each node passes its larger neighbours, then itself
-    and its smaller ones, on to the least node it knows, until nothing changes."""
+    and its smaller ones, on to the least node it knows, until nothing changes. Both sides of a
+    round's joins are written tables, so that the centre of a star, a row a link, can be split."""
     edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     leaves = stored(both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")).where("n = 1 AND m < u").select("u", "m"), "leaves")
@@ -188,9 +192,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         seen = tuple(mark)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m")), "least")
+        # Rows of the edges themselves: v > u on their second half alone.
+        large = edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.where("u <> v").distinct(), "large")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
         edges = stored(small, "edges")
@@ -223,7 +229,8 @@ def classes(docs: DataFrame) -> DataFrame:
 def survivors(reps: DataFrame) -> DataFrame:
     """Edges (u, v) that connect whatever Bayesian pruning leaves connected."""
     keyed = reps.where("shingles > 0").select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, here and below, so that a join with it can be split where a bucket or group is hot.
+    shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     mates = keyed.join(shared, "key").join(reps.select("node", "sig"), "node")
     dealt = in_blocks(mates, "key", F.ceil(F.col("n") / BLOCK), ["node", "sig"])
     bar = bars()
@@ -284,7 +291,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     member = stored(components(survivors(reps)), "members")
     roots = member.select(F.col("root").alias("node"), "root").distinct()
     nodes = member.unionByName(roots).join(reps.select("node", "copies", "doc_id", "shingles"), "node")
-    sizes = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("s"))
+    sizes = stored(nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("s")), "sizes")
     nodes = nodes.join(sizes, "root")
     texts = documents(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("node", F.md5(F.col("text").cast("binary")))
@@ -329,7 +336,7 @@ def groups(docs: DataFrame) -> DataFrame:
     degree = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     rows = (reps.select("node", "copies", "doc_id").join(root, "node", "left").join(degree, "node", "left")
             .select("node", "copies", "doc_id", F.coalesce("root", "node").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked")))
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    least = stored(rows.groupBy("root").agg(F.min("doc_id").alias("class_id")), "least")
     return rows.join(least, "root").select("node", "copies", "doc_id", "linked", "class_id", "root")
 
 
