@@ -148,6 +148,33 @@ def test_shards_draw_all_slots(spark):
         assert all(abs(c - mean) < 5 * mean ** 0.5 + 1 for c in own)
 
 
+def test_shards_take_the_blocks_they_drew(spark):
+    random.seed(5)
+    docs = edges.docs(spark, [(i, " ".join(f"w{k % 89}" for k in range(random.randrange(0, 2 * n))), "en", s, 0)
+                              for i, (s, n) in enumerate([("big", 300)] * 80 + [("mid", 90)] * 40 + [("tiny", 40)] * 6 + [(None, 20)] * 9)])
+    drawn, got = {(r["source"], r["shard"]): r["slots"] for r in mixing.shard_counts(docs).collect()}, Counter()
+    rows = mixing.mix(docs).collect()
+    sizes = {r["source"]: r["source_size"] for r in rows}
+    for r in rows:
+        assert sum(p["words"] for p in r["shards"]) == r["taken"] and all(p["words"] > 0 for p in r["shards"])
+        assert [p["shard"] for p in r["shards"]] == sorted({p["shard"] for p in r["shards"]})
+        for p in r["shards"]:
+            got[r["source"], p["shard"]] += p["words"]
+    assert set(got) == set(drawn) and any(len(r["shards"]) > 1 for r in rows)
+    for (s, _), n in got.items():
+        length = min(mixing.BLOCK, max(mixing.LEAST_BLOCK, sizes[s] // mixing.FINE))
+        assert drawn[s, _] * length - 3 * (length - 1) <= n <= drawn[s, _] * length   # a pass has one short block
+
+
+def test_query_takes_no_more_than_its_shards_draw(spark, monkeypatch):
+    docs, plain = read(spark, SF, "documents"), mixing._drawn
+    want = {r["doc_id"]: [p for p in r["shards"] if p["shard"] < 2] for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "_drawn", lambda sources: plain(sources).where("shard < 2"))
+    got = {r["doc_id"]: r for r in mixing.op4_mixing(spark, SF).collect()}
+    assert any(want.values()) and {d: r["shards"] for d, r in got.items()} == want
+    assert all(r["taken"] == sum(p["words"] for p in want[d]) for d, r in got.items())
+
+
 def test_mixed_documents_are_what_the_mix_takes(spark):
     docs = read(spark, SF, "documents")
     want = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}

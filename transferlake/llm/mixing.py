@@ -4,10 +4,11 @@ A source's documents, by doc_id, are one stream of words cut into blocks of equa
 words, fewer in a source of under ``FINE`` such blocks, down to ``LEAST_BLOCK``. The target of a
 source fixes how many slots of the mix it fills. The slots are drawn into output shards, each
 slot into any shard with the same chance, so that the shards' counts of a source are a
-multinomial draw that adds up to its slots, whatever the number of shards (``shard_counts``). A
-source's slots are mapped through its pseudorandom permutation of block numbers (swap-or-not
-shuffle) and blocks are joined by (source, number). A target of several times the source goes
-through all blocks that many times; the permutation chooses the blocks of the last, partial pass.
+multinomial draw that adds up to its slots, whatever the number of shards (``shard_counts``).
+Each shard fills the slots it drew: a source's slots, numbered through all shards, are mapped
+through its pseudorandom permutation of block numbers (swap-or-not shuffle, another one for each
+pass over the source), and blocks are joined by (source, number). A target of several times the
+source goes through all blocks that many times, and through some in a last, partial pass.
 
 Targets: sources by code point, null last, weigh 1, 2, 3, 1, ...; they share all words by
 weight, a source takes at most 3 times its own words, and what it can't take goes to the others
@@ -21,7 +22,8 @@ inside (source, range of doc_id), so one source of a third of all rows is split;
 doc_id are dealt to ranges by their text.
 
 Null and empty texts have size 0 and are never taken; null sources are one source; equal ids
-and repeated rows stand beside each other in the stream, each on its own.
+and repeated rows stand beside each other in the stream, each on its own. A document's ``shards``
+lists the words that each output shard takes of it, by shard: none for a document not taken.
 """
 
 from __future__ import annotations
@@ -102,34 +104,45 @@ def _numbered(rows: DataFrame) -> DataFrame:
             .withColumn("_start", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
 
 
-def _each(sources: DataFrame, slots: Column) -> DataFrame:
-    """A row for each slot of each source, from 0. A few rows that become many are dealt to
-    every task first, SLOTS slots each."""
-    spark = sources.sparkSession
+def _each(rows: DataFrame, slots: Column, *keys: str) -> DataFrame:
+    """A row for each slot of each row, from 0. A few rows that become many are dealt by their
+    keys to every task first, SLOTS slots each."""
+    spark = rows.sparkSession
     first = F.explode(F.sequence(F.lit(0).cast("bigint"), slots - 1, F.lit(SLOTS).cast("bigint")))
-    dealt = sources.where(slots > 0).withColumn("_all", slots).withColumn("_from", first)
-    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_s", "_from")
+    dealt = rows.where(slots > 0).withColumn("_all", slots).withColumn("_from", first)
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, "_from")
     return dealt.withColumn("_slot", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + SLOTS, F.col("_all")) - 1))).drop("_from", "_all")
 
 
+def _drawn(sources: DataFrame) -> DataFrame:
+    """shard, source, _s, _blocks, slots: what the output shards draw of each source, all passes."""
+    every = F.col("_passes") * F.col("_blocks") + F.col("_slots")
+    shards = max(LEAST_SHARDS, -(-int(sources.agg(F.sum(every)).first()[0] or 0) // SLOTS))
+    drawn = _each(sources, every, "_s").withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), F.lit("draw"), "_s", "_slot"), F.lit(shards)).cast("int"))
+    return drawn.groupBy("shard", "source", "_s", "_blocks").agg(F.count(F.lit(1)).alias("slots"))
+
+
 def shard_counts(docs: DataFrame) -> DataFrame:
     """shard, source, slots: what the output shards draw of each source, all passes."""
     sources = with_slots(targets_of(stored(_streams(docs, [], cuts_of(docs)), "mix").select("source", "size")))
-    every = F.col("_passes") * F.col("_blocks") + F.col("_slots")
-    shards = max(LEAST_SHARDS, -(-int(sources.agg(F.sum(every)).first()[0] or 0) // SLOTS))
-    drawn = _each(sources, every).withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), F.lit("draw"), "_s", "_slot"), F.lit(shards)).cast("int"))
-    return drawn.groupBy("shard", "source").agg(F.count(F.lit(1)).alias("slots"))
+    return _drawn(sources).select("shard", "source", "slots")
 
 
-def _chosen(sources: DataFrame) -> DataFrame:
-    """(_s, _block): the blocks that the slots of the last pass take."""
-    return _each(sources.select("_s", "_blocks", "_slots", "_passes"), F.col("_slots")).select(
-        "_s", shuffled(F.col("_slot"), F.col("_blocks"), F.col("_s"), F.col("_passes")).alias("_block"), F.lit(1).alias("_once"))
+def _filled(sources: DataFrame) -> DataFrame:
+    """(_s, _block, _pass, _shard): the block that each drawn slot takes. A shard's slots of a
+    source come after those of the shards before it; a pass is as many slots as blocks."""
+    earlier = Window.partitionBy("_s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = _drawn(sources).drop("source").withColumn("_earlier", F.coalesce(F.sum("slots").over(earlier), F.lit(0)))
+    slots = _each(counts, F.col("slots"), "_s", "shard").withColumn("_number", F.col("_earlier") + F.col("_slot"))
+    slots = slots.withColumn("_pass", F.floor(F.col("_number") / F.col("_blocks")).cast("int"))
+    return slots.select("_s", shuffled(F.pmod("_number", "_blocks"), F.col("_blocks"), F.col("_s"), F.col("_pass")).alias("_block"),
+                        "_pass", F.col("shard").alias("_shard"))
 
 
 def spans(docs: DataFrame, bounds: list) -> DataFrame:
-    """One row per document and block it has words in: source and range keys, _first word,
-    _stop, _copies. Documents without words have one row of nulls."""
+    """One row per document, block it has words in and slot that takes the block: source and
+    range keys, _first word, _stop, _pass, _shard. A block that no slot takes has one row without
+    pass and shard, a document without words one without block."""
     sized = stored(_streams(docs, [], bounds), "mix")
     sources = stored(with_slots(targets_of(sized.select("source", "size"))), "mix-targets")
     rows = sized.join(sources.withColumnRenamed("source", "_name"), sized["source"].eqNullSafe(F.col("_name"))).drop("_name")
@@ -142,30 +155,32 @@ def spans(docs: DataFrame, bounds: list) -> DataFrame:
     first = F.greatest(F.col("_block") * length - F.col("_at"), F.lit(0))
     stop = F.least((F.col("_block") + 1) * length - F.col("_at"), F.col("size"))
     # The optimizer takes the slots for as few as the sources they come from: never broadcast.
-    joined = cut.join(_chosen(sources).hint("merge"), ["_s", "_block"], "left")
-    copies = F.when(F.col("_block").isNull(), 0).otherwise(F.col("_passes") + F.coalesce("_once", F.lit(0)))
+    joined = cut.join(_filled(sources).hint("merge"), ["_s", "_block"], "left")
     return joined.select("doc_id", "source", "size", "source_size", "target", "_range", "_in", "_block",
-                         first.alias("_first"), stop.alias("_stop"), copies.alias("_copies"))
+                         first.alias("_first"), stop.alias("_stop"), "_pass", "_shard")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row per document."""
-    cut = spans(docs, cuts_of(docs))
-    taken = F.coalesce(F.sum((F.col("_stop") - F.col("_first")) * F.col("_copies")), F.lit(0))
-    return (cut.groupBy("source", "_range", "_in", "doc_id", "size", "source_size", "target").agg(taken.cast("bigint").alias("taken"))
-            .select("doc_id", "source", "size", "source_size", "target", "taken"))
+    """doc_id, source, size, source_size, target, taken, shards (shard and words it takes, by
+    shard): one row per document."""
+    document = ["source", "_range", "_in", "doc_id", "size", "source_size", "target"]
+    words = F.sum(F.when(F.col("_shard").isNotNull(), F.col("_stop") - F.col("_first")))
+    by_shard = spans(docs, cuts_of(docs)).groupBy(*document, "_shard").agg(words.cast("bigint").alias("_words"))
+    placed = F.when(F.col("_shard").isNotNull(), F.struct(F.col("_shard").alias("shard"), F.col("_words").alias("words")))
+    return (by_shard.groupBy(*document)
+            .agg(F.coalesce(F.sum("_words"), F.lit(0)).cast("bigint").alias("taken"), F.array_sort(F.collect_list(placed)).alias("shards"))
+            .select("doc_id", "source", "size", "source_size", "target", "taken", "shards"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix as documents: a row for each run of a document's blocks that is taken together,
-    once for each time it is taken. A whole text stays as it is; a part is its words, single
+    """The mix of all shards as documents: a row for each run of a document's blocks that is taken
+    together, once for each time it is taken. A whole text stays as it is; a part is its words, single
     spaces between them."""
     bounds = cuts_of(docs)
     cut = spans(docs, bounds)
-    each = cut.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    run = Window.partitionBy("source", "_range", "_in", "_copy").orderBy("_block")
-    runs = (each.withColumn("_run", F.col("_block") - F.row_number().over(run))
-            .groupBy("source", "_range", "_in", "_copy", "_run").agg(F.min("_first").alias("_first"), F.max("_stop").alias("_stop"))
+    run = Window.partitionBy("source", "_range", "_in", "_pass").orderBy("_block")
+    runs = (cut.where(F.col("_pass").isNotNull()).withColumn("_run", F.col("_block") - F.row_number().over(run))
+            .groupBy("source", "_range", "_in", "_pass", "_run").agg(F.min("_first").alias("_first"), F.max("_stop").alias("_stop"))
             .withColumnRenamed("source", "_source"))
     texts = _numbered(_streams(docs, DOCUMENT_COLUMNS, bounds)).alias("t")
     runs = runs.hint("merge").alias("r")
@@ -176,4 +191,4 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "shards")
